@@ -8,6 +8,9 @@ expressions.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -17,9 +20,23 @@ from pyspark.sql import functions as F
 
 from gradeloom.functions.porter import rouge_stem
 
-def overlap_ddl(max_n: int, lcs: bool) -> str:
-    fields = ["pred_len: BIGINT", "ref_len: BIGINT"] + [f"m{n}: BIGINT" for n in range(1, max_n + 1)]
-    return f"STRUCT<{', '.join(fields + (['lcs: BIGINT'] if lcs else []))}>"
+# Tokens counted together: the arrays of one slice stay small whatever the batch holds.
+SLICE_TOKENS = 1 << 16
+
+
+@dataclass(frozen=True)
+class Count:
+    """What to count on one pair of prepared texts."""
+
+    separator: str
+    max_n: int
+    lcs: bool = False
+    stem: bool = False
+
+    @property
+    def fields(self) -> list[str]:
+        grams = [f"m{n}" for n in range(1, self.max_n + 1)]
+        return ["pred_len", "ref_len", *grams] + (["lcs"] if self.lcs else [])
 
 
 def lcs_length(a, b) -> int:
@@ -38,8 +55,15 @@ def lcs_length(a, b) -> int:
     return width - (row & ((1 << width) - 1)).bit_count()
 
 
-def _lengths(lists: pa.ListArray) -> np.ndarray:
-    return pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+def split_tokens(texts: pa.Array, separator: str) -> tuple[pa.Array, np.ndarray]:
+    """All tokens of the texts in one array, and how many each text has."""
+    pieces = pc.split_pattern_regex(pc.fill_null(texts, ""), separator)
+    lengths = pc.list_value_length(pieces).to_numpy(zero_copy_only=False)
+    flat = pieces.flatten()
+    # a separator at either end of a text leaves an empty piece there
+    real = pc.not_equal(flat, "")
+    owner = np.repeat(np.arange(len(texts)), lengths)[real.to_numpy(zero_copy_only=False)]
+    return flat.filter(real), np.bincount(owner, minlength=len(texts))
 
 
 def token_codes(tokens: pa.Array, stem: bool) -> tuple[np.ndarray, int]:
@@ -55,10 +79,37 @@ def token_codes(tokens: pa.Array, stem: bool) -> tuple[np.ndarray, int]:
     return codes, size
 
 
-def overlap_counts(pred: pa.ListArray, ref: pa.ListArray, max_n: int, lcs: bool, stem: bool) -> pa.StructArray:
-    rows = len(pred)
-    pred_len, ref_len = _lengths(pred), _lengths(ref)
-    codes, size = token_codes(pa.concat_arrays([pred.flatten(), ref.flatten()]), stem)
+def _slices(tokens_per_pair: np.ndarray) -> list[tuple[int, int]]:
+    """Row ranges of at most ``SLICE_TOKENS`` tokens, or of a single longer pair."""
+    out, start, filled = [], 0, 0
+    for row, size in enumerate(tokens_per_pair.tolist()):
+        if filled and filled + size > SLICE_TOKENS:
+            out.append((start, row))
+            start, filled = row, 0
+        filled += size
+    out.append((start, len(tokens_per_pair)))
+    return out
+
+
+def overlap_counts(pred: pa.Array, ref: pa.Array, count: Count) -> pa.StructArray:
+    pred_tokens, pred_len = split_tokens(pred, count.separator)
+    ref_tokens, ref_len = split_tokens(ref, count.separator)
+    codes, size = token_codes(pa.concat_arrays([pred_tokens, ref_tokens]), count.stem)
+    pred_at = np.concatenate([[0], np.cumsum(pred_len)])
+    ref_at = np.concatenate([[0], np.cumsum(ref_len)]) + pred_at[-1]
+    parts = []
+    for a, b in _slices(pred_len + ref_len):
+        part = np.concatenate([codes[pred_at[a]:pred_at[b]], codes[ref_at[a]:ref_at[b]]])
+        parts.append(_slice_counts(part, pred_len[a:b], ref_len[a:b], size, count.max_n, count.lcs))
+    columns = {"pred_len": pred_len, "ref_len": ref_len}
+    columns |= {name: np.concatenate([p[name] for p in parts]) for name in parts[0]}
+    return pa.StructArray.from_arrays([pa.array(v, pa.int64()) for v in columns.values()], list(columns))
+
+
+def _slice_counts(
+    codes: np.ndarray, pred_len: np.ndarray, ref_len: np.ndarray, size: int, max_n: int, lcs: bool
+) -> dict[str, np.ndarray]:
+    rows = len(pred_len)
     n_pred = int(pred_len.sum())
     lens = np.concatenate([pred_len, ref_len])
     ends = np.cumsum(lens)
@@ -66,9 +117,9 @@ def overlap_counts(pred: pa.ListArray, ref: pa.ListArray, max_n: int, lcs: bool,
     left = np.repeat(ends, lens) - np.arange(len(codes))
     pair = np.repeat(np.concatenate([np.arange(rows)] * 2), lens)
 
-    columns = {"pred_len": pred_len, "ref_len": ref_len}
+    columns = {}
     at = np.arange(len(codes))
-    gram, shape = pair, None
+    gram = pair
     for n in range(1, max_n + 1):
         keep = left[at] >= n
         at, gram = at[keep], gram[keep]
@@ -82,6 +133,9 @@ def overlap_counts(pred: pa.ListArray, ref: pa.ListArray, max_n: int, lcs: bool,
         owner = np.zeros(len(distinct), dtype=np.int64)
         owner[gram] = pair[at]
         columns[f"m{n}"] = np.bincount(owner, weights=shared, minlength=rows).astype(np.int64)
+        # a longer gram can only be shared where this one is
+        alive = shared[gram] > 0
+        at, gram = at[alive], gram[alive]
     if lcs:
         flat = codes.tolist()
         starts = (ends - lens).tolist()
@@ -90,13 +144,22 @@ def overlap_counts(pred: pa.ListArray, ref: pa.ListArray, max_n: int, lcs: bool,
             [lcs_length(flat[starts[i]:stops[i]], flat[starts[rows + i]:stops[rows + i]]) for i in range(rows)],
             dtype=np.int64,
         )
-    return pa.StructArray.from_arrays([pa.array(v, pa.int64()) for v in columns.values()], list(columns))
+    return columns
+
 
+def overlap(parts: Mapping[str, tuple[Column, Column, Count]]) -> Column:
+    """One struct per name, counted on that name's pair of prepared texts.
 
-def overlap(pred_tokens: Column, ref_tokens: Column, max_n: int, lcs: bool = False, stem: bool = False) -> Column:
-    """Struct of both lengths, clipped n-gram matches ``m1..mN`` and, on request, the LCS length."""
+    All parts come from a single Arrow call, so a batch crosses to Python once.
+    """
+    counts = [part[2] for part in parts.values()]
+    names = list(parts)
 
-    def count(pred: pa.Array, ref: pa.Array) -> pa.Array:
-        return overlap_counts(pred, ref, max_n, lcs, stem)
+    def count_all(*texts: pa.Array) -> pa.Array:
+        found = [overlap_counts(texts[2 * i], texts[2 * i + 1], c) for i, c in enumerate(counts)]
+        return pa.StructArray.from_arrays(found, names)
 
-    return F.arrow_udf(count, overlap_ddl(max_n, lcs))(pred_tokens, ref_tokens)
+    inner = [f"{name}: STRUCT<{', '.join(f'{f}: BIGINT' for f in c.fields)}>" for name, c in zip(names, counts)]
+    return F.arrow_udf(count_all, f"STRUCT<{', '.join(inner)}>")(
+        *[text for pred, ref, _ in parts.values() for text in (pred, ref)]
+    )

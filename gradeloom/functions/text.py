@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -60,78 +61,89 @@ def has_text(c: Column | str) -> Column:
 
 
 # -- tokenizers -------------------------------------------------------------------------
+#
+# A tokenizer prepares the text in the JVM and names the pattern that separates its
+# tokens. ``tokenize`` splits in the JVM; the pair kernel splits the prepared text in
+# Arrow, which moves one string per row instead of a list of them.
 
 
-def whitespace_tokens(c: Column | str) -> Column:
-    return words(F.lower(text_or_empty(c)))
+@dataclass(frozen=True)
+class Tokenizer:
+    prepare: Callable[[Column], Column]
+    separator: str
 
 
-def alnum_tokens(c: Column | str) -> Column:
-    """ROUGE tokens: lower-case runs of ``[a-z0-9]``; every other character separates."""
-    return F.array_remove(F.split(F.lower(text_or_empty(c)), "[^a-z0-9]+"), "")
+def lowered(c: Column | str) -> Column:
+    return F.lower(text_or_empty(c))
 
 
-# The published Treebank word-splitting rules, applied in order.
-# Each is (pattern, replacement). `$` in the public rules means end of text.
-TREEBANK_RULES: Sequence[tuple[str, str]] = (
+# The published Treebank word-splitting rules for lower-cased text, in order,
+# rules that only put spaces around a mark taken together. The flag tells whether a rule can
+# apply to a text without any quotation mark.
+TREEBANK_RULES: Sequence[tuple[str, str, bool]] = (
     # opening quotes
-    (r"([«“‘„]|[`]+)", r" $1 "),
-    (r"^\"", r"``"),
-    (r"(``)", r" $1 "),
-    (r"([ \(\[\{<])(\"|'{2})", r"$1 `` "),
-    (r"(')(?!re|ve|ll|m|t|s|d|n)(\w)\b", r"$1 $2"),
-    # punctuation; a full stop that ends a sentence is split off
-    (r"([^\.])(\.)([\]\)}>\"'»”’ ]*)(?=\s|\z)", r"$1 $2 $3 "),
-    (r"([:,])([^\d])", r" $1 $2"),
-    (r"([:,])\z", r" $1 "),
-    (r"(\.{2,})", r" $1 "),
-    (r"([;@#$%&])", r" $1 "),
-    (r"([?!])", r" $1 "),
-    (r"([^'])' ", r"$1 ' "),
-    (r"(\*)", r" $1 "),
-    # brackets and dashes
-    (r"([\]\[\(\)\{\}<>])", r" $1 "),
-    (r"(--)", r" $1 "),
-    (r"\z", r" "),
+    (r"([«“‘„]|`+)", r" $1 ", False),
+    (r"^\"", r" `` ", False),
+    (r"([ \(\[{<])(\"|'{2})", r"$1 `` ", False),
+    (r"(')(?!re|ve|ll|m|t|s|d|n)(\w)\b", r"$1 $2", False),
+    # a full stop that ends a sentence
+    (r"([^\.])(\.)([\]\)}>\"'»”’ ]*)(?=\s|\z)", r"$1 $2 $3 ", True),
+    # colons and commas, except inside numbers
+    (r"([:,])([^\d]|\z)", r" $1 $2", True),
+    # ellipses, dashes, brackets and other marks
+    (r"(\.{2,}|--|[;@#$%&?!*\]\[(){}<>])", r" $1 ", True),
+    (r"([^'])' ", r"$1 ' ", False),
+    (r"\z", r" ", False),
     # closing quotes and clitics
-    (r"([»”’])", r" $1 "),
-    (r"('')", r" $1 "),
-    (r"(\")", r" '' "),
-    (r"([^' ])('s|'m|'d|') ", r"$1 $2 "),
-    (r"([^' ])('ll|'re|'ve|n't) ", r"$1 $2 "),
+    (r"([»”’]|'')", r" $1 ", False),
+    (r"(\")", r" '' ", False),
+    (r"([^' ])('ll|'re|'ve|n't|'s|'m|'d|') ", r"$1 $2 ", False),
     # contractions
-    (r"\b(can)(not)\b", r" $1 $2 "),
-    (r"\b(d)('ye)\b", r" $1 $2 "),
-    (r"\b(gim|lem)(me)\b", r" $1 $2 "),
-    (r"\b(gon|wan)(na)\b", r" $1 $2 "),
-    (r"\b(got)(ta)\b", r" $1 $2 "),
-    (r"\b(more)('n)\b", r" $1 $2 "),
-    (r" ('t)(is|was)\b", r" $1 $2 "),
+    (r"\b(?:(can)(not)|(gim|lem)(me)|(gon|wan)(na)|(got)(ta))\b", r" $1$3$5$7 $2$4$6$8 ", True),
+    (r"\b(?:(d)('ye)|(more)('n))\b", r" $1$3 $2$4 ", False),
+    (r" ('t)(is|was)\b", r" $1 $2 ", False),
 )
+QUOTATION_MARK = "[\"'`«“‘„»”’]"
 
 
-def treebank_tokens(c: Column | str) -> Column:
-    """Word tokens by the Treebank rules, on lower-cased text.
+def treebank_text(c: Column | str) -> Column:
+    """Lower-cased text with spaces between its word tokens by the Treebank rules.
 
     The public word tokenizer first cuts sentences with a trained model that is
     not available here. On lower-cased text that model ends a sentence at every
     word-final full stop except after learned abbreviations, so this splits off
-    every word-final full stop.
+    every word-final full stop. Texts without quotation marks skip the rules that
+    need one.
     """
-    out = F.lower(text_or_empty(c))
-    for pattern, replacement in TREEBANK_RULES:
-        out = F.regexp_replace(out, pattern, replacement)
-    return F.array_remove(F.split(out, WHITESPACE_RUN), "")
 
+    def apply(x: Column, rules) -> Column:
+        for pattern, replacement, _ in rules:
+            x = F.regexp_replace(x, pattern, replacement)
+        return x
 
-TOKENIZERS: dict[str, Callable[[Column | str], Column]] = {
-    "whitespace": whitespace_tokens,
-    "alnum": alnum_tokens,
-    "treebank": treebank_tokens,
+    def split_marks(x: Column) -> Column:
+        plain = [rule for rule in TREEBANK_RULES if rule[2]]
+        return F.when(x.rlike(QUOTATION_MARK), apply(x, TREEBANK_RULES)).otherwise(apply(x, plain))
+
+    # the one-element array names the lowered text, so it is computed once for the test and the rules
+    return F.transform(F.array(lowered(c)), split_marks)[0]
+
+
+TOKENIZERS: dict[str, Tokenizer] = {
+    # str.split() on lower-cased text
+    "whitespace": Tokenizer(lowered, WHITESPACE_RUN),
+    # ROUGE tokens: runs of [a-z0-9]; every other character separates
+    "alnum": Tokenizer(lowered, "[^a-z0-9]+"),
+    "treebank": Tokenizer(treebank_text, WHITESPACE_RUN),
 }
 
 
+def tokenizer_named(name: str) -> Tokenizer:
+    if name not in TOKENIZERS:
+        raise ValueError(f"unknown tokenizer {name!r}; known: {sorted(TOKENIZERS)}")
+    return TOKENIZERS[name]
+
+
 def tokenize(c: Column | str, tokenizer: str) -> Column:
-    if tokenizer not in TOKENIZERS:
-        raise ValueError(f"unknown tokenizer {tokenizer!r}; known: {sorted(TOKENIZERS)}")
-    return TOKENIZERS[tokenizer](c)
+    rule = tokenizer_named(tokenizer)
+    return F.array_remove(F.split(rule.prepare(_col(c)), rule.separator), "")

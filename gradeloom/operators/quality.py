@@ -8,11 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradeloom.functions.overlap import overlap
-from gradeloom.functions.text import text_or_empty, tokenize
+from gradeloom.functions.overlap import Count, overlap, overlap_counts
+from gradeloom.functions.text import tokenizer_named
 
 # Smoothing constant of the first published sentence-BLEU smoothing method.
 BLEU_EPSILON = 0.1
@@ -97,27 +100,25 @@ def score_pairs(
     rouge_orders = [n for n in (1, 2) if f"rouge_{n}" in wanted]
     lcs = "rouge_l" in wanted
     kept = pairs.columns
-    prediction, reference = text_or_empty("prediction"), text_or_empty("reference")
-
-    counted = {}
+    parts = {}
     if bleu_orders:
-        counted["_bleu"] = overlap(
-            tokenize(prediction, tokenizer), tokenize(reference, tokenizer), max_n=max(bleu_orders)
+        rule = tokenizer_named(tokenizer)
+        parts["bleu"] = (
+            rule.prepare(F.col("prediction")), rule.prepare(F.col("reference")), Count(rule.separator, max(bleu_orders))
         )
     if rouge_orders or lcs:
-        counted["_rouge"] = overlap(
-            tokenize(prediction, "alnum"), tokenize(reference, "alnum"),
-            max_n=max(rouge_orders, default=0), lcs=lcs, stem=stem,
-        )
-    scored = pairs.withColumns(counted)
+        rule = tokenizer_named("alnum")
+        count = Count(rule.separator, max(rouge_orders, default=0), lcs, stem)
+        parts["rouge"] = (rule.prepare(F.col("prediction")), rule.prepare(F.col("reference")), count)
+    scored = pairs.withColumn("_overlap", overlap(parts))
     out: list[Column] = [F.col(c) for c in kept]
     for n in bleu_orders:
-        out.append((bleu_column(F.col("_bleu"), n) * bleu_scale).alias(f"bleu_{n}"))
+        out.append((bleu_column(F.col("_overlap.bleu"), n) * bleu_scale).alias(f"bleu_{n}"))
     for n in rouge_orders:
-        out.append(rouge_n_columns(F.col("_rouge"), n)[2].alias(f"rouge_{n}"))
+        out.append(rouge_n_columns(F.col("_overlap.rouge"), n)[2].alias(f"rouge_{n}"))
     if lcs:
         names = ("rouge_l_precision", "rouge_l_recall", "rouge_l")
-        out += [c.alias(name) for c, name in zip(rouge_l_columns(F.col("_rouge")), names)]
+        out += [c.alias(name) for c, name in zip(rouge_l_columns(F.col("_overlap.rouge")), names)]
     return scored.select(*out)
 
 
@@ -131,33 +132,35 @@ def scorecard(scored: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:
     return scored.groupBy(*by).agg(F.count(F.lit(1)).alias("num_samples"), *means)
 
 
-def register_sql_functions(spark) -> None:
-    """``bleu(prediction, reference)`` and ``rouge_l(prediction, reference)`` for SQL text.
+def register_sql_functions(spark: SparkSession) -> None:
+    """Make ``bleu(prediction, reference)`` and ``rouge_l(prediction, reference)`` callable in SQL.
 
-    Both take token arrays' overlap from the same Arrow kernel and are callable
-    from ``spark.sql``; tokens are whitespace words and ROUGE words respectively.
+    BLEU-4 counts whitespace words, ROUGE-L is the F1 over unstemmed ROUGE words.
     """
-    import pyarrow as pa
-    import pyarrow.compute as pc
-
-    from gradeloom.functions.overlap import overlap_counts
-
-    def tokens(texts: pa.Array, pattern: str) -> pa.ListArray:
-        lowered = pc.utf8_lower(pc.fill_null(texts, ""))
-        cleaned = pc.utf8_trim_whitespace(pc.replace_substring_regex(lowered, pattern, " "))
-        pieces = pc.split_pattern(cleaned, " ")
-        empty = pc.equal(cleaned, "")
-        return pc.if_else(empty, pa.scalar([], pieces.type), pieces)
-
-    @F.arrow_udf("STRUCT<pred_len: BIGINT, ref_len: BIGINT, m1: BIGINT, m2: BIGINT, m3: BIGINT, m4: BIGINT>")
-    def bleu_counts(pred: pa.Array, ref: pa.Array) -> pa.Array:
-        space = r"\s+"
-        return overlap_counts(tokens(pred, space), tokens(ref, space), 4, False, False)
-
-    @F.arrow_udf("STRUCT<pred_len: BIGINT, ref_len: BIGINT, lcs: BIGINT>")
-    def lcs_counts(pred: pa.Array, ref: pa.Array) -> pa.Array:
-        other = r"[^a-z0-9]+"
-        return overlap_counts(tokens(pred, other), tokens(ref, other), 0, True, False)
-
-    spark.udf.register("pair_ngram_counts", bleu_counts)
-    spark.udf.register("pair_lcs_counts", lcs_counts)
+    plain, other = tokenizer_named("whitespace").separator, tokenizer_named("alnum").separator
+
+    def texts(a: pa.Array) -> pa.Array:
+        return pc.utf8_lower(pc.fill_null(a, ""))
+
+    def column(counts: pa.StructArray, name: str) -> np.ndarray:
+        return counts.field(name).to_numpy(zero_copy_only=False).astype(np.float64)
+
+    @F.arrow_udf("double")
+    def bleu(pred: pa.Array, ref: pa.Array) -> pa.Array:
+        c = overlap_counts(texts(pred), texts(ref), Count(plain, 4))
+        p_len, r_len = column(c, "pred_len"), column(c, "ref_len")
+        logs = sum(
+            np.log(np.where(column(c, f"m{n}") > 0, column(c, f"m{n}"), BLEU_EPSILON) / np.maximum(1, p_len - n + 1))
+            for n in range(1, 5)
+        )
+        brevity = np.where(p_len > r_len, 1.0, np.exp(1 - r_len / np.maximum(p_len, 1)))
+        return pa.array(np.where(column(c, "m1") > 0, brevity * np.exp(logs / 4), 0.0))
+
+    @F.arrow_udf("double")
+    def rouge_l(pred: pa.Array, ref: pa.Array) -> pa.Array:
+        c = overlap_counts(texts(pred), texts(ref), Count(other, 0, lcs=True))
+        both = column(c, "pred_len") + column(c, "ref_len")
+        return pa.array(2 * column(c, "lcs") / np.maximum(both, 1))
+
+    spark.udf.register("bleu", bleu)
+    spark.udf.register("rouge_l", rouge_l)

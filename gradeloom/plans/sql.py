@@ -221,7 +221,7 @@ LCS_F = f1(f"({LCS_P})", f"({LCS_R})")
 def treebank_tokens(text: str) -> str:
     """The word-splitting rules without look-ahead, for texts without apostrophe clitics."""
     out = f"lower({text})"
-    for pattern, replacement in TREEBANK_RULES:
+    for pattern, replacement, _ in TREEBANK_RULES:
         if "(?!" in pattern:
             continue
         if "(?=" in pattern:

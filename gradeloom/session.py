@@ -43,7 +43,11 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
 
     One small file arrives as one task, which would run all row-local work on
     one core. Inputs with enough splits keep their layout and are not shuffled.
+    The partition count is given, because an open one would be coalesced by size
+    alone, while row-local text work is bound by computation.
     """
-    if df.rdd.getNumPartitions() >= df.sparkSession.sparkContext.defaultParallelism:
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
         return df
-    return df.repartition(*keys)
+    # a few tasks per core even out texts of very different length
+    return df.repartition(4 * cores, *keys)
