@@ -8,16 +8,18 @@ side; token pairs are never emitted as rows.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gradeloom.functions.text import tokenize
+from gradeloom.functions.overlap import split_tokens
+from gradeloom.functions.text import tokenize, tokenizer_named
 from gradeloom.operators.quality import f_measure
 
-# Vector tables up to this many bytes are shipped to every worker; larger ones are joined.
-SHIP_BYTES = 256 << 20
+# Vector tables of at most so many tokens are shipped to every worker; larger ones are joined.
+SHIP_TOKENS = 500_000
 BLOCK = 2048
 SALTS = 64
 
@@ -29,18 +31,22 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.where(norms > 0, norms, 1.0)
 
 
-def greedy_match(pred: np.ndarray, pred_n: np.ndarray, ref: np.ndarray, ref_n: np.ndarray) -> tuple[float, float]:
-    """Mean best similarity of either side; rows are unit vectors, ``*_n`` how often each occurs."""
-    if not len(pred) or not len(ref):
-        return 0.0, 0.0
-    best_pred = np.full(len(pred), -np.inf)
-    best_ref = np.full(len(ref), -np.inf)
-    for i in range(0, len(pred), BLOCK):
-        for j in range(0, len(ref), BLOCK):
-            similarity = pred[i:i + BLOCK] @ ref[j:j + BLOCK].T
-            np.maximum(best_pred[i:i + BLOCK], similarity.max(axis=1), out=best_pred[i:i + BLOCK])
-            np.maximum(best_ref[j:j + BLOCK], similarity.max(axis=0), out=best_ref[j:j + BLOCK])
-    return float(best_pred @ pred_n / pred_n.sum()), float(best_ref @ ref_n / ref_n.sum())
+def best_matches(of: np.ndarray, among: np.ndarray) -> np.ndarray:
+    """Highest similarity of each row of ``of`` with a row of ``among``; rows are unit vectors."""
+    best = np.full(len(of), -np.inf)
+    for i in range(0, len(of), BLOCK):
+        for j in range(0, len(among), BLOCK):
+            similarity = of[i:i + BLOCK] @ among[j:j + BLOCK].T
+            np.maximum(best[i:i + BLOCK], similarity.max(axis=1), out=best[i:i + BLOCK])
+    return best
+
+
+def _mean_best(vectors: np.ndarray, ids: np.ndarray, counts: np.ndarray, others: np.ndarray, self_match: np.ndarray) -> float:
+    """Weighted mean of the best matches; a vector that both sides have is its own best match."""
+    common = np.isin(ids, others, assume_unique=True)
+    best = np.where(common, self_match[ids], 0.0)
+    best[~common] = best_matches(vectors[ids[~common]], vectors[others])
+    return float(best @ counts / counts.sum())
 
 
 def _result(rows: list[tuple[float, float]]) -> pa.StructArray:
@@ -48,33 +54,47 @@ def _result(rows: list[tuple[float, float]]) -> pa.StructArray:
     return pa.StructArray.from_arrays([pa.array(p, pa.float64()), pa.array(r, pa.float64())], ["precision", "recall"])
 
 
-def _bounds(lists: pa.ListArray) -> np.ndarray:
-    lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-    return np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
-
+def _match_shipped(pairs: DataFrame, table: pa.Table, tokenizer: str) -> DataFrame:
+    rule = tokenizer_named(tokenizer)
+    vectors = table["vec"].combine_chunks()
+    rows = vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), -1)
+    # tokens with the same vector share one entry, so only distinct vectors are shipped
+    slots, _ = pd.factorize(np.array([row.tobytes() for row in rows], dtype=object))
+    first = np.zeros(slots.max(initial=-1) + 1, dtype=np.int64)
+    first[slots[::-1]] = np.arange(len(slots))[::-1]
+    units = _unit(rows[first].astype(np.float64))
+    shipped = pairs.sparkSession.sparkContext.broadcast(
+        (table["token"].combine_chunks(), slots.astype(np.int32), units, (units * units).sum(axis=1))
+    )
 
-def _match_shipped(shipped, pred_tokens: Column, ref_tokens: Column) -> Column:
-    def side(lists: pa.ListArray, names: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        encoded = lists.flatten().dictionary_encode()
+    def side(texts: pa.Array, names: pa.Array, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        tokens, lengths = split_tokens(texts, rule.separator)
+        encoded = tokens.dictionary_encode()
         known = pc.fill_null(pc.index_in(encoded.dictionary, value_set=names), -1).to_numpy(zero_copy_only=False)
+        per_token = np.where(known >= 0, slots[known], -1) if len(slots) else np.full(len(known), -1)
         codes = encoded.indices.to_numpy(zero_copy_only=False)
-        return (known[codes] if len(codes) else np.zeros(0, dtype=np.int64)), _bounds(lists)
+        return per_token[codes], np.concatenate([[0], np.cumsum(lengths)])
 
     def match(pred: pa.Array, ref: pa.Array) -> pa.Array:
-        names, slots, vectors = shipped.value
-        p_at, p_ends = side(pred, names)
-        r_at, r_ends = side(ref, names)
-        rows = []
+        names, slots, units, self_match = shipped.value
+        p_at, p_ends = side(pred, names, slots)
+        r_at, r_ends = side(ref, names, slots)
+        found = []
         for i in range(len(pred)):
-            # tokens that share a vector are one distinct row with a count
             p = p_at[p_ends[i]:p_ends[i + 1]]
             r = r_at[r_ends[i]:r_ends[i + 1]]
-            p_id, p_n = np.unique(slots[p[p >= 0]], return_counts=True)
-            r_id, r_n = np.unique(slots[r[r >= 0]], return_counts=True)
-            rows.append(greedy_match(vectors[p_id], p_n, vectors[r_id], r_n))
-        return _result(rows)
+            p_id, p_n = np.unique(p[p >= 0], return_counts=True)
+            r_id, r_n = np.unique(r[r >= 0], return_counts=True)
+            if len(p_id) and len(r_id):
+                found.append(
+                    (_mean_best(units, p_id, p_n, r_id, self_match), _mean_best(units, r_id, r_n, p_id, self_match))
+                )
+            else:
+                found.append((0.0, 0.0))
+        return _result(found)
 
-    return F.arrow_udf(match, _PR)(pred_tokens, ref_tokens)
+    matched = F.arrow_udf(match, _PR)(rule.prepare(F.col("prediction")), rule.prepare(F.col("reference")))
+    return pairs.withColumn("_match", matched)
 
 
 def _vector_rows(lists: pa.ListArray) -> np.ndarray:
@@ -114,43 +134,32 @@ def _match_joined(pairs: DataFrame, vectors: DataFrame, tokenizer: str) -> DataF
     )
 
     def match(p_n: pa.Array, p_vec: pa.Array, r_n: pa.Array, r_vec: pa.Array) -> pa.Array:
-        rows = []
+        found = []
         for i in range(len(p_n)):
-            rows.append(
-                greedy_match(
-                    _vector_rows(p_vec[i].values), p_n[i].values.to_numpy(zero_copy_only=False),
-                    _vector_rows(r_vec[i].values), r_n[i].values.to_numpy(zero_copy_only=False),
-                )
-            )
-        return _result(rows)
+            p, r = _vector_rows(p_vec[i].values), _vector_rows(r_vec[i].values)
+            if len(p) and len(r):
+                p_count = p_n[i].values.to_numpy(zero_copy_only=False)
+                r_count = r_n[i].values.to_numpy(zero_copy_only=False)
+                found.append((best_matches(p, r) @ p_count / p_count.sum(), best_matches(r, p) @ r_count / r_count.sum()))
+            else:
+                found.append((0.0, 0.0))
+        return _result(found)
 
     scored = F.arrow_udf(match, _PR)(F.col("p.n"), F.col("p.vec"), F.col("r.n"), F.col("r.vec"))
     return pairs.join(gathered.select("model", "id", scored.alias("_match")), ["model", "id"], "left")
 
 
 def match_tokens(
-    pairs: DataFrame, vectors: DataFrame, tokenizer: str = "whitespace", ship_bytes: int = SHIP_BYTES
+    pairs: DataFrame, vectors: DataFrame, tokenizer: str = "whitespace", ship_tokens: int = SHIP_TOKENS
 ) -> DataFrame:
     """Pairs plus BERTScore precision, recall and F1 over a ``(token, vec)`` table.
 
     No idf weights and no baseline rescaling. Tokens without a vector are left out.
+    A table of at most ``ship_tokens`` rows goes to the workers, a larger one is joined.
     """
-    extent = vectors.agg(
-        F.count(F.lit(1)).alias("rows"), F.max(F.size("vec")).alias("width"),
-        F.sum(F.octet_length("token")).alias("text"),
-    ).first()
-    size = extent["rows"] * 8 * (extent["width"] or 0) + (extent["text"] or 0)
-    if size <= ship_bytes:
-        table = vectors.select("token", "vec").toArrow()
-        raw = table["vec"].combine_chunks()
-        raw = raw.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(table), -1)
-        distinct, slots = np.unique(raw, axis=0, return_inverse=True)
-        shipped = pairs.sparkSession.sparkContext.broadcast(
-            (table["token"].combine_chunks(), slots.reshape(-1), _unit(distinct))
-        )
-        matched = pairs.withColumn(
-            "_match", _match_shipped(shipped, tokenize("prediction", tokenizer), tokenize("reference", tokenizer))
-        )
+    table = vectors.select("token", "vec").limit(ship_tokens + 1).toArrow()
+    if len(table) <= ship_tokens:
+        matched = _match_shipped(pairs, table, tokenizer)
     else:
         matched = _match_joined(pairs, vectors, tokenizer)
     p = F.coalesce(F.col("_match.precision"), F.lit(0.0))

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gradeloom.session import small_side
+
 # Slots per doubling-e of the value: a slot spans 0.006 % of its value.
 SLOTS = 16384
 # Above ln(2^1074) * SLOTS, so slots of positive values stay positive.
@@ -25,45 +27,55 @@ def value_slot(value: Column) -> Column:
     return F.when(value > 0, magnitude).when(value < 0, -magnitude).otherwise(F.lit(0)).cast("long")
 
 
-def percentiles(df: DataFrame, keys: Sequence[str], value: str, probabilities: Sequence[float]) -> DataFrame:
-    """Rows ``(keys, p, percentile)`` with linear interpolation between the closest ranks."""
-    merged = (
-        df.where(F.col(value).isNotNull())
-        .select(*keys, F.col(value).cast("double").alias("_v"))
-        .withColumn("_slot", value_slot(F.col("_v")))
-        .groupBy(*keys, "_slot", "_v")
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
+def _wanted_slots(slots: DataFrame, keys: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
+    """The slots that hold a wanted rank, each with its ranks and the rows before it."""
     by_slot = Window.partitionBy(*keys).orderBy("_slot")
-    whole = Window.partitionBy(*keys)
-    slots = (
-        merged.groupBy(*keys, "_slot")
-        .agg(F.sum("_n").alias("_in_slot"))
-        .withColumn("_upto", F.sum("_in_slot").over(by_slot))
-        .withColumn("_total", F.sum("_in_slot").over(whole))
+    placed = slots.withColumn("_upto", F.sum("_in_slot").over(by_slot)).withColumn(
+        "_total", F.sum("_in_slot").over(Window.partitionBy(*keys))
     )
-    wanted = F.explode(F.array(*[F.lit(float(p)) for p in probabilities]))
     at = F.col("p") * (F.col("_total") - 1)
-    ranks = (
-        slots.select("*", wanted.alias("p"))
+    before = F.col("_upto") - F.col("_in_slot")
+    return (
+        placed.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])))
         .withColumn("_rank", F.explode(F.array(F.floor(at), F.ceil(at))))
-        .where((F.col("_rank") < F.col("_upto")) & (F.col("_rank") >= F.col("_upto") - F.col("_in_slot")))
-        .select(*keys, "_slot", "p", "_rank", (at - F.floor(at)).alias("_frac"),
-                (F.col("_upto") - F.col("_in_slot")).alias("_before"))
+        .where((F.col("_rank") < F.col("_upto")) & (F.col("_rank") >= before))
+        .groupBy(*keys, "_slot")
+        .agg(
+            F.collect_set(F.struct("p", "_rank", (at - F.floor(at)).alias("_frac"))).alias("_ranks"),
+            F.max(before).alias("_before"),
+        )
     )
-    in_slot = Window.partitionBy(*keys, "_slot").orderBy("_v")
-    targets = ranks.groupBy(*keys, "_slot").agg(
-        F.collect_set(F.struct("p", "_rank", "_frac")).alias("_targets"), F.first("_before").alias("_before")
+
+
+def percentiles(df: DataFrame, keys: Sequence[str], value: str, probabilities: Sequence[float]) -> DataFrame:
+    """Rows ``(keys, p, percentile)`` with linear interpolation between the closest ranks.
+
+    The first pass counts slots. The second keeps the rows of the wanted slots,
+    merges equal values and ranks them; with few groups the wanted slots are a
+    handful of local rows, so nothing but those rows is shuffled.
+    """
+    rows = (
+        df.where(F.col(value).isNotNull())
+        .select(*keys, F.col(value).cast("double").alias("_v"))
+        .withColumn("_slot", value_slot(F.col("_v")))
     )
+    slots = rows.groupBy(*keys, "_slot").agg(F.count(F.lit(1)).alias("_in_slot"))
+    located = _wanted_slots(slots, keys, probabilities)
+    wanted = small_side(located)
+    if wanted is not located:
+        rows = rows.join(wanted.select(*keys, "_slot"), [*keys, "_slot"], "left_semi")
+    in_slot = Window.partitionBy(*keys, "_slot").orderBy("_v")
+    upto = F.col("_before") + F.col("_running")
     hits = (
-        merged.join(targets, [*keys, "_slot"])
-        .withColumn("_upto", F.col("_before") + F.sum("_n").over(in_slot))
-        .select("*", F.explode("_targets").alias("_t"))
-        .where((F.col("_t._rank") < F.col("_upto")) & (F.col("_t._rank") >= F.col("_upto") - F.col("_n")))
+        rows.groupBy(*keys, "_slot", "_v").agg(F.count(F.lit(1)).alias("_n"))
+        .join(wanted, [*keys, "_slot"])
+        .withColumn("_running", F.sum("_n").over(in_slot))
+        .select("*", F.explode("_ranks").alias("_r"))
+        .where((F.col("_r._rank") < upto) & (F.col("_r._rank") >= upto - F.col("_n")))
     )
     low, high = F.min("_v"), F.max("_v")
-    return hits.groupBy(*keys, F.col("_t.p").alias("p")).agg(
-        (low + (high - low) * F.max("_t._frac")).alias("percentile")
+    return hits.groupBy(*keys, F.col("_r.p").alias("p")).agg(
+        (low + (high - low) * F.max("_r._frac")).alias("percentile")
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gradeloom.operators.percentiles import with_percentiles
+from gradeloom.session import small_side
 
 # Request timeout, warm-up length, z-value of the 90th percentile.
 TIMEOUT_S = 60.0
@@ -44,18 +45,6 @@ def drop_warmup(requests: DataFrame, warmup: int = WARMUP, by: Sequence[str] = B
     )
 
 
-def small_side(summary: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """A per-group summary as local rows when it has at most ``max_rows`` of them.
-
-    Local rows have a known size, so the planner broadcasts them by its own
-    threshold; a longer summary is returned as it is and joined by shuffle.
-    """
-    rows = summary.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return summary
-    return summary.sparkSession.createDataFrame(rows, summary.schema)
-
-
 def benchmark_summary(requests: DataFrame, by: Sequence[str] = BY, exact: bool = True) -> DataFrame:
     """Latency mean, range and percentiles, throughput, tokens and memory per group.
 
