@@ -13,8 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# 16^3 hash chunks: the table of chunk offsets never has more rows than this.
-HEX_DIGITS = 3
+# 16^4 hash chunks: many more than tasks, and the table of chunk offsets never has more rows.
+HEX_DIGITS = 4
 
 _FOLDS = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
 

@@ -72,13 +72,11 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def histogram(df: DataFrame, columns: Sequence[str], bins: int = 50) -> DataFrame:
     """Equal-width bins between min and max; the last bin includes the maximum.
 
-    Equal values are counted first, so the rows that meet the range are the
-    distinct values. The range table has one row per requested column.
+    One pass finds the range, one counts the bins; only bin counts are shuffled.
+    The range table has one row per requested column.
     """
-    counts = _long(df, columns).where("value IS NOT NULL").groupBy("metric", "value").agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    spans = counts.groupBy("metric").agg(F.min("value").alias("low"), F.max("value").alias("high"))
+    long = _long(df, columns).where("value IS NOT NULL")
+    spans = long.groupBy("metric").agg(F.min("value").alias("low"), F.max("value").alias("high"))
     # a column with a single value spans one unit around it, as plotting libraries do
     flat = F.col("high") == F.col("low")
     spans = spans.select(
@@ -88,9 +86,9 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 50) -> DataFram
     )
     place = F.least(F.floor((F.col("value") - F.col("low")) / F.col("span") * bins), F.lit(bins - 1))
     return (
-        counts.join(F.broadcast(spans), "metric")
+        long.join(F.broadcast(spans), "metric")
         .groupBy("metric", place.cast("long").alias("bin"), "low", "span")
-        .agg(F.sum("n").alias("n"))
+        .agg(F.count(F.lit(1)).alias("n"))
         .select(
             "metric", "bin",
             (F.col("low") + F.col("bin") * F.col("span") / bins).alias("bin_start"),

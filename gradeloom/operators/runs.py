@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gradeloom.operators.prefix import rank_within, running
+from gradeloom.operators.prefix import rank_within
 
 # Early-stopping patience; run-id pattern; steps per running chunk.
 PATIENCE = 3
@@ -55,26 +55,53 @@ def early_stop(log: DataFrame, patience: int = PATIENCE) -> DataFrame:
     """Stop step and best checkpoint per run from an evaluation-loss log.
 
     A step improves when its loss is below every earlier one. The run stops at
-    the first step with ``patience`` steps since the last improvement; the best
-    checkpoint is the lowest loss up to there. Steps are dense from 1. Long runs
-    are cut into chunks of steps, so no run is processed by a single task.
+    the first step that lies ``patience`` steps after the last improvement; that
+    improvement is its best checkpoint. Steps are dense from 1.
+
+    Long runs are cut into chunks of steps. A chunk learns the lowest loss before
+    it from the chunk minima, marks its own steps, and is reduced to one row where
+    it stands; the rows of a run are then read in order.
     """
     chunk = F.floor((F.col("step") - 1) / CHUNK_STEPS)
-    chunked = log.withColumn("_chunk", chunk)
-    bests = running(chunked, ["run"], "_chunk", ["step"], "eval_loss", "min", "_best", inclusive=False)
-    improved = F.col("_best").isNull() | (F.col("eval_loss") < F.col("_best"))
-    marked = bests.withColumn("_mark", F.when(improved, F.col("step")))
-    since = running(marked, ["run"], "_chunk", ["step"], "_mark", "max", "_last")
-    stalled = F.col("step") - F.col("_last") >= patience
-    stops = since.groupBy("run").agg(
-        F.min(F.when(stalled, F.col("step"))).alias("stop_step"), F.max("step").alias("num_steps")
+    chunked = log.select("run", "step", "eval_loss", chunk.alias("chunk"))
+    before = Window.partitionBy("run").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    minima = (
+        chunked.groupBy("run", "chunk").agg(F.min("eval_loss").alias("lowest"))
+        .select("run", "chunk", F.min("lowest").over(before).alias("carried"))
+    )
+    inside = Window.partitionBy("run", "chunk").orderBy("step")
+    earlier = F.least("carried", F.min("eval_loss").over(inside.rowsBetween(Window.unboundedPreceding, -1)))
+    improved = F.col("earlier").isNull() | (F.col("eval_loss") < F.col("earlier"))
+    last = F.max(F.when(improved, F.col("step"))).over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    stalled = F.col("step") - F.col("last") >= patience
+    chunks = (
+        chunked.join(minima, ["run", "chunk"])
+        .withColumn("earlier", earlier)
+        .withColumn("last", last)
+        .groupBy("run", "chunk", "carried")
+        .agg(
+            F.min("step").alias("first_step"),
+            F.max("step").alias("last_step"),
+            F.min("last").alias("first_gain"),
+            F.max("last").alias("last_gain"),
+            F.min(F.when(stalled, F.struct("step", F.col("earlier").alias("loss")))).alias("stop"),
+            F.min("eval_loss").alias("lowest"),
+        )
+    )
+    # steps at the head of a chunk may still wait for an improvement from before it
+    waiting = F.col("gain_before") + patience
+    head = (waiting >= F.col("first_step")) & (waiting <= F.col("last_step")) & (
+        F.col("first_gain").isNull() | (waiting < F.col("first_gain"))
     )
-    before = log.join(stops, "run").where(
-        F.col("stop_step").isNull() | (F.col("step") <= F.col("stop_step"))
+    stops = chunks.withColumn("gain_before", F.max("last_gain").over(before)).withColumn(
+        "stop", F.when(head, F.struct(waiting.alias("step"), F.col("carried").alias("loss"))).otherwise(F.col("stop"))
     )
-    first_best = F.min(F.struct("eval_loss", "step"))
-    return before.groupBy("run", "stop_step", "num_steps").agg(first_best.alias("_b")).select(
-        "run", "stop_step", F.col("_b.step").alias("best_step"), F.col("_b.eval_loss").alias("best_loss"), "num_steps"
+    stop = F.min("stop")
+    return stops.groupBy("run").agg(
+        stop["step"].alias("stop_step"),
+        F.coalesce(stop["step"] - patience, F.max("last_gain")).alias("best_step"),
+        F.coalesce(stop["loss"], F.min("lowest")).alias("best_loss"),
+        F.max("last_step").alias("num_steps"),
     )
 
 

@@ -8,7 +8,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gradeloom.functions.text import tokenize, words
+from gradeloom.functions.overlap import split_tokens
+from gradeloom.functions.text import tokenize, tokenizer_named, words
 from gradeloom.operators.prefix import global_rank
 
 # Special ids, padding and label conventions of the tokenizer.
@@ -51,33 +52,34 @@ def encode(
     at most ``limit`` entries is shipped to the workers and looked up per Arrow
     batch; a larger one is joined.
     """
-    tokens = df.withColumn("_tokens", tokenize(text, tokenizer))
+    rule = tokenizer_named(tokenizer)
     entries = vocabulary.select("token", "token_id").limit(limit + 1).collect()
     if len(entries) <= limit:
         shipped = df.sparkSession.sparkContext.broadcast(
-            ([r.token for r in entries], np.array([r.token_id for r in entries] + [UNK], dtype=np.int32))
+            (pa.array([r.token for r in entries], pa.string()), np.array([r.token_id for r in entries] + [UNK], dtype=np.int32))
         )
 
-        def look_up(lists: pa.Array) -> pa.Array:
+        def look_up(texts: pa.Array) -> pa.Array:
             names, ids = shipped.value
-            flat = lists.flatten()
-            at = pc.index_in(flat.dictionary_encode().dictionary, value_set=pa.array(names, pa.string()))
-            per_token = pc.fill_null(at, len(names)).to_numpy(zero_copy_only=False)
-            codes = flat.dictionary_encode().indices.to_numpy(zero_copy_only=False)
-            lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-            offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-            values = ids[per_token[codes]] if len(codes) else np.zeros(0, dtype=np.int32)
-            return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()))
-
-        ids = F.arrow_udf(look_up, "array<int>")(F.col("_tokens"))
-        encoded = tokens.withColumn("input_ids", F.concat(F.array(F.lit(BOS)), ids))
+            tokens, lengths = split_tokens(texts, rule.separator)
+            encoded = tokens.dictionary_encode()
+            known = pc.fill_null(pc.index_in(encoded.dictionary, value_set=names), len(names))
+            per_token = ids[known.to_numpy(zero_copy_only=False)]
+            # every text starts with the start id
+            starts = np.concatenate([[0], np.cumsum(lengths)])
+            codes = encoded.indices.to_numpy(zero_copy_only=False)
+            values = np.insert(per_token[codes], starts[:-1], BOS)
+            offsets = pa.array((starts + np.arange(len(starts))).astype(np.int32))
+            return pa.ListArray.from_arrays(offsets, pa.array(values, pa.int32()))
+
+        encoded = df.withColumn("input_ids", F.arrow_udf(look_up, "array<int>")(rule.prepare(F.col(text))))
     else:
-        spelled = tokens.select("id", F.posexplode("_tokens").alias("_pos", "token"))
+        spelled = df.select("id", F.posexplode(tokenize(text, tokenizer)).alias("_pos", "token"))
         known = spelled.join(vocabulary.select("token", "token_id"), "token", "left")
         pieces = known.groupBy("id").agg(
             F.array_sort(F.collect_list(F.struct("_pos", F.coalesce("token_id", F.lit(UNK)).alias("t")))).alias("_ids")
         )
-        encoded = tokens.join(pieces, "id", "left").withColumn(
+        encoded = df.join(pieces, "id", "left").withColumn(
             "input_ids",
             F.concat(F.array(F.lit(BOS)), F.coalesce(F.col("_ids.t"), F.array().cast("array<int>"))),
         ).drop("_ids")
@@ -88,7 +90,7 @@ def encode(
             "attention_mask": F.array_repeat(F.lit(1), F.size("input_ids")),
             "labels": F.col("input_ids"),
         }
-    ).drop("_tokens")
+    )
 
 
 def _padded(ids: Column, filler: int, to: Column) -> Column:
