@@ -19,6 +19,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from gradeloom.functions.porter import rouge_stem
+from gradeloom.functions.text import Splitter
 
 # Tokens counted together: the arrays of one slice stay small whatever the batch holds.
 SLICE_TOKENS = 1 << 16
@@ -28,7 +29,7 @@ SLICE_TOKENS = 1 << 16
 class Count:
     """What to count on one pair of prepared texts."""
 
-    separator: str
+    splitter: Splitter
     max_n: int
     lcs: bool = False
     stem: bool = False
@@ -39,25 +40,55 @@ class Count:
         return ["pred_len", "ref_len", *grams] + (["lcs"] if self.lcs else [])
 
 
-def lcs_length(a, b) -> int:
+def lcs_length(a: np.ndarray, b: np.ndarray) -> int:
     """Longest common subsequence by bit-parallel rows over Python integers."""
-    if len(a) > len(b):
-        a, b = b, a
+    # a common beginning belongs to some longest subsequence
+    n = min(len(a), len(b))
+    apart = np.flatnonzero(a[:n] != b[:n])
+    same = int(apart[0]) if len(apart) else n
+    short, long = sorted((a[same:].tolist(), b[same:].tolist()), key=len)
+    if not short:
+        return same
     positions: dict[int, int] = {}
-    for i, token in enumerate(b):
+    for i, token in enumerate(long):
         positions[token] = positions.get(token, 0) | (1 << i)
-    width = len(b)
-    row = (1 << width) - 1
-    for token in a:
+    full = (1 << len(long)) - 1
+    row = full
+    for token in short:
         hit = row & positions.get(token, 0)
         if hit:
             row = (row + hit) | (row - hit)
-    return width - (row & ((1 << width) - 1)).bit_count()
+    return same + len(long) - (row & full).bit_count()
 
 
-def split_tokens(texts: pa.Array, separator: str) -> tuple[pa.Array, np.ndarray]:
+def split_tokens(texts: pa.Array, splitter: Splitter) -> tuple[pa.Array, np.ndarray]:
     """All tokens of the texts in one array, and how many each text has."""
-    pieces = pc.split_pattern_regex(pc.fill_null(texts, ""), separator)
+    texts = pc.fill_null(texts, "").cast(pa.large_string())
+    if splitter.wide and pc.any(pc.match_substring_regex(texts, splitter.wide)).as_py():
+        return _split_by_pattern(texts, splitter.pattern)
+    _, offsets, data = texts.buffers()
+    ends = np.frombuffer(offsets, dtype=np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    chars = np.frombuffer(data, dtype=np.uint8)[ends[0]:ends[-1]] if data else np.zeros(0, dtype=np.uint8)
+    ends = ends - ends[0]
+    is_token = np.zeros(256, dtype=bool)
+    is_token[list(splitter.token_bytes)] = True
+    inside = is_token[chars]
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    # a token also begins where its text does
+    heads = ends[:-1][ends[:-1] < len(chars)]
+    begins[heads] = inside[heads]
+    at = np.flatnonzero(begins)
+    starts = np.concatenate([[0], np.cumsum(inside)])[at]
+    bounds = np.concatenate([starts, [int(inside.sum())]]).astype(np.int64)
+    tokens = pa.Array.from_buffers(
+        pa.large_string(), len(at), [None, pa.py_buffer(bounds), pa.py_buffer(chars[inside])]
+    )
+    return tokens, np.diff(np.searchsorted(at, ends))
+
+
+def _split_by_pattern(texts: pa.Array, pattern: str) -> tuple[pa.Array, np.ndarray]:
+    pieces = pc.split_pattern_regex(texts, pattern)
     lengths = pc.list_value_length(pieces).to_numpy(zero_copy_only=False)
     flat = pieces.flatten()
     # a separator at either end of a text leaves an empty piece there
@@ -92,8 +123,8 @@ def _slices(tokens_per_pair: np.ndarray) -> list[tuple[int, int]]:
 
 
 def overlap_counts(pred: pa.Array, ref: pa.Array, count: Count) -> pa.StructArray:
-    pred_tokens, pred_len = split_tokens(pred, count.separator)
-    ref_tokens, ref_len = split_tokens(ref, count.separator)
+    pred_tokens, pred_len = split_tokens(pred, count.splitter)
+    ref_tokens, ref_len = split_tokens(ref, count.splitter)
     codes, size = token_codes(pa.concat_arrays([pred_tokens, ref_tokens]), count.stem)
     pred_at = np.concatenate([[0], np.cumsum(pred_len)])
     ref_at = np.concatenate([[0], np.cumsum(ref_len)]) + pred_at[-1]
@@ -120,7 +151,7 @@ def _slice_counts(
     columns = {}
     at = np.arange(len(codes))
     gram = pair
-    for n in range(1, max_n + 1):
+    for n in range(1, max(max_n, int(lcs)) + 1):
         keep = left[at] >= n
         at, gram = at[keep], gram[keep]
         # a gram is its (n-1)-gram, already tied to the pair, plus one more token
@@ -130,21 +161,29 @@ def _slice_counts(
             np.bincount(gram[in_pred], minlength=len(distinct)),
             np.bincount(gram[~in_pred], minlength=len(distinct)),
         )
-        owner = np.zeros(len(distinct), dtype=np.int64)
-        owner[gram] = pair[at]
-        columns[f"m{n}"] = np.bincount(owner, weights=shared, minlength=rows).astype(np.int64)
+        if n <= max_n:
+            owner = np.zeros(len(distinct), dtype=np.int64)
+            owner[gram] = pair[at]
+            columns[f"m{n}"] = np.bincount(owner, weights=shared, minlength=rows).astype(np.int64)
         # a longer gram can only be shared where this one is
         alive = shared[gram] > 0
         at, gram = at[alive], gram[alive]
-    if lcs:
-        flat = codes.tolist()
-        starts = (ends - lens).tolist()
-        stops = ends.tolist()
-        columns["lcs"] = np.array(
-            [lcs_length(flat[starts[i]:stops[i]], flat[starts[rows + i]:stops[rows + i]]) for i in range(rows)],
-            dtype=np.int64,
-        )
-    return columns
+        if n == 1 and lcs:
+            columns["lcs"] = _lcs_lengths(codes[at], pair[at], at < n_pred, rows)
+    # in the declared order
+    return {name: columns[name] for name in sorted(columns, key=lambda c: (c == "lcs", c))}
+
+
+def _lcs_lengths(codes: np.ndarray, pair: np.ndarray, in_pred: np.ndarray, rows: int) -> np.ndarray:
+    """LCS per pair over the tokens that both of its texts have; the others cannot take part."""
+    sides = []
+    for side in (in_pred, ~in_pred):
+        ends = np.cumsum(np.bincount(pair[side], minlength=rows))
+        sides.append((codes[side], [0, *ends.tolist()]))
+    (p, p_at), (r, r_at) = sides
+    return np.array(
+        [lcs_length(p[p_at[i]:p_at[i + 1]], r[r_at[i]:r_at[i + 1]]) for i in range(rows)], dtype=np.int64
+    )
 
 
 def overlap(parts: Mapping[str, tuple[Column, Column, Count]]) -> Column:

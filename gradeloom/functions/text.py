@@ -67,10 +67,31 @@ def has_text(c: Column | str) -> Column:
 # Arrow, which moves one string per row instead of a list of them.
 
 
+@dataclass(frozen=True)
+class Splitter:
+    """Where tokens end: a separator pattern, and the same rule for single UTF-8 bytes.
+
+    ``token_bytes`` are the bytes that belong to tokens. ``wide`` matches separators
+    outside ASCII, for which the byte rule alone would be wrong.
+    """
+
+    pattern: str
+    token_bytes: bytes
+    wide: str | None = None
+
+
 @dataclass(frozen=True)
 class Tokenizer:
     prepare: Callable[[Column], Column]
-    separator: str
+    splitter: Splitter
+
+
+_ASCII_SPACES = WHITESPACE.encode("ascii", "ignore")
+BY_WHITESPACE = Splitter(
+    WHITESPACE_RUN, bytes(b for b in range(256) if b not in _ASCII_SPACES), WHITESPACE_RUN.replace(r"\t-\r\x1c-\x20", "")
+)
+# ROUGE tokens: runs of [a-z0-9]; every other character separates
+BY_OTHER_THAN_ALNUM = Splitter("[^a-z0-9]+", b"abcdefghijklmnopqrstuvwxyz0123456789")
 
 
 def lowered(c: Column | str) -> Column:
@@ -130,11 +151,9 @@ def treebank_text(c: Column | str) -> Column:
 
 
 TOKENIZERS: dict[str, Tokenizer] = {
-    # str.split() on lower-cased text
-    "whitespace": Tokenizer(lowered, WHITESPACE_RUN),
-    # ROUGE tokens: runs of [a-z0-9]; every other character separates
-    "alnum": Tokenizer(lowered, "[^a-z0-9]+"),
-    "treebank": Tokenizer(treebank_text, WHITESPACE_RUN),
+    "whitespace": Tokenizer(lowered, BY_WHITESPACE),
+    "alnum": Tokenizer(lowered, BY_OTHER_THAN_ALNUM),
+    "treebank": Tokenizer(treebank_text, BY_WHITESPACE),
 }
 
 
@@ -146,4 +165,4 @@ def tokenizer_named(name: str) -> Tokenizer:
 
 def tokenize(c: Column | str, tokenizer: str) -> Column:
     rule = tokenizer_named(tokenizer)
-    return F.array_remove(F.split(rule.prepare(_col(c)), rule.separator), "")
+    return F.array_remove(F.split(rule.prepare(_col(c)), rule.splitter.pattern), "")

@@ -7,13 +7,18 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# An engine takes a list of prompts and generation options and returns one text per prompt.
-Engine = Callable[..., list[str]]
+# An engine takes a list of prompts and returns one answer per prompt: a text, or a mapping
+# with a ``text`` and, where it knows them, ``tokens``, ``memory_gb`` and ``metadata``.
+Engine = Callable[[list[str]], list]
 EngineFactory = Callable[..., Engine]
 
-GENERATED = "text STRING, tokens_generated INT, latency_s DOUBLE, tokens_per_second DOUBLE, status STRING, error STRING"
+GENERATED = (
+    "text STRING, tokens_generated INT, latency_s DOUBLE, tokens_per_second DOUBLE, "
+    "memory_used_gb DOUBLE, metadata MAP<STRING, BIGINT>, status STRING, error STRING"
+)
 
 
 def _echo_engine(**options) -> Engine:
@@ -63,17 +68,20 @@ def batch_generate(
     def ask(answer: Engine, prompts: list[str]) -> list[tuple]:
         begun = time.perf_counter()
         try:
-            texts = answer(prompts)
+            answers = answer(prompts)
         except Exception as failure:
             if len(prompts) > 1:
                 return [row for p in prompts for row in ask(answer, [p])]
             failed = (None, None, None) if timeout_latency is None else (0, timeout_latency, 0.0)
-            return [(None, *failed, "error", str(failure))]
+            return [(None, *failed, None, None, "error", str(failure))]
         each = (time.perf_counter() - begun) / len(prompts)
-        sizes = [measure(text) for text in texts]
-        return [
-            (text, n, each, n / each if each > 0 else 0.0, "ok", None) for text, n in zip(texts, sizes)
-        ]
+        rows = []
+        for given in answers:
+            known = {"text": given} if isinstance(given, str) else given
+            n = known["tokens"] if "tokens" in known else measure(known["text"])
+            rate = n / each if each > 0 else 0.0
+            rows.append((known["text"], n, each, rate, known.get("memory_gb"), known.get("metadata"), "ok", None))
+        return rows
 
     names = [f.name for f in T.StructType.fromDDL(GENERATED).fields]
 
@@ -90,8 +98,6 @@ def batch_generate(
 
 def generation_time(requests: DataFrame, by: tuple[str, ...] = ("framework",)) -> DataFrame:
     """Wall time of a batch: last end minus first start."""
-    from pyspark.sql import functions as F
-
     begin = F.unix_micros("ts") / 1e6
     return requests.groupBy(*by).agg(
         (F.max(begin + F.col("latency_s")) - F.min(begin)).alias("generation_time_s")

@@ -56,6 +56,7 @@ def _result(rows: list[tuple[float, float]]) -> pa.StructArray:
 
 def _match_shipped(pairs: DataFrame, table: pa.Table, tokenizer: str) -> DataFrame:
     rule = tokenizer_named(tokenizer)
+    splitter = rule.splitter
     vectors = table["vec"].combine_chunks()
     rows = vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), -1)
     # tokens with the same vector share one entry, so only distinct vectors are shipped
@@ -64,11 +65,11 @@ def _match_shipped(pairs: DataFrame, table: pa.Table, tokenizer: str) -> DataFra
     first[slots[::-1]] = np.arange(len(slots))[::-1]
     units = _unit(rows[first].astype(np.float64))
     shipped = pairs.sparkSession.sparkContext.broadcast(
-        (table["token"].combine_chunks(), slots.astype(np.int32), units, (units * units).sum(axis=1))
+        (table["token"].combine_chunks().cast(pa.large_string()), slots.astype(np.int32), units, (units * units).sum(axis=1))
     )
 
     def side(texts: pa.Array, names: pa.Array, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        tokens, lengths = split_tokens(texts, rule.separator)
+        tokens, lengths = split_tokens(texts, splitter)
         encoded = tokens.dictionary_encode()
         known = pc.fill_null(pc.index_in(encoded.dictionary, value_set=names), -1).to_numpy(zero_copy_only=False)
         per_token = np.where(known >= 0, slots[known], -1) if len(slots) else np.full(len(known), -1)

@@ -104,11 +104,11 @@ def score_pairs(
     if bleu_orders:
         rule = tokenizer_named(tokenizer)
         parts["bleu"] = (
-            rule.prepare(F.col("prediction")), rule.prepare(F.col("reference")), Count(rule.separator, max(bleu_orders))
+            rule.prepare(F.col("prediction")), rule.prepare(F.col("reference")), Count(rule.splitter, max(bleu_orders))
         )
     if rouge_orders or lcs:
         rule = tokenizer_named("alnum")
-        count = Count(rule.separator, max(rouge_orders, default=0), lcs, stem)
+        count = Count(rule.splitter, max(rouge_orders, default=0), lcs, stem)
         parts["rouge"] = (rule.prepare(F.col("prediction")), rule.prepare(F.col("reference")), count)
     scored = pairs.withColumn("_overlap", overlap(parts))
     out: list[Column] = [F.col(c) for c in kept]
@@ -137,7 +137,7 @@ def register_sql_functions(spark: SparkSession) -> None:
 
     BLEU-4 counts whitespace words, ROUGE-L is the F1 over unstemmed ROUGE words.
     """
-    plain, other = tokenizer_named("whitespace").separator, tokenizer_named("alnum").separator
+    plain, other = tokenizer_named("whitespace").splitter, tokenizer_named("alnum").splitter
 
     def texts(a: pa.Array) -> pa.Array:
         return pc.utf8_lower(pc.fill_null(a, ""))

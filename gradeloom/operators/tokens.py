@@ -53,15 +53,16 @@ def encode(
     batch; a larger one is joined.
     """
     rule = tokenizer_named(tokenizer)
+    splitter = rule.splitter
     entries = vocabulary.select("token", "token_id").limit(limit + 1).collect()
     if len(entries) <= limit:
         shipped = df.sparkSession.sparkContext.broadcast(
-            (pa.array([r.token for r in entries], pa.string()), np.array([r.token_id for r in entries] + [UNK], dtype=np.int32))
+            (pa.array([r.token for r in entries], pa.large_string()), np.array([r.token_id for r in entries] + [UNK], dtype=np.int32))
         )
 
         def look_up(texts: pa.Array) -> pa.Array:
             names, ids = shipped.value
-            tokens, lengths = split_tokens(texts, rule.separator)
+            tokens, lengths = split_tokens(texts, splitter)
             encoded = tokens.dictionary_encode()
             known = pc.fill_null(pc.index_in(encoded.dictionary, value_set=names), len(names))
             per_token = ids[known.to_numpy(zero_copy_only=False)]

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gradeloom.functions.porter import rouge_stem, stem
-from gradeloom.functions.text import tokenize
+from gradeloom.functions.text import BY_OTHER_THAN_ALNUM, BY_WHITESPACE, WHITESPACE, tokenize
 from gradeloom.operators import matching, quality
 from tests import brute
 
@@ -66,7 +66,7 @@ def test_slices_do_not_change_counts(pairs, monkeypatch):
 
     _, rows = pairs
     texts = [pa.array([r[k] for r in rows], pa.string()) for k in (2, 3)]
-    count = overlap.Count(r"\s+", 4, lcs=True)
+    count = overlap.Count(BY_WHITESPACE, 4, lcs=True)
     whole = overlap.overlap_counts(*texts, count)
     monkeypatch.setattr(overlap, "SLICE_TOKENS", 7)
     assert overlap.overlap_counts(*texts, count).equals(whole)
@@ -74,6 +74,27 @@ def test_slices_do_not_change_counts(pairs, monkeypatch):
     assert len(overlap.overlap_counts(empty, empty, count)) == 0
 
 
+def test_both_ways_of_splitting_agree():
+    import pyarrow as pa
+
+    from gradeloom.functions import overlap
+
+    rng = random.Random(8)
+    narrow = ["", " ", "été à", "a\x1cb\t", "x1 y2", "ß", "\n\n", "end "] + [
+        "".join(rng.choice("ab é\n日-") for _ in range(rng.randrange(9))) for _ in range(200)
+    ]
+    wide = narrow + [f"a{c}b{c}" for c in WHITESPACE]
+    for texts in (narrow, wide):
+        tokens, lengths = overlap.split_tokens(pa.array(texts)[1:], BY_WHITESPACE)
+        expected = [t.split() for t in texts[1:]]
+        assert tokens.to_pylist() == [w for ws in expected for w in ws] and lengths.tolist() == [len(ws) for ws in expected]
+        tokens, lengths = overlap.split_tokens(pa.array(texts), BY_OTHER_THAN_ALNUM)
+        expected = [re.sub("[^a-z0-9]+", " ", t).split() for t in texts]
+        assert tokens.to_pylist() == [w for ws in expected for w in ws] and lengths.tolist() == [len(ws) for ws in expected]
+    tokens, lengths = overlap.split_tokens(pa.array(["a", None], pa.string()), BY_WHITESPACE)
+    assert tokens.to_pylist() == ["a"] and lengths.tolist() == [1, 0]
+
+
 def test_properties(pairs):
     df, _ = pairs
     forward = {r.id: r for r in quality.score_pairs(df.where("model = 'r'"), ["rouge"]).collect()}
