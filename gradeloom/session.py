@@ -49,8 +49,8 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:
         return df
-    # a few tasks per core even out texts of very different length
-    return df.repartition(4 * cores, *keys)
+    # more than one task per core evens out texts of very different length
+    return df.repartition(2 * cores, *keys)
 
 
 def small_side(summary: DataFrame, max_rows: int = 10_000) -> DataFrame:
