@@ -33,11 +33,6 @@ REQUEST = (
     "tokens_generated INT, memory_used_gb DOUBLE"
 )
 _RATINGS = "STRUCT<helpfulness: INT, factuality: INT, instruction_following: INT>"
-HUMAN_FILE = (
-    "id INT, instruction STRING, context STRING, prompt STRING, reference STRING, "
-    "generated_transformers STRING, generated_unsloth STRING, "
-    f"eval_transformers {_RATINGS}, eval_unsloth {_RATINGS}"
-)
 ANNOTATION = (
     "id BIGINT, prompt STRING, reference STRING, generated STRING, helpfulness INT, "
     "factuality INT, instruction_following INT, notes STRING"
@@ -57,3 +52,9 @@ TOKEN_VEC = ("token STRING, vec ARRAY<FLOAT>")
 
 # Rating criteria, in reporting order.
 CRITERIA = ("helpfulness", "factuality", "instruction_following")
+
+
+def nested_ratings(systems: tuple[str, ...]) -> str:
+    """Rated samples with one answer and one rating struct per system."""
+    answers = [f"generated_{s} STRING" for s in systems] + [f"eval_{s} {_RATINGS}" for s in systems]
+    return "id INT, instruction STRING, context STRING, prompt STRING, reference STRING, " + ", ".join(answers)

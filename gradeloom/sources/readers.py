@@ -52,12 +52,11 @@ def read_samples(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_annotations(spark: SparkSession, path: str, nested: bool = False) -> DataFrame:
-    """Rated samples, flat or with one rating struct per system; missing notes are empty."""
-    schema = schemas.HUMAN_FILE if nested else schemas.ANNOTATION
-    reader = spark.read.schema(schema).option("multiLine", not _is_folder(spark, path))
-    df = reader.json(path)
-    return df if nested else df.fillna("", ["notes"])
+def read_annotations(spark: SparkSession, path: str, systems: Sequence[str] = ()) -> DataFrame:
+    """Rated samples, flat, or with one rating struct for each of ``systems``; missing notes are empty."""
+    schema = schemas.nested_ratings(tuple(systems)) if systems else schemas.ANNOTATION
+    df = spark.read.schema(schema).option("multiLine", not _is_folder(spark, path)).json(path)
+    return df if systems else df.fillna("", ["notes"])
 
 
 def _is_folder(spark: SparkSession, path: str) -> bool:
