@@ -9,6 +9,7 @@ then find their slot by joining on their rank within their length.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
@@ -20,11 +21,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gradeloom.llm.common import slices, table, written
+from gradeloom.llm.common import slices, written
 
 CAPACITY = 2048
 END_ID = 0
-CACHE_WORDS = 250_000
+CACHE_WORDS = 400_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, place long"
 
@@ -32,8 +33,9 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part
 class WordIds:
     """Ids of texts by a `tokenizers` file, as bytes; words that recur are looked up.
 
-    The vocabulary's own pattern always cuts before a space that does not stand between
-    white space, so the parts between such spaces have the same ids alone as in the text.
+    The vocabulary's own pattern always cuts before a space, unless white space stands both
+    before it and after it. Texts without such a space are looked up part by part, each
+    part beginning with its space; others are encoded whole.
     """
 
     def __init__(self, tokenizer_path: str, cache_words: int = CACHE_WORDS):
@@ -51,47 +53,40 @@ class WordIds:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        parts: list[list[str] | None] = []
-        unknown: set[str] = set()
-        for text in texts:
-            if "  " in text or _spaced_spaces(text):
-                parts.append(None)
+        found: list[list[bytes | None]] = []
+        missing: list[tuple[int, list[int], list[str]]] = []
+        whole: list[int] = []
+        new: dict[str, bytes] = {}
+        look = self.known.get  # by the word behind a space
+        for k, text in enumerate(texts):
+            if _INSIDE_RUN.search(text):
+                whole.append(k)
+                found.append([])
                 continue
-            first, *rest = text.split(" ")
-            words = [first, *[" " + w for w in rest]]
-            parts.append(words)
-            unknown.update(words)
-        unknown.difference_update(self.known)
-        new = list(unknown)
-        ids = dict(zip(new, self._encode(new)))
+            words = text.split(" ")
+            ids = list(map(look, words))
+            ids[0] = None  # no space before the first
+            gaps = [i for i, got in enumerate(ids) if got is None]
+            for i in gaps[1:]:
+                new[words[i]] = b""
+            missing.append((k, gaps, words))
+            found.append(ids)
+        begin = self._encode([words[0] for _, _, words in missing])
+        new = dict(zip(new, self._encode([" " + w for w in new])))
+        for first, (k, gaps, words) in zip(begin, missing):
+            ids = found[k]
+            ids[0] = first
+            for i in gaps[1:]:
+                ids[i] = new[words[i]]
+        for k, ids in zip(whole, self._encode([texts[k] for k in whole])):
+            found[k] = [ids]
         if len(self.known) < self.cache_words:
-            self.known.update(ids)
-            ids = self.known
-        else:
-            ids = _Both(ids, self.known)
-        look = ids.__getitem__
-        whole = iter(self._encode([t for t, p in zip(texts, parts) if p is None]))
-        return [next(whole) if p is None else b"".join(map(look, p)) for p in parts]
-
-
-class _Both(dict):
-    def __init__(self, own: dict, known: dict):
-        super().__init__(own)
-        self.known = known
-
-    def __missing__(self, key):
-        return self.known[key]
-
-
-def _spaced_spaces(text: str) -> bool:
-    """Whether a space of ``text`` has white space before it and white space or the end after it."""
-    at = -1
-    if text.isascii() and "\n " not in text and "\t " not in text and "\r " not in text and text.isprintable():
-        return False
-    while (at := text.find(" ", at + 1)) >= 0:
-        if at and text[at - 1].isspace() and (at + 1 == len(text) or text[at + 1].isspace()):
-            return True
-    return False
+            self.known.update(new)
+        return list(map(b"".join, found))
+
+
+#: A space whose cut would part a run of white space that the pattern takes whole.
+_INSIDE_RUN = re.compile(r"\s (?=\s|\Z)")
 
 
 def cut(n_tokens: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
