@@ -14,6 +14,7 @@ import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -85,6 +86,12 @@ class WordIds:
         return list(map(b"".join, found))
 
 
+@lru_cache(maxsize=1)
+def word_ids(tokenizer_path: str) -> WordIds:
+    """One per Python worker, so that the tasks it runs in turn share what is known."""
+    return WordIds(tokenizer_path)
+
+
 #: A space whose cut would part a run of white space that the pattern takes whole.
 _INSIDE_RUN = re.compile(r"\s (?=\s|\Z)")
 
@@ -100,7 +107,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> Da
     ending = np.array([END_ID], "<u4").tobytes()
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(tokenizer_path)
+        words = word_ids(tokenizer_path)
         part = TaskContext.get().partitionId()
         seen: dict[int, int] = defaultdict(int)
         for rows in slices(batches):
