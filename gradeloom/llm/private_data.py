@@ -22,6 +22,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -412,7 +413,7 @@ def masked_text(field: Field | None = None):
     field = field or trained_field()
 
     @F.pandas_udf("string")
-    def without(texts: "pd.Series") -> "pd.Series":  # noqa: F821
+    def without(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: t if t is None or not _ANY.search(t) else mask(t, all_spans(t, field)[1]))
 
     def apply(text: Column) -> Column:

@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -239,9 +240,7 @@ def score_documents(docs: DataFrame, model: RuleModel, threshold: float = THRESH
 def keep_good(docs: DataFrame, model: RuleModel, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs``, with all their columns, that score at least ``threshold``."""
 
-    def measure(texts: "pd.Series") -> "pd.DataFrame":  # noqa: F821
-        import pandas as pd
-
+    def measure(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([text_features((t or "").encode()) for t in texts], columns=list(FEATURES), dtype=float)
 
     figures = F.pandas_udf(measure, ", ".join(f"{c} double" for c in FEATURES))

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from itertools import count
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
@@ -162,9 +163,7 @@ def judge(docs: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, with all their columns, that :func:`judge` keeps."""
 
-    def measure(texts: "pd.Series") -> "pd.DataFrame":  # noqa: F821
-        import pandas as pd
-
+    def measure(texts: pd.Series) -> pd.DataFrame:
         squeeze = zstandard.ZstdCompressor(level=ZSTD_LEVEL).compress
         rows = []
         for text in texts:
