@@ -347,7 +347,7 @@ vocab AS (
   FROM counted ORDER BY n DESC, token LIMIT {size}
 )"""
 
-_ENCODED = _vocabulary(8000) + """,
+_ENCODED = _vocabulary(32000) + """,
 spelled AS (SELECT id, unnest(words) AS token, generate_subscripts(words, 1) AS pos FROM formatted),
 encoded AS (
   SELECT id, list_concat([1::BIGINT], list(coalesce(token_id, 0) ORDER BY pos)) AS ids
@@ -363,7 +363,7 @@ def build_vocab(spark, sf_dir):
 def _encoded(spark, sf_dir, max_length=None):
     """Encoded training texts over a vocabulary smaller than the table's own."""
     formatted = templates.apply_template(tables.instructions(spark, sf_dir), "chat").select("id", "text")
-    return tokens.encode(formatted, tokens.build_vocabulary(formatted, size=8000), max_length=max_length)
+    return tokens.encode(formatted, tokens.build_vocabulary(formatted), max_length=max_length)
 
 
 def _joined(*columns):

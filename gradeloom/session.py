@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,14 +26,10 @@ def build_session(master: str = "local[*]", app: str = "gradeloom", shuffle_part
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the cluster's shared folder, ``spark.checkpoint.dir``.
 
-    A machine-local folder is only used when the setting is absent and the
-    session itself runs on this machine; elsewhere executors could not see it.
+    Where that is not set, a folder below ``spark.sql.warehouse.dir``, which a session's
+    driver and executors share as well.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="gradeloom-")
+    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_work"
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
