@@ -82,25 +82,3 @@ def shard_by_bytes(docs: DataFrame, shards: int = 24) -> DataFrame:
         (F.col("_place") - F.col("_start")).alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
     )
-
-
-SHARD_SQL = """
-with sized as (
-  select doc_id, coalesce(strlen(text), 0) + 8 as size, text, row_number() over () as at from documents
-),
-summed as (
-  select doc_id, size, text,
-         sum(size) over (order by doc_id nulls first, size, at rows unbounded preceding) as upto,
-         row_number() over (order by doc_id nulls first, size, at) - 1 as place,
-         sum(size) over () as total
-  from sized
-),
-cut as (
-  select doc_id, size, place,
-         least(((2 * upto - size) * 24) // (2 * total), 23) as shard
-  from summed
-)
-select doc_id, size, cast(shard as integer) as shard,
-       place - min(place) over (partition by shard) as slot
-from cut
-"""
