@@ -38,10 +38,12 @@ def drop_warmup(requests: DataFrame, warmup: int = WARMUP, by: Sequence[str] = B
         .groupBy(*by)
         .agg(F.max(F.struct("ts", "request_id")).alias("_cutoff"))
     )
+    cut = small_side(cutoff).select(*[F.col(key).alias(f"_of_{key}") for key in by], "_cutoff")
+    same = [F.col(key).eqNullSafe(F.col(f"_of_{key}")) for key in by]  # requests without a group are one too
     return (
-        requests.join(small_side(cutoff), list(by))
+        requests.join(cut, same)
         .where(F.struct("ts", "request_id") > F.col("_cutoff"))
-        .drop("_cutoff")
+        .drop("_cutoff", *[f"_of_{key}" for key in by])
     )
 
 
