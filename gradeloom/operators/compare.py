@@ -52,9 +52,18 @@ def best_per_metric(
 
 
 def against_baseline(long: DataFrame, baseline: str, key: str = "model") -> DataFrame:
-    """Every row beside the baseline's value of the same metric."""
-    base = long.where(F.col(key) == baseline).select("metric", F.col("value").alias("baseline"))
-    return long.join(base, "metric")
+    """Every row beside the baseline's value of the same metric; one reading of the (aggregated) table.
+
+    Metrics that the baseline does not have are left out.
+    """
+    same = Window.partitionBy("metric")
+    is_base = F.col(key) == baseline
+    return (
+        long.withColumn("baseline", F.max(F.when(is_base, F.col("value"))).over(same))
+        .withColumn("_covered", F.count_if(is_base).over(same) > 0)
+        .where("_covered")
+        .drop("_covered")
+    )
 
 
 def speedup(summary: DataFrame, baseline: str, column: str = "avg_throughput") -> DataFrame:

@@ -57,18 +57,26 @@ def batch_generate(
 
     The factory runs once per task; prompts go to the engine in groups of
     ``batch_rows``, and each request's latency is its group's time divided by the
-    group size. A failing group is retried prompt by prompt; a prompt that fails
-    on its own keeps its row, with the error and no text. ``timeout_latency`` puts
+    group size. A group that fails, misses an answer or cannot be measured is retried
+    prompt by prompt; a prompt that fails on its own keeps its row, with the error and no text. ``timeout_latency`` puts
     that latency, 0 tokens and 0 throughput on failed rows instead of nulls.
     """
     factory = engine_factory(engine) if isinstance(engine, str) else engine
     measure = count_tokens or (lambda text: len(text.split()))
     schema = T.StructType(df.schema.fields + T.StructType.fromDDL(GENERATED).fields)
 
+    def read(given) -> tuple[dict, int]:
+        known = {"text": given} if isinstance(given, str) else given
+        if known is None or known.get("text") is None:
+            raise ValueError("no answer")
+        return known, known["tokens"] if "tokens" in known else measure(known["text"])
+
     def ask(answer: Engine, prompts: list[str]) -> list[tuple]:
         begun = time.perf_counter()
         try:
-            answers = answer(prompts)
+            answers = [read(given) for given in answer(prompts)]
+            if len(answers) != len(prompts):
+                raise ValueError(f"{len(answers)} answers to {len(prompts)} prompts")
         except Exception as failure:
             if len(prompts) > 1:
                 return [row for p in prompts for row in ask(answer, [p])]
@@ -76,9 +84,7 @@ def batch_generate(
             return [(None, *failed, None, None, "error", str(failure))]
         each = (time.perf_counter() - begun) / len(prompts)
         rows = []
-        for given in answers:
-            known = {"text": given} if isinstance(given, str) else given
-            n = known["tokens"] if "tokens" in known else measure(known["text"])
+        for known, n in answers:
             rate = n / each if each > 0 else 0.0
             rows.append((known["text"], n, each, rate, known.get("memory_gb"), known.get("metadata"), "ok", None))
         return rows

@@ -1,7 +1,7 @@
 """BERTScore: greedy cosine matching of prediction tokens with reference tokens.
 
-Vectors per token come from a given table. A pair's similarities are a matrix
-product inside one Arrow row, taken in blocks over the distinct tokens of either
+Vectors per token come from a given table and are joined per block of pairs. A pair's
+similarities are a matrix product, taken in blocks over the distinct tokens of either
 side; token pairs are never emitted as rows.
 """
 
@@ -13,17 +13,18 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gradeloom.functions.overlap import split_tokens
-from gradeloom.functions.text import tokenize, tokenizer_named
+from gradeloom.functions.text import Splitter, tokenize, tokenizer_named
 from gradeloom.operators.quality import f_measure
+from gradeloom.session import written
 
-# Vector tables of at most so many tokens are shipped to every worker; larger ones are joined.
-SHIP_TOKENS = 500_000
 BLOCK = 2048
-SALTS = 64
-
-_PR = "STRUCT<precision: DOUBLE, recall: DOUBLE>"
+# Text bytes of a block of pairs, copies of the vector table, and tasks over the blocks.
+BLOCK_BYTES = 4 << 20
+SALTS = 8
+MOST_TASKS = 20_000
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
@@ -49,24 +50,29 @@ def _mean_best(vectors: np.ndarray, ids: np.ndarray, counts: np.ndarray, others:
     return float(best @ counts / counts.sum())
 
 
-def _result(rows: list[tuple[float, float]]) -> pa.StructArray:
-    p, r = (list(side) for side in zip(*rows)) if rows else ([], [])
-    return pa.StructArray.from_arrays([pa.array(p, pa.float64()), pa.array(r, pa.float64())], ["precision", "recall"])
-
+def _distinct_units(table: pa.Table) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Tokens, the slot of each one's vector, and the distinct unit vectors.
 
-def _match_shipped(pairs: DataFrame, table: pa.Table, tokenizer: str) -> DataFrame:
-    rule = tokenizer_named(tokenizer)
-    splitter = rule.splitter
-    vectors = table["vec"].combine_chunks()
-    rows = vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), -1)
-    # tokens with the same vector share one entry, so only distinct vectors are shipped
+    A token listed more than once counts with the smallest of its vectors.
+    """
+    names = table.column("token").combine_chunks().cast(pa.large_string())
+    vectors = table.column("vec").combine_chunks()
+    rows = vectors.flatten().to_numpy(zero_copy_only=False)
+    rows = rows.reshape(len(vectors), -1) if len(vectors) else np.zeros((0, 1))
+    if pc.count_distinct(names).as_py() < len(names):
+        best: dict[str, int] = {}
+        for k, name in enumerate(names.to_pylist()):
+            if name not in best or tuple(rows[k]) < tuple(rows[best[name]]):
+                best[name] = k
+        names, rows = pa.array(best.keys(), pa.large_string()), rows[list(best.values())]
     slots, _ = pd.factorize(np.array([row.tobytes() for row in rows], dtype=object))
     first = np.zeros(slots.max(initial=-1) + 1, dtype=np.int64)
     first[slots[::-1]] = np.arange(len(slots))[::-1]
-    units = _unit(rows[first].astype(np.float64))
-    shipped = pairs.sparkSession.sparkContext.broadcast(
-        (table["token"].combine_chunks().cast(pa.large_string()), slots.astype(np.int32), units, (units * units).sum(axis=1))
-    )
+    return names, slots.astype(np.int32), _unit(rows[first].astype(np.float64))
+
+
+def _block_matcher(splitter: Splitter, columns: list[str]):
+    """Matches the pairs of a block with the vectors of the block's tokens."""
 
     def side(texts: pa.Array, names: pa.Array, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         tokens, lengths = split_tokens(texts, splitter)
@@ -76,95 +82,71 @@ def _match_shipped(pairs: DataFrame, table: pa.Table, tokenizer: str) -> DataFra
         codes = encoded.indices.to_numpy(zero_copy_only=False)
         return per_token[codes], np.concatenate([[0], np.cumsum(lengths)])
 
-    def match(pred: pa.Array, ref: pa.Array) -> pa.Array:
-        names, slots, units, self_match = shipped.value
-        p_at, p_ends = side(pred, names, slots)
-        r_at, r_ends = side(ref, names, slots)
-        found = []
-        for i in range(len(pred)):
+    def match(pairs: pa.Table, vectors: pa.Table) -> pa.Table:
+        names, slots, units = _distinct_units(vectors)
+        self_match = (units * units).sum(axis=1)
+        p_at, p_ends = side(pairs.column("_p").combine_chunks(), names, slots)
+        r_at, r_ends = side(pairs.column("_r").combine_chunks(), names, slots)
+        precision, recall = np.zeros(pairs.num_rows), np.zeros(pairs.num_rows)
+        for i in range(pairs.num_rows):
             p = p_at[p_ends[i]:p_ends[i + 1]]
             r = r_at[r_ends[i]:r_ends[i + 1]]
             p_id, p_n = np.unique(p[p >= 0], return_counts=True)
             r_id, r_n = np.unique(r[r >= 0], return_counts=True)
             if len(p_id) and len(r_id):
-                found.append(
-                    (_mean_best(units, p_id, p_n, r_id, self_match), _mean_best(units, r_id, r_n, p_id, self_match))
-                )
-            else:
-                found.append((0.0, 0.0))
-        return _result(found)
-
-    matched = F.arrow_udf(match, _PR)(rule.prepare(F.col("prediction")), rule.prepare(F.col("reference")))
-    return pairs.withColumn("_match", matched)
+                precision[i] = _mean_best(units, p_id, p_n, r_id, self_match)
+                recall[i] = _mean_best(units, r_id, r_n, p_id, self_match)
+        kept = pairs.select(columns)
+        return kept.append_column("_precision", pa.array(precision)).append_column("_recall", pa.array(recall))
 
+    return match
 
-def _vector_rows(lists: pa.ListArray) -> np.ndarray:
-    """Unit vectors of a list of equally long lists."""
-    flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return _unit(flat.reshape(len(lists), -1)) if len(lists) else np.zeros((0, 1))
 
+def match_tokens(
+    pairs: DataFrame, vectors: DataFrame, tokenizer: str = "whitespace", block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
+    """Pairs plus BERTScore precision, recall and F1 over a ``(token, vec)`` table.
 
-def _match_joined(pairs: DataFrame, vectors: DataFrame, tokenizer: str) -> DataFrame:
-    """Large vector tables: count distinct tokens per side, join, gather one pair per row.
+    No idf weights and no baseline rescaling. Tokens without a vector are left out;
+    of several vectors of a token the smallest counts. Rows may repeat.
 
-    Frequent tokens occur in most pairs, so the join key is salted by the pair and
-    the vector table is repeated once per salt.
+    Pairs are written once, numbered and dealt to blocks of about ``block_bytes`` of
+    text. The distinct tokens of a block fetch their vectors in one join, so a vector
+    moves once per block, and a block is matched where both meet. A frequent token asks
+    once per block, from one of ``SALTS`` copies of its vector.
     """
-    sides = F.explode(
-        F.array(
-            F.struct(F.lit("pred").alias("side"), tokenize("prediction", tokenizer).alias("tokens")),
-            F.struct(F.lit("ref").alias("side"), tokenize("reference", tokenizer).alias("tokens")),
-        )
+    spark = pairs.sparkSession
+    rule = tokenizer_named(tokenizer)
+    numbered = written(
+        pairs.withColumns({
+            "_p": rule.prepare(F.col("prediction")), "_r": rule.prepare(F.col("reference")),
+            "_row": F.monotonically_increasing_id(),
+        }),
+        "match-pairs",
     )
-    counted = (
-        pairs.select("model", "id", sides.alias("s"))
-        .select("model", "id", "s.side", F.explode("s.tokens").alias("token"))
-        .groupBy("model", "id", "side", "token")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("salt", F.pmod(F.xxhash64("model", "id"), F.lit(SALTS)).cast("int"))
+    size = F.coalesce(F.octet_length("_p"), F.lit(0)) + F.coalesce(F.octet_length("_r"), F.lit(0))
+    total = numbered.agg(F.sum(size.cast("long"))).first()[0] or 0
+    blocks = max(4 * spark.sparkContext.defaultParallelism, -(-total // block_bytes))
+    tasks = min(blocks, MOST_TASKS)
+    dealt = numbered.withColumn("_block", F.pmod(F.xxhash64("_row"), F.lit(blocks)))
+
+    both = F.concat(*[F.coalesce(tokenize(c, tokenizer), F.array().cast("array<string>")) for c in ("prediction", "reference")])
+    asked = (
+        dealt.select("_block", F.explode(F.array_distinct(both)).alias("token"))
+        .distinct()
+        .withColumn("_salt", F.pmod("_block", F.lit(SALTS)).cast("int"))
     )
-    repeated = vectors.select("token", "vec", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    entry = F.struct("n", "vec")
-    gathered = (
-        counted.join(repeated, ["token", "salt"])
-        .groupBy("model", "id")
-        .agg(
-            F.collect_list(F.when(F.col("side") == "pred", entry)).alias("p"),
-            F.collect_list(F.when(F.col("side") == "ref", entry)).alias("r"),
-        )
+    copies = vectors.where("vec IS NOT NULL").select(
+        "token", "vec", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
     )
-
-    def match(p_n: pa.Array, p_vec: pa.Array, r_n: pa.Array, r_vec: pa.Array) -> pa.Array:
-        found = []
-        for i in range(len(p_n)):
-            p, r = _vector_rows(p_vec[i].values), _vector_rows(r_vec[i].values)
-            if len(p) and len(r):
-                p_count = p_n[i].values.to_numpy(zero_copy_only=False)
-                r_count = r_n[i].values.to_numpy(zero_copy_only=False)
-                found.append((best_matches(p, r) @ p_count / p_count.sum(), best_matches(r, p) @ r_count / r_count.sum()))
-            else:
-                found.append((0.0, 0.0))
-        return _result(found)
-
-    scored = F.arrow_udf(match, _PR)(F.col("p.n"), F.col("p.vec"), F.col("r.n"), F.col("r.vec"))
-    return pairs.join(gathered.select("model", "id", scored.alias("_match")), ["model", "id"], "left")
-
-
-def match_tokens(
-    pairs: DataFrame, vectors: DataFrame, tokenizer: str = "whitespace", ship_tokens: int = SHIP_TOKENS
-) -> DataFrame:
-    """Pairs plus BERTScore precision, recall and F1 over a ``(token, vec)`` table.
-
-    No idf weights and no baseline rescaling. Tokens without a vector are left out.
-    A table of at most ``ship_tokens`` rows goes to the workers, a larger one is joined.
-    """
-    table = vectors.select("token", "vec").limit(ship_tokens + 1).toArrow()
-    if len(table) <= ship_tokens:
-        matched = _match_shipped(pairs, table, tokenizer)
-    else:
-        matched = _match_joined(pairs, vectors, tokenizer)
-    p = F.coalesce(F.col("_match.precision"), F.lit(0.0))
-    r = F.coalesce(F.col("_match.recall"), F.lit(0.0))
+    fetched = asked.join(copies, ["token", "_salt"]).select(F.col("_block").alias("_at"), "token", "vec")
+    schema = T.StructType([*pairs.schema.fields, T.StructField("_precision", T.DoubleType()), T.StructField("_recall", T.DoubleType())])
+    matched = (
+        dealt.repartition(tasks, "_block").groupBy("_block")
+        .cogroup(fetched.repartition(tasks, "_at").groupBy("_at"))
+        .applyInArrow(_block_matcher(rule.splitter, pairs.columns), schema)
+    )
+    p, r = F.col("_precision"), F.col("_recall")
     return matched.withColumns(
         {"bertscore_precision": p, "bertscore_recall": r, "bertscore_f1": f_measure(p, r)}
-    ).drop("_match")
+    ).drop("_precision", "_recall")

@@ -13,18 +13,29 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gradeloom.session import small_side
+from gradeloom.session import join_groups, small_side
 
 # Slots per doubling-e of the value: a slot spans 0.006 % of its value.
 SLOTS = 16384
 # Above ln(2^1074) * SLOTS, so slots of positive values stay positive.
 SLOT_SHIFT = 20_000_000
+# Slots of the infinities and, last in order, of NaN.
+INFINITE_SLOT, NAN_SLOT = 1 << 40, 1 << 41
 
 
 def value_slot(value: Column) -> Column:
-    """Integer that never decreases as the value grows."""
-    magnitude = F.floor(F.ln(F.abs(value)) * SLOTS) + SLOT_SHIFT
-    return F.when(value > 0, magnitude).when(value < 0, -magnitude).otherwise(F.lit(0)).cast("long")
+    """Integer that never decreases as the value grows; NaN is greater than any number."""
+    infinite = F.abs(value) == float("inf")
+    magnitude = F.when(infinite, F.lit(INFINITE_SLOT)).otherwise(
+        F.floor(F.ln(F.when(infinite, F.lit(1.0)).otherwise(F.abs(value))) * SLOTS) + SLOT_SHIFT
+    )
+    return (
+        F.when(F.isnan(value), F.lit(NAN_SLOT))
+        .when(value > 0, magnitude)
+        .when(value < 0, -magnitude)
+        .otherwise(F.lit(0))
+        .cast("long")
+    )
 
 
 def _wanted_slots(slots: DataFrame, keys: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
@@ -52,7 +63,8 @@ def percentiles(df: DataFrame, keys: Sequence[str], value: str, probabilities: S
 
     The first pass counts slots. The second keeps the rows of the wanted slots,
     merges equal values and ranks them; with few groups the wanted slots are a
-    handful of local rows, so nothing but those rows is shuffled.
+    handful of local rows, so nothing but those rows is shuffled. Null values are
+    left out, null keys are a group, NaN comes last.
     """
     rows = (
         df.where(F.col(value).isNotNull())
@@ -63,19 +75,18 @@ def percentiles(df: DataFrame, keys: Sequence[str], value: str, probabilities: S
     located = _wanted_slots(slots, keys, probabilities)
     wanted = small_side(located)
     if wanted is not located:
-        rows = rows.join(wanted.select(*keys, "_slot"), [*keys, "_slot"], "left_semi")
+        rows = join_groups(rows, wanted.select(*keys, "_slot"), [*keys, "_slot"], "left_semi")
     in_slot = Window.partitionBy(*keys, "_slot").orderBy("_v")
     upto = F.col("_before") + F.col("_running")
     hits = (
-        rows.groupBy(*keys, "_slot", "_v").agg(F.count(F.lit(1)).alias("_n"))
-        .join(wanted, [*keys, "_slot"])
+        join_groups(rows.groupBy(*keys, "_slot", "_v").agg(F.count(F.lit(1)).alias("_n")), wanted, [*keys, "_slot"])
         .withColumn("_running", F.sum("_n").over(in_slot))
         .select("*", F.explode("_ranks").alias("_r"))
         .where((F.col("_r._rank") < upto) & (F.col("_r._rank") >= upto - F.col("_n")))
     )
     low, high = F.min("_v"), F.max("_v")
     return hits.groupBy(*keys, F.col("_r.p").alias("p")).agg(
-        (low + (high - low) * F.max("_r._frac")).alias("percentile")
+        F.when(low == high, low).otherwise(low + (high - low) * F.max("_r._frac")).alias("percentile")
     )
 
 
@@ -86,4 +97,4 @@ def with_percentiles(
     wide = percentiles(df, keys, value, list(named.values())).groupBy(*keys).agg(
         *[F.max(F.when(F.col("p") == float(p), F.col("percentile"))).alias(name) for name, p in named.items()]
     )
-    return summary.join(wide, list(keys), "left")
+    return join_groups(summary, wide, keys, "left")

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gradeloom.session import join_groups
+
 # 16^4 hash chunks: many more than tasks, and the table of chunk offsets never has more rows.
 HEX_DIGITS = 4
 
@@ -29,12 +31,15 @@ def running(
     into: str,
     inclusive: bool = True,
     small_chunks: bool = False,
+    below: int | None = None,
 ) -> DataFrame:
     """Add ``into``: the fold (count, sum, min or max) of ``value`` over the rows so far.
 
     ``chunk`` must not decrease along ``order`` within ``keys``; ``order`` must be
     a total order. ``small_chunks`` states that the number of (keys, chunk)
-    groups has a fixed bound, which allows their table to be broadcast.
+    groups has a fixed bound, which allows their table to be broadcast. ``below``
+    states that only rows with less than that carried in are wanted; later chunks
+    leave before the rows are shuffled.
     """
     groups = [*keys, chunk]
     merge = _FOLDS[fold]
@@ -45,13 +50,15 @@ def running(
         .agg(per_chunk.alias("_part"))
         .select(*groups, merge("_part").over(earlier).alias("_carry"))
     )
+    if below is not None:
+        carried = carried.where(F.coalesce("_carry", F.lit(0)) < below)
     inside = (
         Window.partitionBy(*groups)
         .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
     )
     local = F.count(value).over(inside) if fold == "count" else merge(value).over(inside)
-    joined = df.join(F.broadcast(carried) if small_chunks else carried, groups)
+    joined = join_groups(df, F.broadcast(carried) if small_chunks else carried, groups)
     if fold in ("count", "sum"):
         total = F.coalesce(F.col("_carry"), F.lit(0)) + F.coalesce(F.col("_local"), F.lit(0))
     elif fold == "min":
@@ -66,18 +73,24 @@ def shuffle_key(seed: int | str, key: Column | str = "id") -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string") if isinstance(key, str) else key.cast("string")))
 
 
-def global_rank(df: DataFrame, seed: int | str, key: str = "id", into: str = "rank") -> DataFrame:
-    """Dense position 1..n of every row in the seeded shuffle order.
+def global_rank(
+    df: DataFrame, seed: int | str, key: str = "id", into: str = "rank", upto: int | None = None
+) -> DataFrame:
+    """Dense position 1..n of every row in the seeded shuffle order; rows without a key are last.
+
+    With ``upto`` only chunks that hold a position up to that one are ranked, so a
+    head of the order costs no shuffle of the rest.
 
     The order is (md5, key), so it does not depend on the partitioning and
     survives recomputation. Chunks are md5 prefixes, uniform whatever the ids.
     """
-    keyed = df.withColumn("_md5", shuffle_key(seed, key)).withColumn(
-        "_chunk", F.substring("_md5", 1, HEX_DIGITS)
+    # "g" follows every hexadecimal digit
+    keyed = df.withColumn("_md5", F.coalesce(shuffle_key(seed, key), F.lit("g"))).withColumns(
+        {"_chunk": F.substring("_md5", 1, HEX_DIGITS), "_one": F.lit(1)}
     )
     return running(
-        keyed, [], "_chunk", ["_md5", key], key, "count", into, small_chunks=True
-    ).drop("_md5", "_chunk")
+        keyed, [], "_chunk", ["_md5", key], "_one", "count", into, small_chunks=True, below=upto
+    ).drop("_md5", "_chunk", "_one")
 
 
 def rank_within(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gradeloom.operators.percentiles import with_percentiles
-from gradeloom.session import small_side
+from gradeloom.session import join_groups, small_side
 
 # Request timeout, warm-up length, z-value of the 90th percentile.
 TIMEOUT_S = 60.0
@@ -38,12 +38,10 @@ def drop_warmup(requests: DataFrame, warmup: int = WARMUP, by: Sequence[str] = B
         .groupBy(*by)
         .agg(F.max(F.struct("ts", "request_id")).alias("_cutoff"))
     )
-    cut = small_side(cutoff).select(*[F.col(key).alias(f"_of_{key}") for key in by], "_cutoff")
-    same = [F.col(key).eqNullSafe(F.col(f"_of_{key}")) for key in by]  # requests without a group are one too
     return (
-        requests.join(cut, same)
+        join_groups(requests, small_side(cutoff), by)
         .where(F.struct("ts", "request_id") > F.col("_cutoff"))
-        .drop("_cutoff", *[f"_of_{key}" for key in by])
+        .drop("_cutoff")
     )
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gradeloom.operators.prefix import global_rank, shuffle_key
+from gradeloom.session import join_groups
 
 # Default seed and split quotas.
 SEED = 42
@@ -63,7 +64,7 @@ def create_splits(
     n_train, n_val, n_test = split_sizes(df.count(), train, validation, test, max_samples)
     rank = F.col("rank")
     return (
-        global_rank(df, seed)
+        global_rank(df, seed, upto=n_train + n_val + n_test)
         .where(rank <= n_train + n_val + n_test)
         .withColumn(
             "split",
@@ -96,9 +97,15 @@ def number_sample(sample: DataFrame, seed: int = SEED) -> DataFrame:
 
 
 def first_per_category(df: DataFrame, categories: int | None = 3) -> DataFrame:
-    """The first row of each category, categories in order of appearance."""
-    firsts = df.groupBy("category").agg(F.min_by(F.struct(*df.columns), "id").alias("_row")).select("_row.*")
-    return firsts if categories is None else firsts.orderBy("id").limit(categories)
+    """The first row of each category, categories in order of appearance.
+
+    First ids are found without the rows; of rows that repeat a first id one is kept.
+    """
+    firsts = df.groupBy("category").agg(F.min("id").alias("id"))
+    if categories is not None:
+        firsts = firsts.orderBy("id").limit(categories)
+    found = join_groups(df, firsts, ["category", "id"], "left_semi").dropDuplicates(["category"])
+    return found if categories is None else found.orderBy("id")
 
 
 def cycle_to(ranked: DataFrame, size: int, n: int) -> DataFrame:

@@ -20,6 +20,8 @@ IGNORED_LABEL = -100
 PAD_MULTIPLE = 8
 
 VOCABULARY_LIMIT = 32000
+#: Most bytes of a vocabulary that is sent to the workers.
+VOCABULARY_BYTES = 256 << 20
 
 
 def build_vocabulary(df: DataFrame, text: str = "text", size: int = VOCABULARY_LIMIT, tokenizer: str = "whitespace") -> DataFrame:
@@ -37,53 +39,51 @@ def build_vocabulary(df: DataFrame, text: str = "text", size: int = VOCABULARY_L
     return counted.orderBy(*order).limit(size).select("token", "n", numbered.cast("int").alias("token_id"))
 
 
+def _local_vocabulary(vocabulary: DataFrame, max_bytes: int) -> tuple[pa.Array, np.ndarray]:
+    """Tokens and ids of a vocabulary, measured before it is fetched."""
+    entries = vocabulary.where("token IS NOT NULL").groupBy("token").agg(F.min("token_id").cast("int").alias("token_id"))
+    size = entries.agg(F.coalesce(F.sum(F.octet_length("token") + 8), F.lit(0))).first()[0]
+    if size > max_bytes:
+        raise ValueError(f"the vocabulary takes {size} bytes, more than the {max_bytes} that workers may hold")
+    fetched = entries.toArrow()
+    ids = fetched.column("token_id").to_numpy()
+    return fetched.column("token").combine_chunks().cast(pa.large_string()), np.append(ids, UNK).astype(np.int32)
+
+
 def encode(
     df: DataFrame,
     vocabulary: DataFrame,
     text: str = "text",
     max_length: int | None = None,
     tokenizer: str = "whitespace",
-    limit: int = 4 * VOCABULARY_LIMIT,
+    max_vocabulary_bytes: int = VOCABULARY_BYTES,
 ) -> DataFrame:
     """Add ``input_ids``, ``attention_mask`` and ``labels``.
 
-    A start id is put in front, no end id; unknown tokens get the unknown id;
-    ``max_length`` cuts the ids when given; labels repeat the ids. A vocabulary of
-    at most ``limit`` entries is shipped to the workers and looked up per Arrow
-    batch; a larger one is joined.
+    A start id is put in front, no end id; unknown tokens get the unknown id, tokens
+    listed twice their smaller one; ``max_length`` cuts the ids when given; labels
+    repeat the ids. The vocabulary goes to every worker and is looked up per Arrow
+    batch, whatever its number of entries; one of more than ``max_vocabulary_bytes``
+    (some ten million tokens) is refused with an error. Nothing is shuffled.
     """
     rule = tokenizer_named(tokenizer)
     splitter = rule.splitter
-    entries = vocabulary.select("token", "token_id").limit(limit + 1).collect()
-    if len(entries) <= limit:
-        shipped = df.sparkSession.sparkContext.broadcast(
-            (pa.array([r.token for r in entries], pa.large_string()), np.array([r.token_id for r in entries] + [UNK], dtype=np.int32))
-        )
-
-        def look_up(texts: pa.Array) -> pa.Array:
-            names, ids = shipped.value
-            tokens, lengths = split_tokens(texts, splitter)
-            encoded = tokens.dictionary_encode()
-            known = pc.fill_null(pc.index_in(encoded.dictionary, value_set=names), len(names))
-            per_token = ids[known.to_numpy(zero_copy_only=False)]
-            # every text starts with the start id
-            starts = np.concatenate([[0], np.cumsum(lengths)])
-            codes = encoded.indices.to_numpy(zero_copy_only=False)
-            values = np.insert(per_token[codes], starts[:-1], BOS)
-            offsets = pa.array((starts + np.arange(len(starts))).astype(np.int32))
-            return pa.ListArray.from_arrays(offsets, pa.array(values, pa.int32()))
-
-        encoded = df.withColumn("input_ids", F.arrow_udf(look_up, "array<int>")(rule.prepare(F.col(text))))
-    else:
-        spelled = df.select("id", F.posexplode(tokenize(text, tokenizer)).alias("_pos", "token"))
-        known = spelled.join(vocabulary.select("token", "token_id"), "token", "left")
-        pieces = known.groupBy("id").agg(
-            F.array_sort(F.collect_list(F.struct("_pos", F.coalesce("token_id", F.lit(UNK)).alias("t")))).alias("_ids")
-        )
-        encoded = df.join(pieces, "id", "left").withColumn(
-            "input_ids",
-            F.concat(F.array(F.lit(BOS)), F.coalesce(F.col("_ids.t"), F.array().cast("array<int>"))),
-        ).drop("_ids")
+    shipped = df.sparkSession.sparkContext.broadcast(_local_vocabulary(vocabulary, max_vocabulary_bytes))
+
+    def look_up(texts: pa.Array) -> pa.Array:
+        names, ids = shipped.value
+        tokens, lengths = split_tokens(texts, splitter)
+        encoded = tokens.dictionary_encode()
+        known = pc.fill_null(pc.index_in(encoded.dictionary, value_set=names), len(names))
+        per_token = ids[known.to_numpy(zero_copy_only=False)]
+        # every text starts with the start id
+        starts = np.concatenate([[0], np.cumsum(lengths)])
+        codes = encoded.indices.to_numpy(zero_copy_only=False)
+        values = np.insert(per_token[codes], starts[:-1], BOS)
+        offsets = pa.array((starts + np.arange(len(starts))).astype(np.int32))
+        return pa.ListArray.from_arrays(offsets, pa.array(values, pa.int32()))
+
+    encoded = df.withColumn("input_ids", F.arrow_udf(look_up, "array<int>")(rule.prepare(F.col(text))))
     if max_length is not None:
         encoded = encoded.withColumn("input_ids", F.slice("input_ids", 1, max_length))
     return encoded.withColumns(
@@ -103,16 +103,17 @@ def padded_batches(encoded: DataFrame, batch_size: int, seed: int | str) -> Data
     longest = F.max(F.size("input_ids")).over(Window.partitionBy("batch_id"))
     target = (F.ceil(F.col("_longest") / PAD_MULTIPLE) * PAD_MULTIPLE).cast("int")
     return (
-        global_rank(encoded.select("id", "input_ids", "attention_mask", "labels"), seed)
+        global_rank(encoded.select("id", "input_ids"), seed)
         .withColumn("batch_id", F.floor((F.col("rank") - 1) / batch_size))
         .withColumn("_longest", longest)
         .withColumn("padded_length", target)
         .withColumn("num_tokens", F.size("input_ids"))
+        # masks and labels follow from the ids, so only these are shuffled
         .withColumns(
             {
+                "attention_mask": _padded(F.array_repeat(F.lit(1), F.size("input_ids")), 0, F.col("padded_length")),
+                "labels": _padded(F.col("input_ids"), IGNORED_LABEL, F.col("padded_length")),
                 "input_ids": _padded(F.col("input_ids"), PAD, F.col("padded_length")),
-                "attention_mask": _padded(F.col("attention_mask"), 0, F.col("padded_length")),
-                "labels": _padded(F.col("labels"), IGNORED_LABEL, F.col("padded_length")),
             }
         )
         .drop("_longest")

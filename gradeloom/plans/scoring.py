@@ -282,7 +282,7 @@ def annotation_sheet(spark, sf_dir):
     samples = instruct.select("id", F.col("instruction").alias("prompt"), F.col("response").alias("reference"))
     path = shared_folder(spark, "annotation")
     writers.save_for_annotation(samples.join(answers, "id"), path)
-    return readers.read_annotations(spark, path)
+    return readers.read_annotations(spark, path, fmt="lines")
 
 
 # -- generation and streams -------------------------------------------------------------

@@ -16,6 +16,7 @@ from gradeloom.session import spread
 MODELS = ("base", "drop3", "half")
 FRAMEWORKS = ("click", "error", "purchase", "signup", "view")
 SYSTEMS = ("a", "b")
+# Set-up scores of the chart.
 SETUP_EASE = {"click": 0.7, "error": 0.8, "purchase": 0.5, "view": 0.9}
 
 

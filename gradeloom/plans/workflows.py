@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from gradeloom.functions.templates import apply_template, evaluation_rows
 from gradeloom.functions.text import strip_prompt
 from gradeloom.operators import compare, generate, matching, profile, quality, requests, splits
+from gradeloom.session import written
 from gradeloom.sources import readers, writers
 
 
@@ -28,8 +29,11 @@ def prepare_dataset(instructions: DataFrame, root: str, template: str = "chat",
 
 
 def generate_answers(rows: DataFrame, model: str, engine: str | generate.EngineFactory, **options) -> DataFrame:
-    """Predictions of one engine for evaluation rows, the echoed prompt cut off."""
-    made = generate.batch_generate(rows.select("id", "prompt"), engine, **options)
+    """Predictions of one engine for evaluation rows, the echoed prompt cut off.
+
+    Answers are written once and read back, so whatever is derived from them agrees.
+    """
+    made = written(generate.batch_generate(rows.select("id", "prompt"), engine, **options), "answers")
     return made.select(
         F.lit(model).alias("model"), "id", strip_prompt("text", "prompt").alias("prediction"),
         "tokens_generated", "latency_s", "status",

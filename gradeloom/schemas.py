@@ -18,6 +18,7 @@ SAMPLES = ("prompt STRING, reference STRING, generated STRING")
 EVAL_FILE = (
     "model STRING, model_name STRING, model_path STRING, timestamp STRING, num_samples INT, "
     "generation_time_s DOUBLE, metrics STRUCT<bleu: DOUBLE, bleu_1: DOUBLE, bleu_2: DOUBLE, "
+    "bleu_3: DOUBLE, bleu_4: DOUBLE, "
     "rouge_1: DOUBLE, rouge_2: DOUBLE, rouge_l: DOUBLE, bertscore_precision: DOUBLE, "
     "bertscore_recall: DOUBLE, bertscore_f1: DOUBLE>"
 )

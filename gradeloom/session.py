@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(master: str = "local[*]", app: str = "gradeloom", shuffle_partitions: int = 8) -> SparkSession:
@@ -33,6 +35,23 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written once as Parquet below the shared folder and read again.
+
+    For results that must be computed once: rows numbered on the way, answers of a model.
+    """
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """A join on group keys in which null is a key like any other; the keys come from ``left``."""
+    renamed = right.withColumnsRenamed({key: f"_of_{key}" for key in keys})
+    same = [F.col(key).eqNullSafe(F.col(f"_of_{key}")) for key in keys]
+    return left.join(renamed, same, how).drop(*[f"_of_{key}" for key in keys])
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Hash-partition a scan that has fewer splits than the cluster has cores.
 

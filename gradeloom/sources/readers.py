@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from gradeloom import schemas
@@ -47,31 +47,35 @@ def read_samples(spark: SparkSession, path: str) -> DataFrame:
     """Stored samples as a JSON array; ``source`` is the file's name before ``_samples``."""
     source = F.regexp_extract(F.col("_metadata.file_name"), r"(.+)_samples\.json", 1)
     return (
-        spark.read.schema(schemas.SAMPLES).option("multiLine", True).json(path)
+        _json(spark, schemas.SAMPLES, "array").json(path)
         .select("*", source.alias("source"))
     )
 
 
-def read_annotations(spark: SparkSession, path: str, systems: Sequence[str] = ()) -> DataFrame:
-    """Rated samples, flat, or with one rating struct for each of ``systems``; missing notes are empty."""
-    schema = schemas.nested_ratings(tuple(systems)) if systems else schemas.ANNOTATION
-    df = spark.read.schema(schema).option("multiLine", not _is_folder(spark, path)).json(path)
-    return df if systems else df.fillna("", ["notes"])
+def _json(spark: SparkSession, schema: str, fmt: str) -> DataFrameReader:
+    """A strict reader of ``lines`` (an object per line) or an ``array`` (one array or object per file)."""
+    if fmt not in ("lines", "array"):
+        raise ValueError(f"fmt is lines or array, not {fmt!r}")
+    return spark.read.schema(schema).option("multiLine", fmt == "array").option("mode", "FAILFAST")
 
 
-def _is_folder(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(hadoop_path) and fs.getFileStatus(hadoop_path).isDirectory())
+def read_annotations(spark: SparkSession, path: str, systems: Sequence[str] = (), fmt: str = "array") -> DataFrame:
+    """Rated samples, flat, or with one rating struct for each of ``systems``; missing notes are empty.
+
+    ``path`` is a file or a folder; ``fmt`` is ``array`` or ``lines``. What cannot be
+    read as that raises an error.
+    """
+    df = _json(spark, schemas.nested_ratings(tuple(systems)) if systems else schemas.ANNOTATION, fmt).json(path)
+    return df if systems else df.fillna("", ["notes"])
 
 
-def collect_results(spark: SparkSession, folder: str, kind: str) -> DataFrame:
+def collect_results(spark: SparkSession, folder: str, kind: str, fmt: str = "array") -> DataFrame:
     """All result files of one kind below a folder, keyed by name.
 
     ``kind`` is ``benchmark`` or ``eval``. An entry is a file, or a folder of files,
-    with one JSON object per file. A missing entry is a missing row; with none at
-    all the result is empty.
+    each file holding one record or an array of records; ``fmt`` is ``lines`` where they
+    hold a record per line. A missing entry is a missing row; with none at all the result
+    is empty; a broken file raises an error.
     """
     schema = {"benchmark": schemas.BENCH_FILE, "eval": schemas.EVAL_FILE}[kind]
     pattern = f"{folder.rstrip('/')}/*_{kind}.json"
@@ -79,7 +83,7 @@ def collect_results(spark: SparkSession, folder: str, kind: str) -> DataFrame:
     if not _exists(spark, pattern):
         return spark.createDataFrame([], schema).withColumn("name", F.lit(None).cast("string"))
     return (
-        spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE").json(pattern)
+        _json(spark, schema, fmt).json(pattern)
         .select("*", name.alias("name"))
     )
 
@@ -105,7 +109,7 @@ def training_rows(spark: SparkSession, root: str) -> DataFrame:
     """Statistics files of all runs below ``root``/<framework>/<run id>."""
     path = F.col("_metadata.file_path")
     return (
-        spark.read.schema(schemas.TRAIN_STATS).option("multiLine", True)
+        _json(spark, schemas.TRAIN_STATS, "array")
         .json(f"{root.rstrip('/')}/*/*/training_stats.json")
         .withColumn("run_id", F.regexp_extract(path, r"([^/]+)/training_stats\.json$", 1))
         .withColumn("framework_dir", F.regexp_extract(path, r"([^/]+)/[^/]+/training_stats\.json$", 1))
@@ -153,5 +157,5 @@ def read_prompts(
     """First ``n`` prompts of an evaluation set, or the fallback list cycled to ``n``."""
     if path and _exists(spark, path):
         return read_eval_set(spark, path).orderBy("id").limit(n).select("id", "prompt")
-    rows = [(i, fallback[i % len(fallback)]) for i in range(n)]
-    return spark.createDataFrame(rows, "id BIGINT, prompt STRING")
+    texts = F.array(*[F.lit(text) for text in fallback])
+    return spark.range(n).withColumn("prompt", F.element_at(texts, (F.col("id") % len(fallback) + 1).cast("int")))

@@ -56,11 +56,17 @@ def benchmark_record(summary: DataFrame) -> DataFrame:
 
 
 def evaluation_record(card: DataFrame) -> DataFrame:
-    """A scorecard row as the nested evaluation record."""
+    """A scorecard row as the nested evaluation record; the headline BLEU is the one of four-grams."""
     metrics = [c for c in card.columns if c.startswith(("bleu", "rouge", "bertscore"))]
+    headline = [F.col("bleu_4").alias("bleu")] if "bleu_4" in metrics and "bleu" not in metrics else []
+
+    def given(name: str, kind: str):
+        return (F.col(name) if name in card.columns else F.lit(None)).cast(kind).alias(name)
+
     return card.select(
-        F.col("model").alias("model_name"), F.col("num_samples").cast("int").alias("num_samples"),
-        F.struct(*metrics).alias("metrics"),
+        F.col("model").alias("model_name"), given("model_path", "string"), given("timestamp", "string"),
+        F.col("num_samples").cast("int").alias("num_samples"), given("generation_time_s", "double"),
+        F.struct(*headline, *metrics).alias("metrics"),
     )
 
 

@@ -143,17 +143,39 @@ def test_histogram_has_all_rows(spark):
     assert sum(r.n for r in rows) == 1001 and max(r.bin for r in rows) == 49
 
 
-def test_encoding_paths_agree(spark):
+def test_encoding(spark):
     df = spark.createDataFrame([(1, "b a a c"), (2, ""), (3, "zzz a")], "id BIGINT, text STRING")
     vocabulary = tokens.build_vocabulary(df, size=2)
     assert [(r.token, r.n, r.token_id) for r in vocabulary.orderBy("token_id").collect()] == [("a", 3, 3), ("b", 1, 4)]
     shipped = tokens.encode(df, vocabulary).select("id", "input_ids", "attention_mask", "labels").orderBy("id").collect()
-    joined = tokens.encode(df, vocabulary, limit=1).select("id", "input_ids", "attention_mask", "labels").orderBy("id").collect()
-    assert shipped == joined
     assert [r.input_ids for r in shipped] == [[1, 4, 3, 3, 0], [1], [1, 0, 3]]
     assert [r.input_ids for r in tokens.encode(df, vocabulary, max_length=2).orderBy("id").collect()] == [[1, 4], [1], [1, 0]]
 
 
+def test_encoding_of_repeated_rows_and_many_tokens(spark):
+    many = spark.range(200_000).select(F.concat(F.lit("w"), "id").alias("token"), (F.col("id") + 3).cast("int").alias("token_id"))
+    twice = many.unionByName(spark.createDataFrame([("w5", 999_999)], "token STRING, token_id INT"))
+    df = spark.createDataFrame([(1, "w0 w199999"), (1, "w5 w5 other"), (1, None)], "id BIGINT, text STRING")
+    rows = sorted(r.input_ids for r in tokens.encode(df, twice).collect())
+    assert rows == [[1], [1, 3, 200_002], [1, 8, 8, 0]]
+    with pytest.raises(ValueError):
+        tokens.encode(df, many, max_vocabulary_bytes=1000)
+
+
+def test_rank_keeps_rows_without_id(spark):
+    df = spark.createDataFrame([(i,) for i in range(50)] + [(None,)] * 3, "id BIGINT")
+    ranked = splits.seeded_shuffle(df).collect()
+    assert sorted(r["rank"] for r in ranked) == list(range(1, 54))
+    assert {r["rank"] for r in ranked if r.id is None} == {51, 52, 53}
+
+
+def test_split_prunes_before_the_shuffle(spark):
+    df = spark.range(5000)
+    wanted = splits.create_splits(df, train=60, validation=20, test=20)
+    ranks = {r.id: r["rank"] for r in splits.seeded_shuffle(df).collect()}
+    assert {ranks[r.id] for r in wanted.collect()} == set(range(1, 101))
+
+
 def test_padding(spark):
     df = spark.range(50).select("id", F.sequence(F.lit(1), (F.col("id") % 11 + 1).cast("int")).alias("input_ids"))
     df = df.withColumns({"attention_mask": F.transform("input_ids", lambda x: F.lit(1)), "labels": F.col("input_ids")})

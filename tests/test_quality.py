@@ -188,7 +188,7 @@ def test_word_tokens(spark, text, expected):
     assert row.w == expected
 
 
-def test_bertscore_paths_and_brute_force(spark):
+def test_bertscore_equals_brute_force(spark):
     rng = random.Random(5)
     vocabulary = [f"w{i}" for i in range(30)]
     vectors = {w: [rng.uniform(-1, 1) for _ in range(8)] for w in vocabulary}
@@ -200,18 +200,30 @@ def test_bertscore_paths_and_brute_force(spark):
     ]
     df = spark.createDataFrame(rows, "model STRING, id BIGINT, prediction STRING, reference STRING")
     table = spark.createDataFrame(list(vectors.items()), "token STRING, vec ARRAY<FLOAT>")
-    shipped = {r.id: r for r in matching.match_tokens(df, table).collect()}
-    joined = {r.id: r for r in matching.match_tokens(df, table, ship_tokens=5).collect()}
-    assert len(shipped) == len(joined) == len(rows)
+    # a second, greater vector of a token does not count; repeated rows all stay
+    listed = table.unionByName(spark.createDataFrame([("w3", [9.0] * 8)], "token STRING, vec ARRAY<FLOAT>"))
+    plain = {r.id: r for r in matching.match_tokens(df, table).collect()}
+    blocks = matching.match_tokens(df.unionByName(df), listed, block_bytes=40).collect()
+    twice = {r.id: r for r in blocks}
+    assert len(plain) == len(rows) and len(blocks) == 2 * len(rows)
     for _, i, pred, ref in rows:
         p, r = [[vectors[w] for w in side.split() if w in vectors] for side in (pred, ref)]
         expected = brute.cosine_match(p, r) if p and r else (0.0, 0.0)
-        for found in (shipped[i], joined[i]):
+        for found in (plain[i], twice[i]):
             assert (found.bertscore_precision, found.bertscore_recall) == pytest.approx(expected, abs=1e-6)
             assert found.bertscore_f1 == pytest.approx(brute.f1(*expected), abs=1e-6)
             assert not math.isnan(found.bertscore_f1)
 
 
+def test_bertscore_with_many_vectors(spark):
+    table = spark.range(600_000).select(
+        F.concat(F.lit("t"), "id").alias("token"), F.array((F.col("id") % 7 + 1).cast("float"), F.lit(1.0).cast("float")).alias("vec")
+    )
+    df = spark.createDataFrame([("m", 1, "t0 t599999", "t599999 t0"), ("m", 1, "t7", "t0"), ("m", 2, None, "t0")], "model STRING, id BIGINT, prediction STRING, reference STRING")
+    found = sorted(r.bertscore_f1 for r in matching.match_tokens(df, table).collect())
+    assert found == pytest.approx([0.0, 1.0, 1.0])
+
+
 def test_vectors_in_blocks(monkeypatch):
     import numpy as np
 

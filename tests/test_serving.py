@@ -50,6 +50,43 @@ def test_percentiles_equal_numpy(spark):
         assert found[("one", p)] == 7.0
 
 
+def test_percentiles_of_odd_values_and_null_groups(spark):
+    inf, nan = float("inf"), float("nan")
+    rows = [("n", v) for v in (1.0, 2.0, 3.0, nan)] + [("i", v) for v in (-inf, 1.0, inf)] + [(None, v) for v in (4.0, 6.0)]
+    rows += [("t", 1.7e9 + i) for i in range(101)]
+    df = spark.createDataFrame(rows, "k STRING, v DOUBLE")
+    found = {(r.k, r.p): r.percentile for r in percentiles(df, ["k"], "v", [0.0, 0.5, 1.0]).collect()}
+    assert found["n", 0.5] == 2.5 and np.isnan(found["n", 1.0])
+    assert [found["i", p] for p in (0.0, 0.5, 1.0)] == [-inf, 1.0, inf]
+    assert found[None, 0.5] == 5.0 and found["t", 0.5] == 1.7e9 + 50
+
+
+def test_missing_answers_become_errors(spark):
+    df = spark.range(10).select("id", F.concat(F.lit("p"), "id").alias("prompt"))
+    short = lambda **options: lambda prompts: ["a"] * (len(prompts) - 1) if len(prompts) > 1 else [None if prompts[0] == "p3" else "a"]
+    rows = generate.batch_generate(df, short).collect()
+    assert {r.id for r in rows if r.status == "error"} == {3} and len(rows) == 10
+
+
+def test_records_survive_a_round_trip(spark, tmp_path):
+    card = spark.createDataFrame([("m", 7, 1.0, 2.0, 3.0, 4.0, 0.5)], "model STRING, num_samples INT, bleu_1 DOUBLE, bleu_2 DOUBLE, bleu_3 DOUBLE, bleu_4 DOUBLE, rouge_l DOUBLE")
+    writers.save_records(writers.evaluation_record(card), f"{tmp_path}/m_eval.json")
+    row = readers.evaluation_rows(readers.collect_results(spark, str(tmp_path), "eval", "lines")).first()
+    assert (row.model, row.num_samples, row.bleu, row.bleu_1, row.bleu_3, row.bleu_4, row.rouge_l) == ("m", 7, 4.0, 1.0, 3.0, 4.0, 0.5)
+
+
+def test_annotation_formats(spark, tmp_path):
+    rows = [{"id": i, "prompt": "p", "helpfulness": 3} for i in range(5)]
+    (tmp_path / "lines.json").write_text("\n".join(map(json.dumps, rows)))
+    (tmp_path / "folder").mkdir()
+    (tmp_path / "folder" / "a.json").write_text(json.dumps(rows, indent=1))
+    for path, fmt in (("lines.json", "lines"), ("folder", "array")):
+        assert sorted(r.id for r in readers.read_annotations(spark, f"{tmp_path}/{path}", fmt=fmt).collect()) == list(range(5))
+    (tmp_path / "folder" / "b.json").write_text("{broken")
+    with pytest.raises(Exception):
+        readers.read_annotations(spark, f"{tmp_path}/folder").collect()
+
+
 def test_summary(log):
     found = {r.framework: r for r in requests.benchmark_summary(log).collect()}
     for name, rows in _groups(log).items():
@@ -256,12 +293,13 @@ def test_writers(spark, tmp_path, log):
 def test_shared_folder_follows_the_session(spark):
     class Session:
         def __init__(self, folder, master):
-            self.conf = type("Conf", (), {"get": lambda _, key, default: folder if key == "spark.checkpoint.dir" else default})()
+            known = {"spark.checkpoint.dir": folder, "spark.sql.warehouse.dir": "hdfs://tables"}
+            self.conf = type("Conf", (), {"get": lambda _, key, default=None: known.get(key) or default})()
             self.sparkContext = type("Context", (), {"master": master})()
 
     assert shared_folder(Session("hdfs://shared/", "yarn"), "x").startswith("hdfs://shared/x-")
-    with pytest.raises(ValueError):
-        shared_folder(Session(None, "yarn"), "x")
+    # the warehouse is shared as well; a machine-local folder is never taken
+    assert shared_folder(Session(None, "yarn"), "x").startswith("hdfs://tables/_work/x-")
     assert shared_folder(spark, "x") != shared_folder(spark, "x")
 
 
