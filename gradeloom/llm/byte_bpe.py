@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import base64
 import zlib
+from collections.abc import Callable
 from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
@@ -61,6 +62,11 @@ def literal_array(buckets: list[str]) -> Column:
     return F.split(F.lit(CUT.join(buckets)), CUT, -1)
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with the value computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def bucket_of(key: Column, buckets: int) -> Column:
     return (F.crc32(key.cast("binary")) % buckets + 1).cast("int")
 
@@ -76,7 +82,7 @@ def _pair_text(path: str) -> tuple[str, ...]:
             if left is not None and right is not None:
                 pair = token_char(left) + token_char(right)
                 buckets[zlib.crc32(pair.encode()) % PAIR_BUCKETS] += MARK + pair + token_char(rank)
-    return tuple(buckets)
+    return tuple(3 * MARK + b for b in buckets)
 
 
 class ByteBpe:
@@ -98,39 +104,77 @@ class ByteBpe:
 
     def encode_word(self, word: Column) -> Column:
         """The tokens of one word, as a string of token characters."""
+        return bound(self.pairs, lambda table: self._encode_word(table, word))  # one copy of the literal in the plan
+
+    def _merged(self, table: Column, pair: Column) -> Column:
+        """The token that a pair of tokens merges into; ``MARK``, which is above all tokens, if none."""
+        bucket = F.element_at(table, bucket_of(pair, PAIR_BUCKETS))
+        # the third character of a bucket is the mark: the one found for position 0
+        return F.substring(bucket, F.position(F.concat(F.lit(MARK), pair), bucket) + 3, F.lit(1))
+
+    def _all_merged(self, table: Column, tokens: Column) -> Column:
+        """What each pair of neighbours merges into, one character a pair."""
+        each = F.split(tokens, "")
+        n = F.size(each) - 1
+        pairs = F.zip_with(F.slice(each, 1, n), F.slice(each, 2, n), lambda a, b: F.concat(a, b))
+        return F.array_join(F.transform(pairs, lambda p: self._merged(table, p)), "")
+
+    def _encode_word(self, table: Column, word: Column) -> Column:
+        """The fold. It carries the tokens and what their pairs merge into. A merge in one place
+        changes two pairs, and only these are looked up; after a merge in several places
+        all pairs are.
+        """
         start = F.translate(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), self.latin, self.bytes)
-
-        def smallest(tokens: Column) -> Column:
-            """The least merged token with its pair behind it; null if no pair merges."""
-            each = F.split(tokens, "")
-            n = F.size(each) - 1
-            pairs = F.zip_with(F.slice(each, 1, n), F.slice(each, 2, n), lambda a, b: F.concat(a, b))
-            buckets = F.transform(pairs, lambda p: F.element_at(self.pairs, bucket_of(p, PAIR_BUCKETS)))
-            merged = F.zip_with(
-                pairs,
-                buckets,
-                lambda p, b: F.concat(F.substring(b, F.nullif(F.position(F.concat(F.lit(MARK), p), b), F.lit(0)) + 3, F.lit(1)), p),
+        last = F.lit(1 << 30)
+
+        def state(tokens: Column, pairs: Column) -> Column:
+            return F.struct(tokens.alias("tokens"), pairs.alias("pairs"))
+
+        def recounted(tokens: Column) -> Column:
+            return bound(tokens, lambda t: state(t, F.when(F.char_length(t) < 2, MARK).otherwise(self._all_merged(table, t))))
+
+        def merge(tokens: Column, pairs: Column, best: Column, at: Column) -> Column:
+            here = at["at"]
+            once = state(
+                F.concat(F.substring(tokens, F.lit(1), here - 1), best, F.substring(tokens, here + 2, last)),
+                F.concat(
+                    F.when(
+                        here > 1,
+                        F.concat(
+                            F.substring(pairs, F.lit(1), here - 2),
+                            self._merged(table, F.concat(F.substring(tokens, here - 1, F.lit(1)), best)),
+                        ),
+                    ).otherwise(""),
+                    F.when(
+                        here + 1 < F.char_length(tokens),
+                        F.concat(
+                            self._merged(table, F.concat(best, F.substring(tokens, here + 2, F.lit(1)))),
+                            F.substring(pairs, here + 2, last),
+                        ),
+                    ).otherwise(""),
+                ),
             )
-            return F.array_min(merged)
-
-        def step(state: Column, _: Column) -> Column:
-            tokens = state["tokens"]
-            move = lambda best: F.struct(
-                F.when(best.isNull(), tokens)
-                .otherwise(F.replace(tokens, F.substring(best, 2, 2), F.substring(best, 1, 1)))
-                .alias("tokens"),
-                (best.isNull() | (F.char_length(tokens) <= 2)).alias("done"),
-            )
-            return F.when(state["done"], state).otherwise(F.element_at(F.transform(F.array(smallest(tokens)), move), 1))
+            often = recounted(F.replace(tokens, F.substring(tokens, here, F.lit(2)), best))
+            return F.when(F.position(best, pairs, here + 1) == 0, once).otherwise(often)
+
+        def step(sofar: Column, _: Column) -> Column:
+            tokens, pairs = sofar["tokens"], sofar["pairs"]
+
+            def move(best: Column) -> Column:
+                # nothing merges any more: an end state without pairs
+                return F.when((best == MARK) | (best == ""), state(tokens, F.lit(""))).otherwise(
+                    bound(F.struct(F.position(best, pairs).alias("at")), lambda at: merge(tokens, pairs, best, at))
+                )
+
+            return F.when(pairs == "", sofar).otherwise(bound(F.array_min(F.split(pairs, "")), move))
 
         def fold(begin: Column) -> Column:
             rounds = F.sequence(F.lit(1), F.char_length(begin) - 1)
-            first = F.struct(begin.alias("tokens"), F.lit(False).alias("done"))
             return F.when(F.char_length(begin) < 2, begin).otherwise(
-                F.aggregate(rounds, first, step, lambda state: state["tokens"])
+                F.aggregate(rounds, recounted(begin), step, lambda s: s["tokens"])
             )
 
-        return F.element_at(F.transform(F.array(start), fold), 1)
+        return bound(start, fold)
 
     def decode_word(self, tokens: Column) -> Column:
         """The bytes of token characters, as a string of one character a byte."""
@@ -138,9 +182,7 @@ class ByteBpe:
 
     def both(self, word: Column) -> Column:
         """Tokens and decoded bytes of a word in one string, parted by a mark."""
-        return F.element_at(
-            F.transform(F.array(self.encode_word(word)), lambda t: F.concat(t, F.lit(MIDDLE), self.decode_word(t))), 1
-        )
+        return bound(self.encode_word(word), lambda t: F.concat(t, F.lit(MIDDLE), self.decode_word(t)))
 
     def common_words(self, docs: DataFrame, most: int) -> list[str]:
         """Buckets of the ``most`` frequent distinct words of the whole corpus, each with its encoding."""
@@ -167,19 +209,24 @@ class ByteBpe:
         text = F.coalesce("text", F.lit(""))
         odd = F.contains("text", F.lit(MARK)) | F.contains("text", F.lit(MIDDLE)) | F.contains("text", F.lit(CUT))
 
-        def known(word: Column, bucket: Column) -> Column:
-            at = F.nullif(F.position(F.concat(F.lit(MARK), word, F.lit(MIDDLE)), bucket), F.lit(0))
-            return F.substring_index(F.substring(bucket, at + F.char_length(word) + 2, F.lit(1 << 20)), MARK, 1)
+        def known(word: Column) -> Column:
+            """A word's encoding in the literal; empty if it is not there."""
+            bucket = F.element_at(table, bucket_of(word, n))
+            return bound(
+                F.struct(bucket.alias("bucket"), F.position(F.concat(F.lit(MARK), word, F.lit(MIDDLE)), bucket).alias("at")),
+                lambda x: F.when(x["at"] == 0, F.lit("")).otherwise(
+                    F.substring_index(F.substring(x["bucket"], x["at"] + F.char_length(word) + 2, F.lit(1 << 20)), MARK, 1)
+                ),
+            )
 
         spelled = docs.select("doc_id", odd.alias("odd"), self.words(text).alias("words"))
         looked = spelled.select(
-            "doc_id", "odd", "words", F.transform("words", lambda w: F.element_at(table, bucket_of(w, n))).alias("buckets")
+            "doc_id",
+            "words",
+            F.transform("words", lambda w: F.when(F.coalesce("odd", F.lit(False)), F.lit("")).otherwise(known(w))).alias("found"),
         )
         coded = looked.select(
-            "doc_id",
-            F.zip_with(
-                "words", "buckets", lambda w, b: F.coalesce(F.when(~F.coalesce("odd", F.lit(False)), known(w, b)), self.both(w))
-            ).alias("coded"),
+            "doc_id", F.zip_with("words", "found", lambda w, k: F.when(k == "", self.both(w)).otherwise(k)).alias("coded")
         )
         return coded.select(
             "doc_id",
@@ -196,9 +243,10 @@ def ids_of(tokens: Column) -> Column:
 
 
 def ids_bytes(tokens: Column) -> Column:
-    """The ids as little-endian unsigned 32-bit numbers."""
+    """The ids as little-endian unsigned 32-bit numbers: big-endian ones of the tokens from behind, reversed."""
     plain = F.replace(tokens, F.lit(ZERO), F.lit("\0"))
-    return F.unhex(F.regexp_replace(F.hex(F.encode(plain, "UTF-16LE")), "(.{4})", "$10000"))
+    backwards = F.decode(F.encode(F.reverse(plain), "UTF-32"), "ISO-8859-1")
+    return F.encode(F.reverse(backwards), "ISO-8859-1")
 
 
 def encode_and_decode(docs: DataFrame, rank_path: str, pattern: str, most: int = COMMON_WORDS) -> DataFrame:
