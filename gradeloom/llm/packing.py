@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections import defaultdict
 from collections.abc import Iterator
@@ -27,6 +28,10 @@ from gradeloom.llm.common import slices, written
 CAPACITY = 2048
 END_ID = 0
 CACHE_WORDS = 400_000
+#: Unseen words that are encoded as one text.
+RUN_WORDS = 512
+#: A space, and the letter that stands for it in byte-level vocabularies.
+SPACES = " \u0120"
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, place long"
 
@@ -47,10 +52,36 @@ class WordIds:
         self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
         self.cache_words = cache_words
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.opens = np.zeros(max(vocabulary.values()) + 1, bool)  # ids whose bytes begin with a space
+        self.opens[[i for token, i in vocabulary.items() if token[0] in SPACES]] = True
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(c.ids, "<u4").tobytes() for c in coded]
+        return [array("I", c.ids).tobytes() for c in coded]
+
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of each word with a space before it.
+
+        Words without white space at their ends are encoded a run at a time: the pattern cuts
+        before every space, so each id that opens with a space begins the next word. A run
+        in which these are not as many as its words is encoded word by word.
+        """
+        out: list[bytes] = [b""] * len(words)
+        plain = [i for i, w in enumerate(words) if w and not (w[0].isspace() or w[-1].isspace())]
+        alone = [i for i, w in enumerate(words) if not w or w[0].isspace() or w[-1].isspace()]
+        runs = [plain[k : k + RUN_WORDS] for k in range(0, len(plain), RUN_WORDS)]
+        for run, ids in zip(runs, self._encode([" " + " ".join([words[i] for i in run]) for run in runs])):
+            starts = np.flatnonzero(self.opens[np.frombuffer(ids, "<u4")])
+            if len(starts) != len(run) or starts[0]:
+                alone += run
+                continue
+            edges = [*(4 * starts).tolist(), len(ids)]
+            for i, begin, end in zip(run, edges, edges[1:]):
+                out[i] = ids[begin:end]
+        for i, ids in zip(alone, self._encode([" " + words[i] for i in alone])):
+            out[i] = ids
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
@@ -73,7 +104,7 @@ class WordIds:
             missing.append((k, gaps, words))
             found.append(ids)
         begin = self._encode([words[0] for _, _, words in missing])
-        new = dict(zip(new, self._encode([" " + w for w in new])))
+        new = dict(zip(new, self._encode_words(list(new))))
         for first, (k, gaps, words) in zip(begin, missing):
             ids = found[k]
             ids[0] = first
