@@ -188,11 +188,18 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, in
                 room, first = capacity, opened
                 many = -(-left // (capacity // length))
                 opened += many
-            take = min(left, many)
-            rows.append((length, rank, rank + take, first, capacity - room))
-            give(room, (first + take, many - take))
-            give(room - length, (first, take))
-            left, rank = left - take, rank + take
+            # a sequence that has just taken one is the best fit for the next: fill it before the one behind it
+            each = room // length
+            full = min(many, left // each)
+            rest = left - full * each if full < many else 0
+            for run, sequences, layers in ((first, full, each), (first + full, min(rest, 1), rest)):
+                for layer in range(layers if sequences else 0):
+                    rows.append((length, rank, rank + sequences, run, capacity - room + layer * length))
+                    rank += sequences
+                give(room - layers * length, (run, sequences))
+            begun = full + min(rest, 1)
+            give(room, (first + begun, many - begun))
+            left -= full * each + rest
     return rows
 
 
