@@ -209,24 +209,19 @@ class ByteBpe:
         text = F.coalesce("text", F.lit(""))
         odd = F.contains("text", F.lit(MARK)) | F.contains("text", F.lit(MIDDLE)) | F.contains("text", F.lit(CUT))
 
-        def known(word: Column) -> Column:
-            """A word's encoding in the literal; empty if it is not there."""
-            bucket = F.element_at(table, bucket_of(word, n))
-            return bound(
-                F.struct(bucket.alias("bucket"), F.position(F.concat(F.lit(MARK), word, F.lit(MIDDLE)), bucket).alias("at")),
-                lambda x: F.when(x["at"] == 0, F.lit("")).otherwise(
-                    F.substring_index(F.substring(x["bucket"], x["at"] + F.char_length(word) + 2, F.lit(1 << 20)), MARK, 1)
-                ),
-            )
+        def known(word: Column, bucket: Column) -> Column:
+            """A word's encoding in the literal; null if it is not there."""
+            at = F.nullif(F.position(F.concat(F.lit(MARK), word, F.lit(MIDDLE)), bucket), F.lit(0))
+            return F.substring_index(F.substring(bucket, at + F.char_length(word) + 2, F.lit(1 << 20)), MARK, 1)
 
-        spelled = docs.select("doc_id", odd.alias("odd"), self.words(text).alias("words"))
-        looked = spelled.select(
-            "doc_id",
-            "words",
-            F.transform("words", lambda w: F.when(F.coalesce("odd", F.lit(False)), F.lit("")).otherwise(known(w))).alias("found"),
+        looked = docs.select("doc_id", F.coalesce(odd, F.lit(False)).alias("odd"), self.words(text).alias("words")).select(
+            "doc_id", "odd", "words", F.transform("words", lambda w: F.element_at(table, bucket_of(w, n))).alias("buckets")
         )
         coded = looked.select(
-            "doc_id", F.zip_with("words", "found", lambda w, k: F.when(k == "", self.both(w)).otherwise(k)).alias("coded")
+            "doc_id",
+            F.zip_with(
+                "words", "buckets", lambda w, b: F.coalesce(F.when(~F.col("odd"), known(w, b)), self.both(w))
+            ).alias("coded"),
         )
         return coded.select(
             "doc_id",
