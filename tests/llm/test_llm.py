@@ -14,7 +14,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 import xxhash
-from hypothesis import given, settings
+from hypothesis import example, given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
@@ -381,6 +381,7 @@ def test_documents_are_packed(docs, odd, empty):
 
 @settings(max_examples=100, deadline=None)
 @given(st.dictionaries(st.integers(1, 30), st.integers(1, 50), max_size=12))
+@example({4: 15, 8: 18, 2: 44, 7: 14})
 def test_plan_is_best_fit_on_counts(counts):
     rows = packing.plan(counts, 30)
     filled, placed = defaultdict(int), Counter()
