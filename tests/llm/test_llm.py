@@ -525,3 +525,13 @@ def test_stages_take_odd_rows(spark, sf_dir, odd, empty):
             made.collect()
             if name != "packing":
                 assert made.columns == small.columns
+
+
+def test_near_copies_stage_tells_rows_apart(spark, sf_dir):
+    rng = random.Random(12)
+    text = lambda: " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(60))
+    a, b, c, d, e = (text() for _ in range(5))
+    rows = [(None, a), (None, b), (None, c), (None, c), (1, d), (1, e), (2, a), (3, d)]
+    df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], DOCS).repartition(3)
+    kept = Counter((r["doc_id"], r["text"]) for r in corpus_pipeline.near_copies_stage(spark, df, sf_dir).collect())
+    assert kept == Counter([(2, a), (None, b), (None, c), (1, d), (1, e)])
