@@ -49,7 +49,10 @@ SIGNS = (
     ("form", "form search searchform login share sharing social"),
 )
 _SIGN = {word: kind for kind, words in SIGNS for word in words.split()}
+#: A wrapper named after what the page has ("has-sidebar") is not that itself.
+_PAGE_SIGN = frozenset("has with no without".split())
 _MAIN_SIGN = frozenset("article main content post entry story body text".split())
+NOT_MAIN = frozenset(f"in {k}" for k in (*APART.values(), *_SIGN.values(), "link"))
 #: Most that one element set apart may take from the sum, so that an advert inside an article does not cut it.
 APART_LIMIT = 6.0
 
@@ -69,7 +72,7 @@ def _kind(name: str, attrs: str) -> str:
                     if found := _SIGN.get(word):
                         return found
                     parts = word.split("-")
-                    if len(parts) > 1 and not _MAIN_SIGN & set(parts):
+                    if len(parts) > 1 and not _MAIN_SIGN & set(parts) and parts[0] not in _PAGE_SIGN:
                         for part in parts:
                             if found := _SIGN.get(part):
                                 return found
@@ -123,6 +126,8 @@ def read_page(page: str) -> list[tuple[str, str, int]]:
                 kind = ""  # an article's own heading
             if name in ("body", "article", "main"):
                 stack[:] = [s for s in stack if s[1] != "head"]
+                if name != "body":  # a form around the page ends here; so does a wrapper's mark at the page's main element
+                    stack[:] = [(n, "" if n == "form" or name == "main" and n == "div" and k == "sidebar" else k) for n, k in stack]
             stack.append((name, kind))
         was = bool(apart)
         apart = [k for _, k in stack if k]
@@ -143,7 +148,7 @@ class Scorer:
     def __call__(self, feature: str, words: int) -> float:
         if feature[0] == "<":
             return min(self.ratios.get(feature, -0.5), -0.1)
-        return words * self.ratios.get(feature, -0.5)
+        return words * self.ratios.get(feature, -0.5 if feature in NOT_MAIN else 0.5)
 
 
 def fit_scorer(pages: list[list[tuple[str, str, bool]]]) -> Scorer:
@@ -217,6 +222,9 @@ def labelled_pages(n: int = 120, seed: int = 3) -> list[list[tuple[str, str, boo
                 [f"<p>{words(10, 80, True)}</p>"] * 6
                 + [f"<h2>{words(2, 6, True)}</h2>", f"<blockquote>{words(8, 30, True)}</blockquote>", f"<ul><li>{words(4, 12, True)}</li><li>{words(4, 12, True)}</li></ul>"]
                 + [f'<p>{words(5, 20, True)} <a href="/x">{words(1, 3, True)}</a> <b>{words(1, 4, True)}</b></p>']
+                + [f"<div>{words(10, 60, True)}</div>", f"<section><h3>{words(2, 6, True)}</h3>{words(10, 60, True)}</section>", f"{words(10, 40, True)}<br><br>{words(10, 40, True)}"]
+                + [f"<table><tr><td>{words(1, 9, True)}</td><td>{words(1, 9, True)}</td></tr></table>", f"<pre>{words(5, 30, True)}</pre>", f"<h4>{words(2, 6, True)}</h4>"]
+                + [f"<dl><dt>{words(1, 3, True)}</dt><dd>{words(4, 20, True)}</dd></dl>"]
                 + [f'<div class="ad">{words(4, 20)}</div>', f'<aside>{words(5, 20)}</aside>']
             )
             for _ in range(rng.randint(2, 12))

@@ -577,3 +577,27 @@ def test_near_copies_stage_groups_similar_texts(spark, sf_dir, docs, monkeypatch
     rows = sorted(docs.collect(), key=lambda r: r["doc_id"])
     expected = [rows[k]["doc_id"] for k in sorted(set(plain_similar([r["text"] for r in rows])))]
     assert sorted(r["doc_id"] for r in corpus_pipeline.near_copies_stage(spark, docs, sf_dir).collect()) == expected
+
+
+# ---- whole results of the single operators
+
+
+def test_main_text_in_any_block():
+    scorer = main_text.trained_scorer()
+    prose = " ".join("These are words of the article that go on for a while.".split() * 3)
+    around = "<body><nav><a href=/>Home</a> <a href=/x>News</a></nav>%s<footer>Legal notes of the owner</footer></body>"
+    assert main_text.main_text("just text, no tags", scorer) == "just text, no tags"
+    assert main_text.main_text("<nav>menu</nav>", scorer) == ""
+    for block in ("div", "section", "pre", "h3", "h4", "dd", "blockquote"):
+        assert main_text.main_text(around % f"<{block}>{prose}</{block}><{block}>{prose}</{block}>", scorer) == f"{prose} {prose}", block
+    for body in (f"<table><tr><td>{prose}</td></tr><tr><td>{prose}</td></tr></table>", f"<div>{prose}<br><br>{prose}</div>", f"{prose}<br>{prose}", f"<p>{prose}</p>{prose}"):
+        assert main_text.main_text(around % body, scorer) == f"{prose} {prose}", body
+    edge = f"<article><h3>Top</h3><p>{prose}</p><table><tr><td>one</td><td>two</td></tr></table><pre>code at the end</pre></article>"
+    assert main_text.main_text(around % edge, scorer) == f"Top {prose} one two code at the end"
+    for wrapped in (
+        f"<form id=page><nav>Menu of it</nav><article><p>{prose}</p></article></form>",
+        f"<form><main><p>{prose}</p></main></form>",
+        f"<div class='has-sidebar'><p>{prose}</p></div>",
+        f"<div class='sidebar'><main><p>{prose}</p></main></div>",
+    ):
+        assert main_text.main_text(around % wrapped, scorer) == prose, wrapped
