@@ -1,8 +1,8 @@
 """Personal data: exact base patterns, and a semi-Markov conditional random field that adds spans.
 
 The base patterns always stay. Around what they leave, a text is searched for islands: runs
-of short atoms (digit runs, letter runs, single marks, spaces) in which a digit or an at sign
-stands. On an island, every run of at most ``MAX_ATOMS`` atoms is a candidate segment for
+of short atoms (digit runs, letter runs, single marks, spaces) in which a digit or an at sign,
+or one written out, stands. On an island, every run of at most ``MAX_ATOMS`` atoms is a candidate segment for
 every kind. Features look at the whole candidate (how many digits, how grouped, which marks,
 whether a checksum holds), not at single atoms. Dynamic programming over end positions,
 bounded by the length of an entity, chooses boundaries and kinds together; base spans are
@@ -41,7 +41,9 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGITS = re.compile(r"[^0-9]+")
-_ANY = re.compile(r"[0-9@]")
+#: An at sign written out: in brackets, or bare before a dot or a dot written out.
+_AT_WORD = re.compile(r"[(\[{]at[)\]}]| at (?=[A-Za-z0-9-]+(?:\.| ?[(\[{]dot[)\]}] ?| dot | \. )[A-Za-z])")
+_ANY = re.compile(rf"[0-9@]|{_AT_WORD.pattern}")
 
 Span = tuple[int, int, str]
 
@@ -94,7 +96,7 @@ _MARKS = frozenset("@.-_+()[]{}/ \t")
 
 
 def islands(text: str, reach: int = 48) -> list[tuple[int, int]]:
-    """Stretches worth a search: a few dozen characters around every digit run and at sign."""
+    """Stretches worth a search: a few dozen characters around every digit run and at sign, also one written out."""
     out: list[list[int]] = []
     at = 0
     while m := _ANY.search(text, at):
@@ -114,13 +116,17 @@ def atoms(text: str, begin: int, end: int) -> list[tuple[int, int]]:
 
 
 
+def has_at(span: str) -> bool:
+    return "@" in span or " at " in span or any(f"{a}at{b}" in span for a, b in ("()", "[]", "{}"))
+
+
 def segment_features(text: str, begin: int, end: int) -> tuple[str, ...] | None:
     """Features of a whole span, or None where no entity can be."""
     span = text[begin:end]
     digits = [c for c in span if "0" <= c <= "9"]
     n = len(digits)
-    has_at = "@" in span or " at " in span or "(at)" in span or "[at]" in span
-    if not has_at and n < 4:
+    at = has_at(span)
+    if not at and n < 4:
         return None
     letters = sum(c.isalpha() for c in span)
     groups = re.findall(r"[0-9]+", span)
@@ -131,21 +137,21 @@ def segment_features(text: str, begin: int, end: int) -> tuple[str, ...] | None:
         "w" if after.isalnum() else "m" if after in "-_/@=" and after else "s"
     )
     out = [
-        f"n{min(n, 20)}" if not has_at else "at",
-        f"g{sizes}" if not has_at else f"ga{'d' if re.search(r'[.]|dot', span) else ''}",
-        f"m{gaps}" if not has_at else "ma",
+        f"n{min(n, 20)}" if not at else "at",
+        f"g{sizes}" if not at else f"ga{'d' if re.search(r'[.]|dot', span) else ''}",
+        f"m{gaps}" if not at else "ma",
         f"e{edge}",
-        f"l{min(letters, 3)}{'a' if has_at else ''}",
+        f"l{min(letters, 3)}{'a' if at else ''}",
         "plus" if span[0] == "+" else "zz" if groups and span.startswith("00") else "nop",
     ]
-    if not letters and not has_at:
+    if not letters and not at:
         if 12 <= n <= 19:
             out.append("luhn" if passes_luhn("".join(digits)) else "noluhn")
         if len(groups) == 4:
             out.append("octets" if all(_octet(g) for g in groups) else "nooctets")
         if 9 <= n <= 15:
             out.append("phonelong")
-    if has_at:
+    if at:
         local, _, rest = re.sub(r"\s*[(\[{]?\bat\b[)\]}]?\s*|\s*@\s*", "@", span).partition("@")
         rest = re.sub(r"\s*[(\[{]?\bdot\b[)\]}]?\s*", ".", rest)
         out.append("mail" if re.fullmatch(r"[A-Za-z0-9._%+-]+", local) and re.fullmatch(r"[A-Za-z0-9-]+(\.[A-Za-z]{2,})+", rest) else "nomail")
@@ -176,7 +182,7 @@ class Field:
             head = text[begin]
             if not (head.isalnum() or head in "+("):
                 continue
-            if head.isalpha() and "@" not in text[begin : begin + 64] and " at " not in text[begin : begin + 64]:
+            if head.isalpha() and not has_at(text[begin : begin + 64]):
                 continue
             for j in range(i + 1, min(len(cells), i + MAX_ATOMS) + 1):
                 b, e = cells[j - 1]

@@ -601,3 +601,18 @@ def test_main_text_in_any_block():
         f"<div class='sidebar'><main><p>{prose}</p></main></div>",
     ):
         assert main_text.main_text(around % wrapped, scorer) == prose, wrapped
+
+
+def test_written_out_addresses_are_found():
+    field = private_data.trained_field()
+    for text, gold in private_data.labelled_snippets():
+        cells = private_data.atoms(text, 0, len(text))
+        found = {(cells[i][0], cells[j - 1][1]) for i, j, _ in field.candidates(text, cells)}
+        assert {(s, e) for s, e, _ in gold} <= found
+    for address in ("mary(at)example.org", "mary [at] example dot com", "mary.smith (at) example (dot) org", "mary at example dot com", "mary at example.org"):
+        text = f"Please write to {address}, and we answer soon."
+        base, spans = private_data.all_spans(text, field)
+        assert base == [] and [(text[s:e], k) for s, e, k in spans] == [(address, "email")]
+        assert address not in private_data.mask(text, spans)
+    for clean in ("We met at home. Then we looked at the stars (at night).", "Look at this. Dot the map."):
+        assert private_data.all_spans(clean, field)[1] == []
