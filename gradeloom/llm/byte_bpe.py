@@ -27,6 +27,8 @@ from gradeloom.llm.common import written
 
 #: Distinct words that are encoded ahead of the corpus.
 COMMON_WORDS = 1 << 18
+#: Most bytes of such a word; longer ones are folded where they stand.
+COMMON_BYTES = 64
 PAIR_BUCKETS = 1 << 14
 #: Noncharacters that part the entries of a bucket.
 MARK, MIDDLE, CUT = "\uffff", "\ufffe", "\ufdd0"
@@ -191,13 +193,14 @@ class ByteBpe:
             .groupBy("word")
             .agg(F.count("*").alias("times"))
             .where("times > 1")
+            .where(F.octet_length("word") <= COMMON_BYTES)
         )
         chosen = counted.orderBy(F.desc("times"), "word").limit(most).select("word")
         plain = ~(F.contains("word", F.lit(MARK)) | F.contains("word", F.lit(MIDDLE)) | F.contains("word", F.lit(CUT)))
         spread = written(chosen.where(plain), "bpe-words").repartition(docs.sparkSession.sparkContext.defaultParallelism, "word")
         coded = spread.select("word", self.both(F.col("word")).alias("coded"))
         buckets = [""] * max(64, 1 << max(0, most.bit_length() - 3))
-        # bounded: at most ``most`` short rows
+        # bounded: at most ``most`` rows of words of at most COMMON_BYTES bytes
         for word, made in coded.toLocalIterator(prefetchPartitions=True):
             buckets[zlib.crc32(word.encode()) % len(buckets)] += f"{MARK}{word}{MIDDLE}{made}"
         return [b + MARK for b in buckets]
@@ -212,7 +215,8 @@ class ByteBpe:
         def known(word: Column, bucket: Column) -> Column:
             """A word's encoding in the literal; null if it is not there."""
             at = F.nullif(F.position(F.concat(F.lit(MARK), word, F.lit(MIDDLE)), bucket), F.lit(0))
-            return F.substring_index(F.substring(bucket, at + F.char_length(word) + 2, F.lit(1 << 20)), MARK, 1)
+            # a word of n bytes has at most n tokens and n decoded characters, and one mark between them
+            return F.substring_index(F.substring(bucket, at + F.char_length(word) + 2, F.lit(2 * COMMON_BYTES + 2)), MARK, 1)
 
         looked = docs.select("doc_id", F.coalesce(odd, F.lit(False)).alias("odd"), self.words(text).alias("words")).select(
             "doc_id", "odd", "words", F.transform("words", lambda w: F.element_at(table, bucket_of(w, n))).alias("buckets")

@@ -616,3 +616,15 @@ def test_written_out_addresses_are_found():
         assert address not in private_data.mask(text, spans)
     for clean in ("We met at home. Then we looked at the stars (at night).", "Look at this. Dot the map."):
         assert private_data.all_spans(clean, field)[1] == []
+
+
+def test_bpe_common_words_are_short(spark, reference_encoding):
+    texts = ["=" * 700 + " a", "=" * 700 + " a", "\u65e5\u672c" * 40, "\u65e5\u672c" * 40, "a" * 64 + " " + "b" * 65] * 2
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bpe = byte_bpe.ByteBpe(public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+    words = [e.split(byte_bpe.MIDDLE)[0] for b in bpe.common_words(df, 500) for e in b.split(byte_bpe.MARK) if e]
+    assert "a" * 64 in words and max(len(w.encode()) for w in words) <= 64
+    for r in byte_bpe.encode_and_decode(df, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, 500).collect():
+        ids = np.array(reference_encoding.encode_ordinary(texts[r["doc_id"]]), "<u4")
+        assert (r["n_tokens"], r["ids_sha256"]) == (len(ids), hashlib.sha256(ids.tobytes()).hexdigest())
+        assert r["decoded_sha256"] == hashlib.sha256(texts[r["doc_id"]].encode()).hexdigest()
