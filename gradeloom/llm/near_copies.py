@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gradeloom.llm.common import slices, written
@@ -166,39 +166,39 @@ def links(classes: DataFrame, radius: int = RADIUS, pivots: int = PIVOTS, bucket
     )
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """``node, label`` for every node of ``edges`` (``a, b``): the smallest node it can reach.
 
-    Each round takes the smallest label next door and then that node's own label, so
-    distances about double. Every round is written, so none is computed twice.
+    Each round every node moves to the neighbour that comes first in an order, if that comes
+    before itself, then edges are named anew and those inside a group go. The order is drawn
+    anew each round, so about half of the groups that still have an edge vanish, whatever
+    names a chain has; the last in order always does, so the rounds end. Every round is
+    written, so none is computed twice. No edges give no nodes.
     """
-    both = written(
-        edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "near-links"
-    )
-    labels = written(
-        both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("label")), "near-labels"
-    )
-    for _ in range(max_rounds):
-        beside = (
-            both.join(labels.withColumnRenamed("node", "b"), "b")
-            .groupBy(F.col("a").alias("node"))
-            .agg(F.min("label").alias("beside"))
-        )
-        stepped = labels.join(beside, "node").withColumn("target", F.least("label", "beside"))
-        jump = labels.select(F.col("node").alias("target"), F.col("label").alias("beyond"))
-        labels = written(
-            stepped.join(jump, "target").select(
-                "node",
-                F.least("target", "beyond").alias("label"),
-                (F.least("target", "beyond") != F.col("label")).alias("moved"),
-            ),
-            "near-labels",
-        )
-        moved = labels.where("moved").limit(1).count()
-        labels = labels.drop("moved")
-        if not moved:
-            return labels
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+    left = written(edges.select("a", "b").where("a <> b").distinct(), "near-links")
+    nodes = edges.select(F.col("a").alias("node")).union(edges.select(F.col("b").alias("node"))).distinct()
+    groups = written(nodes.withColumn("label", F.col("node")), "near-labels")
+    turn = 0
+    while left.limit(1).count():
+
+        def place(c: str) -> Column:
+            # stars around their smallest node, the usual links, are done in the first round
+            return F.struct(F.xxhash64(F.lit(turn), c) if turn else F.lit(0).cast("long"), F.col(c))
+
+        both = left.union(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        first = both.groupBy("a").agg(F.min(place("b")).alias("first"))
+        moves = first.select("a", F.when(F.col("first") < place("a"), F.col("first")["b"]).otherwise(F.col("a")).alias("to"))
+        moves = written(moves, "near-moves")
+        further = moves.select(F.col("a").alias("to"), F.col("to").alias("end"))
+        moves = written(moves.join(further, "to").select("a", "end"), "near-moves")
+        ends = moves.withColumnsRenamed({"a": "b", "end": "b_end"})
+        left = left.join(moves, "a").join(ends, "b").select(F.col("end").alias("a"), F.col("b_end").alias("b"))
+        left = written(left.where("a <> b").distinct(), "near-links")
+        groups = groups.join(moves.withColumnsRenamed({"a": "label"}), "label", "left")
+        groups = written(groups.select("node", F.coalesce("end", "label").alias("label")), "near-labels")
+        turn += 1
+    smallest = groups.groupBy("label").agg(F.min("node").alias("smallest"))
+    return groups.join(smallest, "label").select("node", F.col("smallest").alias("label"))
 
 
 def near_copies(docs: DataFrame, radius: int = RADIUS) -> DataFrame:

@@ -28,7 +28,6 @@ from gradeloom.llm import (
     quality_classifier,
     quality_rules,
     sharding,
-    similar_texts,
     vector_search,
     warc,
 )
@@ -501,6 +500,23 @@ def test_links_lose_nothing_over_many_buckets(spark):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, expected.values()))
 
 
+def test_components_of_long_chains(spark):
+    n = 1000
+    chains = [
+        list(range(n)),
+        list(range(n))[::-1],
+        [k // 2 if k % 2 == 0 else n - 1 - k // 2 for k in range(n)],
+        [0, *range(n - 1, 0, -1)],
+    ]
+    edges = [(n - 1, b) for b in range(n - 1)]  # a star around its largest node
+    for k, chain in enumerate(chains, 1):
+        edges += [(n * k + a, n * k + b) for a, b in zip(chain, chain[1:])]
+    expected = {v: v - v % n for v in range(5 * n)} | {5 * n: 5 * n, 5 * n + 1: 5 * n, 5 * n + 3: 5 * n + 3}
+    edges += [(5 * n + 1, 5 * n), (5 * n + 3, 5 * n + 3)]
+    got = {r["node"]: r["label"] for r in near_copies.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == expected
+
+
 # ---- pipeline
 
 
@@ -538,47 +554,6 @@ def test_near_copies_stage_tells_rows_apart(spark, sf_dir):
     assert kept == Counter([(2, a), (None, b), (None, c), (1, d), (1, e)])
 
 
-def plain_similar(texts, width=5):
-    """Groups of positions whose texts have a shingle similarity of at least 0.8, all pairs tried."""
-    sets = []
-    for t in texts:
-        words = (t or "").lower().split()
-        sets.append({tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1))} if words else set())
-    group = list(range(len(texts)))
-    for i in range(len(texts)):
-        for j in range(i):
-            if sets[i] == sets[j] or 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]) > 0:
-                low, high = sorted((group[i], group[j]))
-                group = [low if g == high else g for g in group]
-    return group
-
-
-def test_near_copies_stage_groups_similar_texts(spark, sf_dir, docs, monkeypatch):
-    rng = random.Random(21)
-    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(5)) for _ in range(400)]
-    line = " ".join(rng.choice(words) for _ in range(40))  # common to many
-    texts = [None, "", "a b", "A  b", "a b c"]
-    for _ in range(25):
-        base = [rng.choice(words) for _ in range(rng.randint(30, 160))]
-        for _ in range(rng.randint(1, 7)):
-            copy = list(base)
-            for _ in range(rng.randint(0, len(base) // 40)):
-                copy[rng.randrange(len(copy))] = rng.choice(words)
-            texts.append(" ".join(copy) + (" " + line if rng.random() < 0.5 else ""))
-    rng.shuffle(texts)
-    group = plain_similar(texts)
-    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], DOCS).repartition(4)
-    expected = sorted(set(group))
-    assert len(set(group)) < len(set(texts)) - 20
-    for every, times in ((similar_texts.SAMPLE_EVERY, similar_texts.SAMPLE_TIMES), (1, 6)):
-        monkeypatch.setattr(similar_texts, "SAMPLE_EVERY", every)
-        monkeypatch.setattr(similar_texts, "SAMPLE_TIMES", times)
-        assert sorted(r["doc_id"] for r in corpus_pipeline.near_copies_stage(spark, df, sf_dir).collect()) == expected
-    rows = sorted(docs.collect(), key=lambda r: r["doc_id"])
-    expected = [rows[k]["doc_id"] for k in sorted(set(plain_similar([r["text"] for r in rows])))]
-    assert sorted(r["doc_id"] for r in corpus_pipeline.near_copies_stage(spark, docs, sf_dir).collect()) == expected
-
-
 # ---- whole results of the single operators
 
 
