@@ -10,13 +10,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradeloom.llm import packing, private_data, quality_classifier, quality_rules, similar_texts
+from gradeloom.llm import near_copies, packing, private_data, quality_classifier, quality_rules
 from gradeloom.llm.catalog import TOKENIZER
 from gradeloom.llm.common import table, written
 
 
 #: Numbers the rows of a stage's input; ids may be missing or shared.
-ROW = "_row_key"
+ROW = "_pipeline_row"
 
 
 def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,15 +31,16 @@ def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of texts that share 0.8 of their five-word shingles the row with the smallest id.
+    """Of every group of near copies, by SimHash as its own query links them, the row with the smallest id.
 
     Rows without an id come last. Rows are told apart by a key that is written once, so these, or of one id
     with unlike texts, are judged by their texts like all others.
     """
     rows = written(docs.withColumn(ROW, F.monotonically_increasing_id()), "pipeline-rows")
-    groups = similar_texts.groups(rows.select(F.col(ROW).alias("row"), "text"))
-    ids = rows.select(ROW, "doc_id").join(groups.withColumnRenamed("row", ROW), ROW)
-    first = ids.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", ROW)).alias("first"))
+    groups = near_copies.near_copies(rows.select(F.col(ROW).alias("doc_id"), "text"))
+    groups = groups.select(F.col("doc_id").alias(ROW), "component_id")
+    ids = rows.select(ROW, "doc_id").join(groups, ROW)
+    first = ids.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", ROW)).alias("first"))
     chosen = written(first.select(F.col("first")[ROW].alias(ROW)), "pipeline-first")
     return rows.join(chosen, ROW, "left_semi").select(docs.columns)
 
