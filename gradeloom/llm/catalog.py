@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gradeloom.llm import (
     byte_bpe,
+    lexical_search,
     main_text,
     near_copies,
     packing,
@@ -70,6 +71,11 @@ def op10_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies.near_copies(table(spark, sf_dir, "documents"))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = lexical_search.build_index(table(spark, sf_dir, "documents"))
+    return lexical_search.search(index, table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -83,7 +89,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_packing,
         op9_quality_rules,
         op10_near_copies,
+        op13_lexical_search,
     )
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op13_lexical_search": lexical_search.SQL}
