@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from gradeloom.llm import (
+    alignment,
     byte_bpe,
     lexical_search,
     main_text,
@@ -24,6 +25,7 @@ from gradeloom.llm.common import table
 
 RANKS = "byte_bpe_50k.tiktoken"
 TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,6 +73,11 @@ def op10_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies.near_copies(table(spark, sf_dir, "documents"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = public_tokenizers.path(TOKENIZER), public_tokenizers.path(PIECES)
+    return alignment.align_documents(table(spark, sf_dir, "documents"), *paths)
+
+
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = lexical_search.build_index(table(spark, sf_dir, "documents"))
     return lexical_search.search(index, table(spark, sf_dir, "benchmark"))
@@ -89,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_packing,
         op9_quality_rules,
         op10_near_copies,
+        op11_alignment,
         op13_lexical_search,
     )
 }
