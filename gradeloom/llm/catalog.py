@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from gradeloom.llm import (
     alignment,
     byte_bpe,
+    language_model,
     lexical_search,
     main_text,
     near_copies,
@@ -78,6 +79,10 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align_documents(table(spark, sf_dir, "documents"), *paths)
 
 
+def op12_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = lexical_search.build_index(table(spark, sf_dir, "documents"))
     return lexical_search.search(index, table(spark, sf_dir, "benchmark"))
@@ -97,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_quality_rules,
         op10_near_copies,
         op11_alignment,
+        op12_language_model,
         op13_lexical_search,
     )
 }
