@@ -438,3 +438,32 @@ def saved_eval_set(spark, sf_dir):
     test = splits.create_splits(tables.instructions(spark, sf_dir)).where("split = 'test'").drop("split")
     writers.save_eval_set(templates.evaluation_rows(test), path)
     return readers.read_eval_set(spark, path)
+
+
+def _eval_files(spark, sf_dir):
+    """Evaluation rows without an id, as JSON lines over several files, in the order of their ids."""
+    path = shared_folder(spark, "eval-set")
+    rows = templates.evaluation_rows(tables.instructions(spark, sf_dir))
+    ordered = rows.repartitionByRange(4, "id").sortWithinPartitions("id")
+    writers.save_eval_set(ordered.select(*[c for c in rows.columns if c != "id"]), path)
+    return path
+
+
+@query(
+    "eval_set_without_id",
+    f"""WITH {S.INSTRUCT} SELECT row_number() OVER (ORDER BY id) - 1 AS id, {S.CHAT_PROMPT} AS prompt, response AS reference,
+    instruction, context, category FROM instruct""",
+)
+def eval_set_without_id(spark, sf_dir):
+    """Evaluation rows read from files without ids: a row's id is its place."""
+    return readers.read_eval_set(spark, _eval_files(spark, sf_dir))
+
+
+@query(
+    "first_prompts",
+    f"""WITH {S.INSTRUCT} SELECT row_number() OVER (ORDER BY id) - 1 AS id, {S.CHAT_PROMPT} AS prompt
+    FROM instruct ORDER BY instruct.id LIMIT 25""",
+)
+def first_prompts(spark, sf_dir):
+    """The first prompts of an evaluation set, in the order of its lines."""
+    return readers.read_prompts(spark, _eval_files(spark, sf_dir), 25)

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from gradeloom.functions import templates
 from gradeloom.operators import compare, generate, matching, quality, ratings
 from gradeloom.plans import sql as S
-from gradeloom.plans import tables
+from gradeloom.plans import tables, workflows
 from gradeloom.plans.registry import query
 from gradeloom.session import shared_folder
-from gradeloom.sources import readers, writers
+from gradeloom.sources import readers, versions, writers
 from gradeloom.streaming import jobs
 
 
@@ -164,6 +164,28 @@ def bertscore_greedy(spark, sf_dir):
     return quality.scorecard(matching.match_tokens(pairs(spark, sf_dir), vectors))
 
 
+_BERT = _VECTORS.removeprefix(S.PRED).replace("tokens AS (", "b_tokens AS (").replace("FROM tokens", "FROM b_tokens").replace("spelled", "b_spelled")
+
+
+@query(
+    "rescored_version",
+    f"""WITH {_WS4}{_ROUGE_GRAMS}{_BERT},
+    bleu_part AS ({S.per_model(_BLEU, 'matched')}), rouge_part AS ({S.per_model(_ROUGE_N, 'r_matched')}),
+    bert_part AS ({S.per_model({'bertscore_precision': 'p', 'bertscore_recall': 'r', 'bertscore_f1': S.f1('p', 'r')}, 'bert')})
+    SELECT bleu_part.*, rouge_1, rouge_2, bertscore_precision, bertscore_recall, bertscore_f1
+    FROM bleu_part JOIN rouge_part USING (model) JOIN bert_part USING (model)""",
+)
+def rescored_version(spark, sf_dir):
+    """Stored samples scored again: the last version holds the first one's BLEU with ROUGE and BERTScore put in."""
+    root, path = shared_folder(spark, "scores"), shared_folder(spark, "samples")
+    instruct = tables.instructions(spark, sf_dir)
+    writers.save_records(quality.pair_predictions(tables.predictions(instruct), instruct), path)
+    stored = spark.read.schema("model STRING, id BIGINT, prediction STRING, reference STRING").json(path)
+    workflows.rescore(stored, root, metrics=["bleu"])
+    workflows.rescore(stored, root, tables.token_vectors(spark, sf_dir, instruct), ["rouge_1", "rouge_2"], stem=False)
+    return quality.scorecard(versions.read_version(spark, root))
+
+
 # -- comparisons ------------------------------------------------------------------------
 
 _METRICS = ("bleu_1", "bleu_4", "rouge_1", "rouge_2")

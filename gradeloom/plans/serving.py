@@ -221,19 +221,35 @@ def latency_histogram(spark, sf_dir):
     return profile.histogram(tables.requests(spark, sf_dir), ["latency_s"])
 
 
-@query(
-    "bench_stream",
-    f"""WITH {S.REQUESTS} SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS window_start, framework, count(*) AS num_requests,
+def _windows(having: str) -> str:
+    return f"""WITH {S.REQUESTS} SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS window_start, framework, count(*) AS num_requests,
     round(avg(latency_s), 6) AS avg_latency_s, round(max(latency_s), 6) AS max_latency_s, round(avg(rate), 6) AS avg_throughput,
-    sum(tokens_generated)::BIGINT AS total_tokens FROM timed
-    WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM req) GROUP BY date_trunc('day', ts), framework""",
-)
-def bench_stream(spark, sf_dir):
-    """Daily request windows from a stream; windows still open at the end are not reported."""
+    sum(tokens_generated)::BIGINT AS total_tokens FROM timed {having} GROUP BY date_trunc('day', ts), framework"""
+
+
+def _request_stream(spark, sf_dir):
     schema = tables.table(spark, sf_dir, "events").schema
     log = tables.as_requests(jobs.file_stream(spark, sf_dir, schema, "events.parquet"))
-    closed = jobs.run_to_end(jobs.request_windows(log), "windows")
-    return closed.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd"))
+    return jobs.request_windows(log)
+
+
+def _with_day(windows):
+    return windows.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd"))
+
+
+@query("bench_stream", _windows(""))
+def bench_stream(spark, sf_dir):
+    """Daily request windows from a stream, the last ones included: the newest state of every window."""
+    return _with_day(jobs.run_updates(_request_stream(spark, sf_dir), "windows", ("window_start", "framework")))
+
+
+@query(
+    "bench_stream_closed",
+    _windows("WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM req)"),
+)
+def bench_stream_closed(spark, sf_dir):
+    """Daily request windows from a stream, each reported once, when the watermark has passed its end."""
+    return _with_day(jobs.run_to_end(_request_stream(spark, sf_dir), "windows"))
 
 
 # -- training runs ----------------------------------------------------------------------

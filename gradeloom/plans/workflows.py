@@ -11,7 +11,7 @@ from gradeloom.functions.templates import apply_template, evaluation_rows
 from gradeloom.functions.text import strip_prompt
 from gradeloom.operators import compare, generate, matching, profile, quality, requests, splits
 from gradeloom.session import written
-from gradeloom.sources import readers, writers
+from gradeloom.sources import readers, versions, writers
 
 
 def prepare_dataset(instructions: DataFrame, root: str, template: str = "chat", seed: int = splits.SEED, **quotas) -> DataFrame:
@@ -55,6 +55,20 @@ def evaluate(
     return scored, quality.scorecard(scored)
 
 
+def rescore(
+    samples: DataFrame, root: str, vectors: DataFrame | None = None, metrics: Sequence[str] = ("bleu", "rouge"), **options
+) -> int:
+    """Score stored samples again and publish the scores as a new version of the score table below ``root``.
+
+    New figures replace old ones by model and id; figures and rows that are not scored again
+    stay. Returns the version; one that fails is not published.
+    """
+    scored = quality.score_pairs(samples, metrics, **options)
+    if vectors is not None:
+        scored = matching.match_tokens(scored, vectors)
+    return versions.upsert_version(scored.drop("prediction", "reference"), root, ("model", "id"))
+
+
 def compare_models(card: DataFrame, baseline: str, models: Sequence[str]) -> dict[str, DataFrame]:
     """Comparison matrix, winners and change against the baseline, from a scorecard."""
     metrics = quality.score_columns(card)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gradeloom import schemas
@@ -38,9 +38,37 @@ def read_instructions(spark: SparkSession, path: str, fmt: str = "parquet") -> D
     return reader.format(fmt).load(path)
 
 
-def read_eval_set(spark: SparkSession, path: str) -> DataFrame:
-    """Evaluation rows, one JSON object per line."""
-    return spark.read.schema(schemas.EVAL).option("mode", "FAILFAST").json(path)
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``value`` and ``position`` of every line that is not blank, over all files in the order of their paths.
+
+    A position counts the lines before, blank ones too, and is the same however the files are
+    split for reading: lines are numbered within their split as they are read, and the
+    splits' line counts, one row per split, give where each begins.
+    """
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("n"),
+    )
+    pieces = lines.groupBy("file", "start").agg(F.count(F.lit(1)).alias("lines"), F.min("n").alias("first"))
+    before = Window.orderBy("file", "start").rowsBetween(Window.unboundedPreceding, -1)
+    offset = F.coalesce(F.sum("lines").over(before), F.lit(0)) - F.col("first")
+    begins = pieces.select("file", "start", offset.alias("offset"))
+    numbered = lines.where("trim(value) <> ''").join(begins, ["file", "start"])
+    return numbered.select("value", (F.col("n") + F.col("offset")).alias("position"))
+
+
+def read_eval_set(spark: SparkSession, path: str, with_position: bool = False) -> DataFrame:
+    """Evaluation rows, one JSON object per line; a row without an ``id`` gets its position as one.
+
+    ``with_position`` adds the position, see ``read_lines``. A line that is not a record
+    raises an error.
+    """
+    record = F.from_json("value", schemas.EVAL, {"mode": "FAILFAST"}).alias("record")
+    rows = read_lines(spark, path).select("position", record).select("position", "record.*")
+    rows = rows.withColumn("id", F.coalesce("id", "position"))
+    return rows if with_position else rows.drop("position")
 
 
 def read_samples(spark: SparkSession, path: str) -> DataFrame:
@@ -154,8 +182,8 @@ def read_splits(spark: SparkSession, root: str, split: str | None = None) -> Dat
 def read_prompts(
     spark: SparkSession, path: str | None, n: int, fallback: Sequence[str] = DEFAULT_PROMPTS
 ) -> DataFrame:
-    """First ``n`` prompts of an evaluation set, or the fallback list cycled to ``n``."""
+    """First ``n`` prompts of an evaluation set, in the order of its lines, or the fallback list cycled to ``n``."""
     if path and _exists(spark, path):
-        return read_eval_set(spark, path).orderBy("id").limit(n).select("id", "prompt")
+        return read_eval_set(spark, path, with_position=True).orderBy("position").limit(n).select("id", "prompt")
     texts = F.array(*[F.lit(text) for text in fallback])
     return spark.range(n).withColumn("prompt", F.element_at(texts, (F.col("id") % len(fallback) + 1).cast("int")))

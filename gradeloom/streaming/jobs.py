@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
 from gradeloom.operators.quality import score_pairs
@@ -65,3 +66,47 @@ def run_to_end(stream: DataFrame, purpose: str, mode: str = "append") -> DataFra
     )
     query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{target}/rows")
+
+
+def version_sink(target: str) -> Callable[[DataFrame, int], None]:
+    """Writes each batch of changed rows to a folder of its own below ``target``.
+
+    A batch that runs again, after a lost driver or a replayed log, replaces its folder, so
+    it counts once.
+    """
+
+    def save(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{target}/batch={number}")
+
+    return save
+
+
+def newest_rows(spark: SparkSession, target: str, schema: StructType, key: Sequence[str]) -> DataFrame:
+    """Of every key the row of the latest batch that a ``version_sink`` holds.
+
+    Batches are pre-aggregated where they are read; one row per key and task is shuffled.
+    """
+    kept = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
+    rows = spark.read.schema(kept).parquet(target)
+    values = [c for c in schema.names if c not in key]
+    newest = rows.groupBy(*key).agg(F.max_by(F.struct(*values), "batch").alias("newest"))
+    return newest.select(*[F.col(c) if c in key else F.col(f"newest.{c}").alias(c) for c in schema.names])
+
+
+def run_updates(stream: DataFrame, purpose: str, key: Sequence[str]) -> DataFrame:
+    """Process what is available in update mode and return the newest row of every key.
+
+    Unlike ``append``, which reports a window when the watermark has passed its end, this
+    reports the windows that are still open as well.
+    """
+    spark = stream.sparkSession
+    target = shared_folder(spark, purpose)
+    query = (
+        stream.writeStream.outputMode("update")
+        .foreachBatch(version_sink(f"{target}/rows"))
+        .option("checkpointLocation", f"{target}/progress")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return newest_rows(spark, f"{target}/rows", stream.schema, key)
