@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gradeloom.functions.overlap import Count, overlap, overlap_counts
-from gradeloom.functions.text import tokenizer_named
+from gradeloom.functions.porter import rouge_stem
+from gradeloom.functions.text import tokenize, tokenizer_named
 
 # Smoothing constant of the first published sentence-BLEU smoothing method.
 BLEU_EPSILON = 0.1
@@ -132,6 +133,18 @@ def scorecard(scored: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:
     return scored.groupBy(*by).agg(F.count(F.lit(1)).alias("num_samples"), *means)
 
 
+def word_stems(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``word, stem`` of every distinct ROUGE word of the text columns; a word is stemmed once."""
+
+    @F.arrow_udf("string")
+    def stems(words: pa.Array) -> pa.Array:
+        return pa.array([rouge_stem(w) for w in words.to_pylist()], pa.string())
+
+    words = F.concat(*[tokenize(c, "alnum") for c in columns])
+    distinct = df.select(F.explode(F.array_distinct(words)).alias("word")).distinct()
+    return distinct.withColumn("stem", stems("word"))
+
+
 def register_sql_functions(spark: SparkSession) -> None:
     """Make ``bleu(prediction, reference)`` and ``rouge_l(prediction, reference)`` callable in SQL.
 

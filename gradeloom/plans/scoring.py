@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from gradeloom.functions import templates
 from gradeloom.operators import compare, generate, matching, quality, ratings
 from gradeloom.plans import sql as S
-from gradeloom.plans import tables, workflows
+from gradeloom.plans import stems, tables, workflows
 from gradeloom.plans.registry import query
 from gradeloom.session import shared_folder
 from gradeloom.sources import readers, versions, writers
@@ -94,11 +94,6 @@ def rouge_n_by_model(spark, sf_dir):
     return quality.scorecard(quality.score_pairs(pairs(spark, sf_dir), ["rouge_1", "rouge_2"], stem=False))
 
 
-@query("rouge_stemmed")
-def rouge_stemmed(spark, sf_dir):
-    return quality.scorecard(quality.score_pairs(pairs(spark, sf_dir), ["rouge"], stem=True))
-
-
 _ROUGE_L = {"rouge_l": S.LCS_F, "rouge_l_precision": S.LCS_P, "rouge_l_recall": S.LCS_R}
 
 
@@ -116,6 +111,28 @@ _ROUGE_GRAMS = (
 )
 
 
+_STEMMED = S.PRED.replace("pairs AS (", "raw_pairs AS (") + stems.stemmed(S.alnum_tokens, "raw_pairs")
+
+
+@query(
+    "rouge_stemmed",
+    f"""WITH {_STEMMED}{_ROUGE_GRAMS}{S.LCS},
+    rouge_part AS ({S.per_model(_ROUGE_N, 'r_matched')}), lcs_part AS ({S.per_model(_ROUGE_L, 'lcs')})
+    SELECT rouge_part.*, rouge_l, rouge_l_precision, rouge_l_recall FROM rouge_part JOIN lcs_part USING (model)""",
+)
+def rouge_stemmed(spark, sf_dir):
+    return quality.scorecard(quality.score_pairs(pairs(spark, sf_dir), ["rouge"], stem=True))
+
+
+@query(
+    "word_stems",
+    f"WITH {_STEMMED} SELECT word, w AS stem FROM stems",
+)
+def word_stems(spark, sf_dir):
+    """The stem of every distinct ROUGE word of predictions and references."""
+    return quality.word_stems(pairs(spark, sf_dir), ("prediction", "reference"))
+
+
 @query(
     "quality_scorecard",
     f"""WITH {_WS4}{_ROUGE_GRAMS}{S.LCS},
