@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gradeloom.functions.text import has_text
-from gradeloom.operators.percentiles import with_percentiles
+from gradeloom.operators.percentiles import value_slot
+from gradeloom.operators.prefix import running
+from gradeloom.session import join_groups
 
 LENGTHS = ("instruction_len", "context_len", "response_len")
 
@@ -56,27 +58,61 @@ def _long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(F.explode(pairs).alias("m")).select("m.metric", "m.value")
 
 
+def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``metric, value, n``: how often a column holds a value. All summaries below follow from it.
+
+    Rows are measured once; the map side merges equal values, so lengths shrink to a row
+    per length before they are shuffled.
+    """
+    return _long(df, columns).groupBy("metric", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _quantile(p: float) -> Column:
+    """Interpolated between the values at the ranks around ``p``, over rows with ``_before`` and ``_upto``."""
+    at = F.col("_rows") * p - p
+    value = lambda rank: F.max(F.when((F.col("_before") <= rank) & (rank < F.col("_upto")), F.col("value")))
+    low, high = value(F.floor(at)), value(F.ceil(at))
+    return F.when(low == high, low).otherwise(low + (high - low) * F.max(at - F.floor(at)))
+
+
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """count, mean, sample standard deviation, min, quartiles and max, one row per column."""
-    long = _long(df, columns)
-    summary = long.groupBy("metric").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
+    """count, mean, sample standard deviation, min, quartiles and max, one row per column.
+
+    All from one table of value counts, which is shuffled once; running counts are taken in
+    chunks of near values, so no task holds all values of a column.
+    """
+    counts = value_counts(df, columns)
+    rows = F.sum(F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0))
+    totals = counts.groupBy("metric").agg(
+        rows.alias("_rows"),
+        (F.sum(F.col("value") * F.col("n")) / F.when(rows > 0, rows)).alias("mean"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
-    return with_percentiles(summary, long, ["metric"], "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75})
+    # a filter of nulls would be pushed below the counts, which could then not be shared
+    known = F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)
+    slotted = counts.withColumns({"_slot": value_slot(F.col("value")), "n": known})
+    ranked = running(slotted, ["metric"], "_slot", ["value"], "n", "sum", "_upto")
+    ranked = ranked.withColumn("_before", F.col("_upto") - F.col("n"))
+    squares = F.sum((F.col("value") - F.col("mean")) * (F.col("value") - F.col("mean")) * F.col("n"))
+    return join_groups(totals, ranked.select("metric", "value", "n", "_before", "_upto"), ["metric"], "left").groupBy(
+        "metric", F.col("_rows").alias("count"), "mean", "min", "max"
+    ).agg(
+        F.when(F.max("_rows") > 1, F.sqrt(squares / (F.max("_rows") - 1))).alias("std"),
+        *[_quantile(p).alias(name) for name, p in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))],
+    ).select("metric", "count", "mean", "std", "min", "max", "p25", "p50", "p75")
 
 
 def histogram(df: DataFrame, columns: Sequence[str], bins: int = 50) -> DataFrame:
     """Equal-width bins between min and max; the last bin includes the maximum.
 
-    One pass finds the range, one counts the bins; only bin counts are shuffled.
-    The range table has one row per requested column.
+    Range and bins both follow from the value counts. The range table has one row per
+    requested column.
     """
-    long = _long(df, columns).where("value IS NOT NULL")
-    spans = long.groupBy("metric").agg(F.min("value").alias("low"), F.max("value").alias("high"))
+    counts = value_counts(df, columns).where("value IS NOT NULL")
+    # over the counts as they are: without ``n`` the planner would drop them and read the rows again
+    held = F.when(F.col("n") > 0, F.col("value"))
+    spans = counts.groupBy("metric").agg(F.min(held).alias("low"), F.max(held).alias("high"))
     # a column with a single value spans one unit around it, as plotting libraries do
     flat = F.col("high") == F.col("low")
     spans = spans.select(
@@ -86,9 +122,9 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 50) -> DataFram
     )
     place = F.least(F.floor((F.col("value") - F.col("low")) / F.col("span") * bins), F.lit(bins - 1))
     return (
-        long.join(F.broadcast(spans), "metric")
+        counts.join(F.broadcast(spans), "metric")
         .groupBy("metric", place.cast("long").alias("bin"), "low", "span")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum("n").alias("n"))
         .select(
             "metric", "bin",
             (F.col("low") + F.col("bin") * F.col("span") / bins).alias("bin_start"),

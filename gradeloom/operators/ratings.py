@@ -49,6 +49,21 @@ def human_scores(ratings: DataFrame, zero_is_missing: bool = True) -> DataFrame:
     return means.withColumn("average", F.when(F.size(present) > 0, total / F.size(present)))
 
 
+def score_levels(ratings: DataFrame, zero_is_missing: bool = True) -> DataFrame:
+    """Means per system and criterion, per system, per criterion and over all, from one pass.
+
+    ``level`` tells them apart; a column that a level sums over is null, and so is a mean
+    of nothing but unrated entries.
+    """
+    score = F.when(F.col("score") > 0, F.col("score")) if zero_is_missing else F.col("score")
+    sets = [["system", "criterion"], ["system"], ["criterion"], []]
+    # the two bits of the grouping id: 2 without system, 1 without criterion
+    names = F.element_at(F.array(*[F.lit(n) for n in ("both", "system", "criterion", "all")]), (F.grouping_id() + 1).cast("int"))
+    return ratings.groupingSets([[F.col(c) for c in s] for s in sets], "system", "criterion").agg(
+        names.alias("level"), F.avg(score).alias("mean"), F.count(score).alias("rated"), F.count(F.lit(1)).alias("entries")
+    )
+
+
 def prompt_scores(ratings: DataFrame, systems: tuple[str, ...]) -> DataFrame:
     """Mean rating per sample, zeros counted, one column per system."""
     return ratings.groupBy("sample_id").agg(

@@ -17,6 +17,39 @@ P90_Z = 1.28
 BY = ("framework",)
 
 
+#: Types from the narrowest to the one that takes all others.
+WIDENING = ("boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "string")
+
+
+def agreed_type(types: Sequence[str]) -> str:
+    """The type that several logs' columns of one name are read as.
+
+    Equal types stay; numbers take the widest; whatever else differs becomes text.
+    """
+    found = set(types) - {"void"}
+    if len(found) < 2:
+        return next(iter(found), "string")
+    if any(t not in WIDENING for t in found) or "boolean" in found:
+        return "string"
+    return "double" if "float" in found and found & {"int", "bigint"} else max(found, key=WIDENING.index)
+
+
+def append_logs(*logs: DataFrame) -> DataFrame:
+    """Logs of different versions one after the other: missing columns are null, types are agreed on by name."""
+    if not logs:
+        raise ValueError("no logs are given")
+    types: dict[str, list[str]] = {}
+    for log in logs:
+        for name, kind in log.dtypes:
+            types.setdefault(name, []).append(kind)
+    wide = {name: agreed_type(kinds) for name, kinds in types.items()}
+    made = [log.select(*[F.col(f"`{c}`").cast(wide[c]).alias(c) for c in log.columns]) for log in logs]
+    out = made[0]
+    for log in made[1:]:
+        out = out.unionByName(log, allowMissingColumns=True)
+    return out.select(*[F.col(f"`{c}`").cast(t).alias(c) for c, t in wide.items()])
+
+
 def throughput() -> Column:
     """Tokens per second of one request, 0 when it took no time."""
     return F.when(F.col("latency_s") > 0, F.col("tokens_generated") / F.col("latency_s")).otherwise(0.0)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gradeloom.operators.prefix import rank_within
+from gradeloom.operators.prefix import running
+from gradeloom.session import join_groups
 
 # Early-stopping patience; run-id pattern; steps per running chunk.
 PATIENCE = 3
@@ -105,6 +106,28 @@ def early_stop(log: DataFrame, patience: int = PATIENCE) -> DataFrame:
     )
 
 
-def number_steps(log: DataFrame, run: str, ts: str, tie: str) -> DataFrame:
-    """Dense step numbers per run from event times, in chunks of one hour."""
-    return rank_within(log, [run], F.date_trunc("hour", F.col(ts)), [ts, tie], "step")
+def step_chunks(log: DataFrame, run: str, ts: str, tie: str, most: int = CHUNK_STEPS) -> DataFrame:
+    """``log`` with ``_chunk``, which follows (``ts``, ``tie``) within a run and has at most ``most`` rows.
+
+    A chunk is an hour; an hour with more rows falls into seconds, a second with more into
+    single times and blocks of the (unique, whole) ``tie``. Only the crowded hours and
+    seconds are told to the rows, and these are fewer than the rows divided by ``most``.
+    """
+    timed = log.withColumns({"_hour": F.date_trunc("hour", F.col(ts)), "_second": F.date_trunc("second", F.col(ts))})
+    seconds = timed.groupBy(run, "_hour", "_second").agg(F.count(F.lit(1)).alias("_n"))
+    full_hours = seconds.groupBy(run, "_hour").agg(F.sum("_n").alias("_in_hour")).where(F.col("_in_hour") > most)
+    full_seconds = seconds.where(F.col("_n") > most).select(run, "_second", F.col("_n").alias("_in_second"))
+    marked = join_groups(join_groups(timed, full_hours, [run, "_hour"], "left"), full_seconds, [run, "_second"], "left")
+    none = F.lit(None)
+    chunk = F.struct(
+        F.col("_hour").alias("hour"),
+        F.when(F.col("_in_hour").isNotNull(), F.col("_second")).otherwise(none).alias("second"),
+        F.when(F.col("_in_second").isNotNull(), F.col(ts)).otherwise(none).alias("time"),
+        F.when(F.col("_in_second").isNotNull(), F.floor(F.col(tie) / most)).otherwise(none).alias("block"),
+    )
+    return marked.withColumn("_chunk", chunk).drop("_hour", "_second", "_in_hour", "_in_second")
+
+
+def number_steps(log: DataFrame, run: str, ts: str, tie: str, most: int = CHUNK_STEPS) -> DataFrame:
+    """Dense step numbers per run from event times, whatever share of a run's events falls into one hour."""
+    return running(step_chunks(log, run, ts, tie, most), [run], "_chunk", [ts, tie], tie, "count", "step").drop("_chunk")

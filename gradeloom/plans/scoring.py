@@ -294,6 +294,18 @@ def human_scores(spark, sf_dir):
     return ratings.human_scores(tables.ratings(spark, sf_dir))
 
 
+@query(
+    "human_levels",
+    f"""WITH {S.RATINGS}, rated AS (SELECT system, criterion, nullif(score, 0) AS score FROM rating)
+    SELECT 'both' AS level, system, criterion, round(avg(score), 6) AS mean, count(score) AS rated, count(*) AS entries FROM rated GROUP BY system, criterion
+    UNION ALL SELECT 'system', system, NULL, round(avg(score), 6), count(score), count(*) FROM rated GROUP BY system
+    UNION ALL SELECT 'criterion', NULL, criterion, round(avg(score), 6), count(score), count(*) FROM rated GROUP BY criterion
+    UNION ALL SELECT 'all', NULL, NULL, round(avg(score), 6), count(score), count(*) FROM rated""",
+)
+def human_levels(spark, sf_dir):
+    return ratings.score_levels(tables.ratings(spark, sf_dir))
+
+
 @query("human_scores_raw", _human(""))
 def human_scores_raw(spark, sf_dir):
     return ratings.human_scores(tables.ratings(spark, sf_dir), zero_is_missing=False)

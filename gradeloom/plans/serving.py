@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gradeloom.operators import compare, generate, profile, requests, runs
+from gradeloom.operators import compare, generate, profile, requests, rollups, runs
 from gradeloom.plans import sql as S
 from gradeloom.plans import tables
 from gradeloom.plans.registry import query
 from gradeloom.session import shared_folder
-from gradeloom.sources import readers, writers
+from gradeloom.sources import readers, versions, writers
 from gradeloom.streaming import jobs
 
 _SUMMARY = """SELECT framework, round(avg(latency_s), 6) AS avg_latency_s, round(min(latency_s), 6) AS min_latency_s,
@@ -34,6 +34,75 @@ def bench_no_warmup(spark, sf_dir):
     return requests.benchmark_summary(requests.drop_warmup(tables.requests(spark, sf_dir)))
 
 
+_RANGE = ("2024-01-05", "2024-01-20")
+
+
+@query(
+    "bench_rollup",
+    f"""WITH {S.REQUESTS} SELECT framework, count(*) AS num_requests, round(avg(latency_s), 6) AS avg_latency_s,
+    round(min(latency_s), 6) AS min_latency_s, round(max(latency_s), 6) AS max_latency_s, round(avg(rate), 6) AS avg_throughput,
+    sum(tokens_generated)::BIGINT AS total_tokens, coalesce(max(memory_used_gb), 0)::DOUBLE AS peak_memory_gb,
+    round(coalesce(avg(memory_used_gb), 0), 6) AS avg_memory_gb, true AS p50_within, true AS p90_within, true AS p99_within
+    FROM timed WHERE ts >= '{_RANGE[0]}' AND ts < '{_RANGE[1]}' GROUP BY framework""",
+)
+def bench_rollup(spark, sf_dir):
+    """A range of days from stored hours; late requests were merged in; quantiles within the stated rank error."""
+    root, log = shared_folder(spark, "rollup"), tables.requests(spark, sf_dir)
+    late = F.pmod("request_id", F.lit(7)) == 0
+    rollups.add_requests(log.where(~late), root)
+    rollups.add_requests(log.where(late), root)
+    found = rollups.summary(versions.read_version(spark, root), begin=_RANGE[0], end=_RANGE[1])
+    errors = rollups.rank_errors(found, log.where((F.col("ts") >= _RANGE[0]) & (F.col("ts") < _RANGE[1])))
+    within = [(F.col(f"{p}_rank_error") <= rollups.RANK_ERROR).alias(f"{p}_within") for p in ("p50", "p90", "p99")]
+    return found.join(errors, "framework").select(*[c for c in found.columns if c not in rollups.QUANTILES], *within)
+
+
+@query(
+    "bench_appended",
+    f"""WITH {S.REQUESTS}, runs AS (SELECT *, CASE framework WHEN 'click' THEN 'fast' WHEN 'view' THEN 'wide' END AS config,
+      CASE WHEN framework <> 'error' THEN request_id % 3 END AS trial,
+      CASE WHEN framework = 'view' THEN NULL ELSE memory_used_gb END AS seen_gb FROM timed WHERE framework IN ('click', 'view', 'error'))
+    SELECT framework, config, trial, round(avg(latency_s), 6) AS avg_latency_s, round(coalesce(stddev_samp(latency_s), 0), 6) AS std_latency_s,
+    round(avg(tokens_generated), 6) AS avg_tokens_generated, round(avg(rate), 6) AS avg_throughput,
+    round(coalesce(stddev_samp(rate), 0), 6) AS std_throughput, coalesce(max(seen_gb), 0)::DOUBLE AS peak_memory_gb
+    FROM runs GROUP BY framework, config, trial""",
+)
+def bench_appended(spark, sf_dir):
+    """Logs of three engine versions with different columns and types, summarised by framework, configuration and trial."""
+    log = tables.requests(spark, sf_dir)
+    trial = F.pmod("request_id", F.lit(3))
+    click = log.where("framework = 'click'").withColumns({"config": F.lit("fast"), "trial": trial.cast("int")})
+    view = log.where("framework = 'view'").drop("memory_used_gb")
+    view = view.withColumns({"config": F.lit("wide"), "trial": trial, "tokens_generated": F.col("tokens_generated").cast("double")})
+    error = log.where("framework = 'error'")
+    return requests.mean_std_summary(requests.append_logs(error, click, view), ("framework", "config", "trial"))
+
+
+@query(
+    "result_errors",
+    f"""WITH {S.REQUESTS}, said AS (SELECT framework, latency_s,
+      CASE request_id % 10 WHEN 3 THEN 'malformed' WHEN 7 THEN 'wrong type' END AS reason FROM req)
+    SELECT framework, coalesce(reason, 'read') AS outcome, count(*) AS n,
+    round(sum(CASE WHEN reason IS NULL THEN latency_s END), 3) AS latency_s FROM said GROUP BY ALL""",
+)
+def result_errors(spark, sf_dir):
+    """Result lines of which some are cut off and some hold text for a number: what was read, and what was set aside."""
+    path = shared_folder(spark, "foreign-results")
+    log = tables.requests(spark, sf_dir)
+    line = F.to_json(F.struct("framework", "request_id", "latency_s"))
+    wrong = F.to_json(F.struct("framework", F.lit("seven").alias("request_id"), "latency_s"))
+    kind = F.pmod("request_id", F.lit(10))
+    lines = F.when(kind == 3, F.substring(line, 1, 35)).when(kind == 7, wrong).otherwise(line)
+    log.select("framework", lines.alias("value")).write.partitionBy("framework").text(path)
+    good, bad = readers.read_with_errors(
+        spark, f"{path}/*", "framework STRING, request_id BIGINT, latency_s DOUBLE", quarantine=shared_folder(spark, "quarantine")
+    )
+    of_file = F.regexp_extract("_file", "framework=([^/]+)/", 1)
+    read = good.select("framework", F.lit("read").alias("outcome"), "latency_s")
+    aside = bad.select(of_file.alias("framework"), F.col("reason").alias("outcome"), F.lit(None).cast("double").alias("latency_s"))
+    return read.union(aside).groupBy("framework", "outcome").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("latency_s"), 3).alias("latency_s"))
+
+
 @query(
     "bench_engine_summary",
     f"""WITH {S.REQUESTS} SELECT framework, count(*) AS num_requests, round(avg(latency_s), 6) AS avg_latency_s,

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gradeloom import schemas
+from gradeloom.session import written
 
 # Result file names are <key>_benchmark.json and <key>_eval.json.
 RESULT_NAME = r"([^/]+)_(benchmark|eval)\.json"
@@ -38,8 +39,8 @@ def read_instructions(spark: SparkSession, path: str, fmt: str = "parquet") -> D
     return reader.format(fmt).load(path)
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``value`` and ``position`` of every line that is not blank, over all files in the order of their paths.
+def read_lines(spark: SparkSession, path: str, with_file: bool = False) -> DataFrame:
+    """``value`` and ``position`` (``with_file``: and ``file``) of every line that is not blank, over all files in the order of their paths.
 
     A position counts the lines before, blank ones too, and is the same however the files are
     split for reading: lines are numbered within their split as they are read, and the
@@ -56,7 +57,8 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     offset = F.coalesce(F.sum("lines").over(before), F.lit(0)) - F.col("first")
     begins = pieces.select("file", "start", offset.alias("offset"))
     numbered = lines.where("trim(value) <> ''").join(begins, ["file", "start"])
-    return numbered.select("value", (F.col("n") + F.col("offset")).alias("position"))
+    kept = ("value", "file") if with_file else ("value",)
+    return numbered.select(*kept, (F.col("n") + F.col("offset")).alias("position"))
 
 
 def read_eval_set(spark: SparkSession, path: str, with_position: bool = False) -> DataFrame:
@@ -97,6 +99,42 @@ def read_annotations(spark: SparkSession, path: str, systems: Sequence[str] = ()
     return df if systems else df.fillna("", ["notes"])
 
 
+def read_with_errors(spark: SparkSession, path: str, schema: str, fmt: str = "lines", quarantine: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Records of JSON files that others write, and what could not be read as one.
+
+    ``fmt`` is ``lines`` (a record per line) or ``array`` (files that hold an array of records,
+    or one record). The first result has the columns of ``schema`` and those of where a record
+    stood: ``_file``, ``_place``. The second has these with ``raw`` and ``reason``: ``malformed``,
+    or ``wrong type`` where a value does not fit its column. Both come from one reading, which
+    is written; ``quarantine`` is a folder that receives the second one as JSON lines.
+    """
+    if fmt not in ("lines", "array"):
+        raise ValueError(f"fmt is lines or array, not {fmt!r}")
+    at = F.col("_metadata.file_path").alias("_file")
+    if fmt == "lines":
+        raws = read_lines(spark, path, with_file=True).select(F.col("file").alias("_file"), F.col("position").alias("_place"), F.col("value").alias("raw"))
+    else:
+        whole = spark.read.text(path, wholetext=True).select(at, "value")
+        single = F.col("value").rlike(r"\A\s*\{")
+        items = F.when(single, F.array("value")).otherwise(F.from_json("value", "ARRAY<STRING>"))
+        # a file that holds neither is one broken entry
+        items = F.when(items.isNull(), F.array("value")).otherwise(items)
+        raws = whole.select("_file", F.posexplode(items).alias("_place", "raw")).withColumn("_place", F.col("_place").cast("long"))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    parsed = raws.withColumn("_record", F.from_json("raw", f"{schema}, _corrupt STRING", options))
+    parsed = parsed.withColumn(
+        "reason",
+        F.when(F.get_json_object("raw", "$").isNull() | ~F.col("raw").rlike(r"\A\s*\{"), "malformed")
+        .when(F.col("_record").isNull() | F.col("_record._corrupt").isNotNull(), "wrong type"),
+    )
+    parsed = written(parsed, "parsed")
+    good = parsed.where("reason IS NULL").select("_record.*", "_file", "_place").drop("_corrupt")
+    bad = parsed.where("reason IS NOT NULL").select("_file", "_place", "raw", "reason")
+    if quarantine is not None:
+        bad.write.mode("append").json(quarantine)
+    return good, bad
+
+
 def collect_results(spark: SparkSession, folder: str, kind: str, fmt: str = "array") -> DataFrame:
     """All result files of one kind below a folder, keyed by name.
 
