@@ -20,10 +20,12 @@ def split_sizes(
     validation: int = VALIDATION,
     test: int = TEST,
     max_samples: int | None = None,
+    shares: bool = False,
 ) -> tuple[int, int, int]:
     """Quotas after optional down-sampling and shrinking to the rows at hand.
 
-    Train and validation scale down with truncation; test takes the remainder.
+    Train and validation scale down with truncation; test takes the remainder. With
+    ``shares`` the numbers are proportions, and larger tables are split whole as well.
     """
 
     def scaled(total: int, a: int, b: int, c: int) -> tuple[int, int, int]:
@@ -34,7 +36,7 @@ def split_sizes(
     sizes = (train, validation, test)
     if max_samples is not None:
         sizes = scaled(max_samples, *sizes)
-    if rows < sum(sizes):
+    if rows < sum(sizes) or (shares and max_samples is None):
         sizes = scaled(rows, *sizes)
     return sizes
 
@@ -56,12 +58,15 @@ def create_splits(
     validation: int = VALIDATION,
     test: int = TEST,
     max_samples: int | None = None,
+    shares: bool = False,
 ) -> DataFrame:
     """Rows of the three splits with a ``split`` column; surplus rows drop out by quota.
 
+    With ``shares`` the quotas are proportions and no row drops out.
+
     The only action is the row count that the quota rule needs.
     """
-    n_train, n_val, n_test = split_sizes(df.count(), train, validation, test, max_samples)
+    n_train, n_val, n_test = split_sizes(df.count(), train, validation, test, max_samples, shares)
     rank = F.col("rank")
     return (
         global_rank(df, seed, upto=n_train + n_val + n_test)

@@ -224,12 +224,12 @@ def prompt_trials(spark, sf_dir):
 
 
 def _formatted_splits(spark, sf_dir):
-    return templates.apply_template(splits.create_splits(tables.instructions(spark, sf_dir)), "chat")
+    return templates.apply_template(splits.create_splits(tables.instructions(spark, sf_dir), shares=True), "chat")
 
 
 @query(
     "dataset_stats",
-    f"""WITH {S.DEFAULT_SPLITS}, texts AS (SELECT split, category, {S.CHAT_TEXT} AS text FROM chosen)
+    f"""WITH {S.WHOLE_SPLITS}, texts AS (SELECT split, category, {S.CHAT_TEXT} AS text FROM chosen)
     SELECT split, count(*) AS num_samples, count(DISTINCT category) AS num_categories,
     round(avg(length(text)), 6) AS avg_text_length, max(length(text)) AS max_text_length,
     min(length(text)) AS min_text_length FROM texts GROUP BY split""",
@@ -240,10 +240,21 @@ def dataset_stats(spark, sf_dir):
 
 @query(
     "category_counts",
-    f"WITH {S.DEFAULT_SPLITS} SELECT split, category, count(*) AS n FROM chosen GROUP BY split, category",
+    f"WITH {S.WHOLE_SPLITS} SELECT split, category, count(*) AS n FROM chosen GROUP BY split, category",
 )
 def category_counts(spark, sf_dir):
-    return profile.category_counts(splits.create_splits(tables.instructions(spark, sf_dir).select("id", "category")))
+    return profile.category_counts(splits.create_splits(tables.instructions(spark, sf_dir).select("id", "category"), shares=True))
+
+
+@query(
+    "category_maps",
+    f"""WITH {S.WHOLE_SPLITS}, counts AS (SELECT split, category, count(*) AS n FROM chosen GROUP BY split, category)
+    SELECT split, '{{' || string_agg('"' || category || '":' || n, ',' ORDER BY category) || '}}' AS categories FROM counts GROUP BY split""",
+)
+def category_maps(spark, sf_dir):
+    """The category counts of each split as one map, written as JSON."""
+    made = splits.create_splits(tables.instructions(spark, sf_dir).select("id", "category"), shares=True)
+    return profile.category_map(made).withColumn("categories", F.to_json("categories"))
 
 
 _LENGTHS = S.INSTRUCT + """,
@@ -329,10 +340,10 @@ def token_estimate(spark, sf_dir):
 
 @query(
     "steps_per_epoch",
-    f"WITH {S.DEFAULT_SPLITS} SELECT split, count(*) AS n, ceil(count(*) / 16.0)::BIGINT AS steps FROM chosen GROUP BY split",
+    f"WITH {S.WHOLE_SPLITS} SELECT split, count(*) AS n, ceil(count(*) / 16.0)::BIGINT AS steps FROM chosen GROUP BY split",
 )
 def steps_per_epoch(spark, sf_dir):
-    counts = splits.create_splits(tables.instructions(spark, sf_dir).select("id")).groupBy("split").agg(
+    counts = splits.create_splits(tables.instructions(spark, sf_dir).select("id"), shares=True).groupBy("split").agg(
         F.count(F.lit(1)).alias("n")
     )
     return counts.withColumn("steps", tokens.steps_per_epoch(F.col("n")))
@@ -419,7 +430,7 @@ def padding_waste(spark, sf_dir):
 # -- written tables ---------------------------------------------------------------------
 
 
-@query("saved_split", f"WITH {S.DEFAULT_SPLITS} SELECT id, category, {S.CHAT_TEXT} AS text FROM chosen WHERE split = 'train'")
+@query("saved_split", f"WITH {S.WHOLE_SPLITS} SELECT id, category, {S.CHAT_TEXT} AS text FROM chosen WHERE split = 'train'")
 def saved_split(spark, sf_dir):
     """The training split, read back from the saved split table."""
     root = shared_folder(spark, "splits")
@@ -429,13 +440,13 @@ def saved_split(spark, sf_dir):
 
 @query(
     "saved_eval_set",
-    f"""WITH {S.DEFAULT_SPLITS} SELECT id, {S.CHAT_PROMPT} AS prompt, response AS reference, instruction, context, category
+    f"""WITH {S.WHOLE_SPLITS} SELECT id, {S.CHAT_PROMPT} AS prompt, response AS reference, instruction, context, category
     FROM chosen WHERE split = 'test'""",
 )
 def saved_eval_set(spark, sf_dir):
     """The evaluation rows of the test split, read back from JSON lines."""
     path = shared_folder(spark, "eval-set")
-    test = splits.create_splits(tables.instructions(spark, sf_dir)).where("split = 'test'").drop("split")
+    test = splits.create_splits(tables.instructions(spark, sf_dir), shares=True).where("split = 'test'").drop("split")
     writers.save_eval_set(templates.evaluation_rows(test), path)
     return readers.read_eval_set(spark, path)
 
@@ -467,3 +478,18 @@ def eval_set_without_id(spark, sf_dir):
 def first_prompts(spark, sf_dir):
     """The first prompts of an evaluation set, in the order of its lines."""
     return readers.read_prompts(spark, _eval_files(spark, sf_dir), 25)
+
+
+@query("stored_instructions", f"WITH {S.INSTRUCT} SELECT id, instruction, context, length(response) AS response_len, category FROM instruct")
+def stored_instructions(spark, sf_dir):
+    """The instruction table written as JSON lines and read back by its schema."""
+    path = shared_folder(spark, "instructions")
+    writers.save_records(tables.instructions(spark, sf_dir), path)
+    found = readers.read_instructions(spark, path, "json")
+    return found.select("id", "instruction", "context", F.length("response").alias("response_len"), "category")
+
+
+@query("category_slugs", f"WITH {S.INSTRUCT} SELECT DISTINCT category, 'brief_answer_in_' || category AS slug FROM instruct")
+def category_slugs(spark, sf_dir):
+    categories = tables.instructions(spark, sf_dir).select("category").distinct()
+    return categories.withColumn("slug", text.slug(F.concat(F.lit("Brief Answer in "), F.upper("category"))))

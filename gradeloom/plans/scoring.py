@@ -275,6 +275,51 @@ def rescored_samples(spark, sf_dir):
     return quality.scorecard(quality.score_pairs(stored, ["bleu_4"]))
 
 
+@query(
+    "scorable_models",
+    f"""WITH {_WS4} SELECT model AS name, count(*)::INT AS num_samples, round(avg({S.bleu(4)}), 6) AS bleu FROM matched
+    WHERE model = 'drop3' GROUP BY model""",
+)
+def scorable_models(spark, sf_dir):
+    """Evaluation results of the models whose samples are stored too."""
+    folder, found = shared_folder(spark, "evaluations"), pairs(spark, sf_dir)
+    card = quality.scorecard(quality.score_pairs(found, ["bleu_4"]))
+    for model in ("base", "drop3"):
+        writers.save_records(writers.evaluation_record(card.where(F.col("model") == model)), f"{folder}/{model}_eval.json", one_per_file=True)
+    for model in ("drop3", "half"):
+        writers.save_records(found.where(F.col("model") == model).drop("model"), f"{folder}/{model}_samples.json")
+    evals = readers.evaluation_rows(readers.collect_results(spark, folder, "eval"))
+    samples = readers.read_samples(spark, f"{folder}/*_samples.json", "lines")
+    return readers.scorable_models(evals, samples).select("name", "num_samples", "bleu")
+
+
+@query(
+    "stored_samples",
+    f"""WITH {S.PRED} SELECT 'half' AS source, id, instruction, context, response AS reference, prediction AS generated, category
+    FROM pred JOIN instruct USING (id) WHERE model = 'half'""",
+)
+def stored_samples(spark, sf_dir):
+    """Full sample records of a model, written and read back."""
+    instruct, folder = tables.instructions(spark, sf_dir), shared_folder(spark, "sample-records")
+    records = quality.attach_predictions(instruct, tables.predictions(instruct).where("model = 'half'")).drop("model")
+    writers.save_records(records, f"{folder}/half_samples.json")
+    return readers.read_samples(spark, f"{folder}/*_samples.json", "lines").drop("prompt")
+
+
+@query(
+    "sql_scores",
+    f"""WITH {_WS4}{S.LCS}, bleu_part AS ({S.per_model({'bleu': S.bleu(4)}, 'matched')}), lcs_part AS ({S.per_model({'rouge_l': S.LCS_F}, 'lcs')})
+    SELECT model, bleu, rouge_l FROM bleu_part JOIN lcs_part USING (model)""",
+)
+def sql_scores(spark, sf_dir):
+    """The scores by their functions in SQL text."""
+    quality.register_sql_functions(spark)
+    return spark.sql(
+        "SELECT model, avg(bleu(prediction, reference)) AS bleu, avg(rouge_l(prediction, reference)) AS rouge_l FROM {pairs} GROUP BY model",
+        pairs=pairs(spark, sf_dir),
+    )
+
+
 # -- ratings ----------------------------------------------------------------------------
 
 _SCORES = ", ".join(

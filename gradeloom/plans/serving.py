@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from gradeloom.functions import units
 from gradeloom.operators import compare, generate, profile, requests, rollups, runs
 from gradeloom.plans import sql as S
 from gradeloom.plans import tables
@@ -260,6 +261,43 @@ def collect_results(spark, sf_dir):
     return readers.benchmark_rows(collected).drop("num_prompts", "num_trials", "max_new_tokens")
 
 
+@query(
+    "bench_record",
+    f"""WITH {S.REQUESTS} SELECT framework, 'models/' || framework AS model_path, round(avg(latency_s), 6) AS avg_latency_seconds,
+    round(min(latency_s), 6) AS min_latency_seconds, round(max(latency_s), 6) AS max_latency_seconds,
+    round(quantile_cont(latency_s, 0.5), 6) AS p50_latency_seconds, round(quantile_cont(latency_s, 0.9), 6) AS p90_latency_seconds,
+    round(quantile_cont(latency_s, 0.99), 6) AS p99_latency_seconds, round(avg(rate), 6) AS avg_throughput_tokens_per_sec,
+    sum(tokens_generated)::BIGINT AS total_tokens_generated, coalesce(max(memory_used_gb), 0)::DOUBLE AS peak_memory_gb,
+    round(coalesce(avg(memory_used_gb), 0), 6) AS avg_memory_gb, count(*) AS num_prompts, 3 AS num_warmup_runs, 256 AS max_new_tokens,
+    0.7::DOUBLE AS temperature, round(sum(latency_s), 6) AS total_benchmark_time_seconds, strftime(max(ts), '%Y-%m-%dT%H:%M:%S') AS timestamp
+    FROM timed GROUP BY framework""",
+)
+def bench_record(spark, sf_dir):
+    """The full record of every framework's benchmark, written as JSON and read back."""
+    path, log = shared_folder(spark, "bench-records"), tables.requests(spark, sf_dir)
+    ends = log.groupBy("framework").agg(
+        F.sum("latency_s").alias("total_time_s"), F.date_format(F.max("ts"), "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp")
+    )
+    summary = requests.benchmark_summary(log).join(ends, "framework").withColumn("model_path", F.concat(F.lit("models/"), "framework"))
+    writers.save_records(writers.full_benchmark_record(summary, num_warmup_runs=3, max_new_tokens=256, temperature=0.7), path)
+    return readers.read_benchmark_records(spark, path)
+
+
+@query(
+    "memory_gib",
+    """SELECT event_id AS request_id, round((value * 1000000)::BIGINT / 1073741824.0::DOUBLE, 6) AS from_bytes,
+    round((user_id * 100) / 1024.0::DOUBLE, 6) AS from_mib FROM events""",
+)
+def memory_gib(spark, sf_dir):
+    """Memory readings in bytes, as one client logs them, and in MiB, as another does."""
+    events = tables.table(spark, sf_dir, "events")
+    return events.select(
+        F.col("event_id").alias("request_id"),
+        units.gib(F.round(F.col("value") * 1_000_000).cast("long"), "bytes").alias("from_bytes"),
+        units.gib(F.col("user_id") * 100, "mib").alias("from_mib"),
+    )
+
+
 @query(
     "framework_status",
     f"""WITH {S.REQUESTS} SELECT framework, CASE WHEN count(*) FILTER (WHERE latency_s >= 400) = 0 THEN 'ok' ELSE 'error' END AS status,
@@ -366,3 +404,50 @@ def training_figures(spark, sf_dir):
 )
 def early_stop(spark, sf_dir):
     return runs.early_stop(tables.eval_log(spark, sf_dir))
+
+
+@query(
+    "run_times",
+    f"""WITH {S.RUNS} SELECT framework, tie_break, strftime(strptime(run_id, '%Y%m%d_%H%M%S'), '%Y-%m-%d %H:%M:%S') AS begun FROM runs""",
+)
+def run_times(spark, sf_dir):
+    """When each run began, by its id."""
+    begun = F.date_format(runs.run_time(F.col("run_id")), "yyyy-MM-dd HH:mm:ss")
+    return tables.runs(spark, sf_dir).select("framework", "tie_break", begun.alias("begun"))
+
+
+@query(
+    "training_log",
+    """SELECT event_type AS framework, count(*) AS runs, round(sum(value * 60), 3) AS training_time_seconds FROM events GROUP BY event_type""",
+)
+def training_log(spark, sf_dir):
+    """Training statistics appended in two writes and read back, by the folders of their frameworks."""
+    path, stats = shared_folder(spark, "training-log"), tables.training_stats(spark, sf_dir)
+    for part in range(2):
+        writers.append_training_stats(stats.where(F.col("run_no") % 2 == part), path)
+    stored = spark.read.schema("framework STRING, run_no BIGINT, training_time_seconds DOUBLE").json(path)
+    return stored.groupBy("framework").agg(
+        F.count(F.lit(1)).alias("runs"), F.round(F.sum("training_time_seconds"), 3).alias("training_time_seconds")
+    )
+
+
+@query(
+    "labelled_summary",
+    f"""WITH {S.REQUESTS} SELECT framework, CASE framework WHEN 'click' THEN 'Click (local)' WHEN 'view' THEN 'View (batched)' ELSE framework END AS label,
+    count(*) AS num_requests FROM req GROUP BY framework""",
+)
+def labelled_summary(spark, sf_dir):
+    counts = tables.requests(spark, sf_dir).groupBy("framework").agg(F.count(F.lit(1)).alias("num_requests"))
+    return compare.with_labels(counts, {"click": "Click (local)", "view": "View (batched)"})
+
+
+@query(
+    "comparison_csv",
+    f"""WITH {S.REQUESTS} SELECT framework, round(avg(latency_s), 6) AS avg_latency_s, round(avg(rate), 6) AS avg_throughput FROM timed GROUP BY framework""",
+)
+def comparison_csv(spark, sf_dir):
+    """A comparison table saved as CSV and read back."""
+    path = shared_folder(spark, "comparison")
+    means = requests.mean_std_summary(tables.requests(spark, sf_dir)).select("framework", "avg_latency_s", "avg_throughput")
+    writers.save_comparison(means, path)
+    return spark.read.schema("framework STRING, avg_latency_s DOUBLE, avg_throughput DOUBLE").option("header", True).csv(path)

@@ -103,6 +103,11 @@ DEFAULT_SPLITS = splits(
     "CASE WHEN n < 15000 THEN floor(2000 * (n / 15000.0::DOUBLE))::BIGINT ELSE 2000 END",
 ) + ",\nchosen AS (SELECT * FROM splits WHERE rank <= 15000)"
 
+# The same proportions over any number of rows.
+WHOLE_SPLITS = splits(
+    "floor(12000 * (n / 15000.0::DOUBLE))::BIGINT", "floor(2000 * (n / 15000.0::DOUBLE))::BIGINT"
+) + ",\nchosen AS (SELECT * FROM splits)"
+
 
 def whitespace_tokens(text: str) -> str:
     return f"list_filter(regexp_split_to_array(lower({text}), '{WHITESPACE_RUN}'), lambda x: x <> '')"

@@ -12,7 +12,11 @@ TOKENS = (
     "id BIGINT, input_ids ARRAY<INT>, attention_mask ARRAY<INT>, labels ARRAY<INT>"
 )
 PREDICTION = ("model STRING, id BIGINT, prediction STRING")
-SAMPLES = ("prompt STRING, reference STRING, generated STRING")
+# Stored samples are of either layout: with a prompt, or with the parts of one.
+SAMPLES = (
+    "id BIGINT, prompt STRING, instruction STRING, context STRING, reference STRING, generated STRING, "
+    "prediction STRING, category STRING"
+)
 
 # The base model's file names its model in `model`, the others in `model_name`.
 EVAL_FILE = (
@@ -29,6 +33,14 @@ BENCH_FILE = (
     "avg_throughput_tokens_per_s: DOUBLE, std_throughput: DOUBLE, peak_memory_gb: DOUBLE, "
     "load_time_s: DOUBLE>"
 )
+# The record of a single benchmark, all figures beside each other.
+BENCH_RECORD = (
+    "framework STRING, model_path STRING, avg_latency_seconds DOUBLE, min_latency_seconds DOUBLE, "
+    "max_latency_seconds DOUBLE, p50_latency_seconds DOUBLE, p90_latency_seconds DOUBLE, p99_latency_seconds DOUBLE, "
+    "avg_throughput_tokens_per_sec DOUBLE, total_tokens_generated BIGINT, peak_memory_gb DOUBLE, avg_memory_gb DOUBLE, "
+    "num_prompts BIGINT, num_warmup_runs INT, max_new_tokens INT, temperature DOUBLE, "
+    "total_benchmark_time_seconds DOUBLE, timestamp STRING"
+)
 REQUEST = (
     "framework STRING, request_id BIGINT, ts TIMESTAMP, latency_s DOUBLE, "
     "tokens_generated INT, memory_used_gb DOUBLE"

@@ -73,13 +73,20 @@ def read_eval_set(spark: SparkSession, path: str, with_position: bool = False) -
     return rows if with_position else rows.drop("position")
 
 
-def read_samples(spark: SparkSession, path: str) -> DataFrame:
-    """Stored samples as a JSON array; ``source`` is the file's name before ``_samples``."""
-    source = F.regexp_extract(F.col("_metadata.file_name"), r"(.+)_samples\.json", 1)
-    return (
-        _json(spark, schemas.SAMPLES, "array").json(path)
-        .select("*", source.alias("source"))
-    )
+def read_samples(spark: SparkSession, path: str, fmt: str = "array") -> DataFrame:
+    """Stored samples, in ``<source>_samples.json`` files or folders of files.
+
+    Of both layouts: an answer is called ``generated`` or ``prediction``; the result has it
+    as ``generated``. Columns that a file lacks are null.
+    """
+    source = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)_samples\.json", 1)
+    rows = _json(spark, schemas.SAMPLES, fmt).json(path).select("*", source.alias("source"))
+    return rows.withColumn("generated", F.coalesce("generated", "prediction")).drop("prediction")
+
+
+def read_benchmark_records(spark: SparkSession, path: str, fmt: str = "lines") -> DataFrame:
+    """Full benchmark records, one per line or per file."""
+    return _json(spark, schemas.BENCH_RECORD, fmt).json(path)
 
 
 def _json(spark: SparkSession, schema: str, fmt: str) -> DataFrameReader:

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from gradeloom import schemas
 from gradeloom.functions.text import preview
 from gradeloom.operators.ratings import annotation_sheet
 from gradeloom.operators.splits import head
@@ -55,6 +57,33 @@ def benchmark_record(summary: DataFrame) -> DataFrame:
     )
 
 
+# Figures of a summary under the names of the full record.
+RECORDED = {
+    "avg_latency_s": "avg_latency_seconds", "min_latency_s": "min_latency_seconds", "max_latency_s": "max_latency_seconds",
+    "p50_latency_s": "p50_latency_seconds", "p90_latency_s": "p90_latency_seconds", "p99_latency_s": "p99_latency_seconds",
+    "avg_throughput": "avg_throughput_tokens_per_sec", "total_tokens": "total_tokens_generated", "num_requests": "num_prompts",
+    "total_time_s": "total_benchmark_time_seconds",
+}
+
+
+def full_benchmark_record(summary: DataFrame, **settings) -> DataFrame:
+    """A summary row as the record that holds every figure; ``settings`` are columns of one value.
+
+    Columns that neither gives are null. An unknown setting raises an error.
+    """
+    schema = T.StructType.fromDDL(schemas.BENCH_RECORD)
+    unknown = set(settings) - set(schema.names)
+    if unknown:
+        raise ValueError(f"unknown settings {sorted(unknown)}; known: {schema.names}")
+    named = summary.withColumnsRenamed({old: new for old, new in RECORDED.items() if old in summary.columns})
+
+    def column(field: T.StructField):
+        value = F.lit(settings[field.name]) if field.name in settings else F.col(field.name) if field.name in named.columns else F.lit(None)
+        return value.cast(field.dataType).alias(field.name)
+
+    return named.select(*[column(field) for field in schema.fields])
+
+
 def evaluation_record(card: DataFrame) -> DataFrame:
     """A scorecard row as the nested evaluation record; the headline BLEU is the one of four-grams."""
     metrics = [c for c in card.columns if c.startswith(("bleu", "rouge", "bertscore"))]
