@@ -8,9 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,21 +46,24 @@ def attach_predictions(samples: DataFrame, predictions: DataFrame) -> DataFrame:
     )
 
 
-def _precision(o: Column, n: int) -> Column:
-    grams = F.greatest(F.lit(1), o["pred_len"] - (n - 1))
-    return F.when(o[f"m{n}"] > 0, o[f"m{n}"] / grams).otherwise(F.lit(BLEU_EPSILON) / grams)
+def bleu_text(overlap: str, order: int) -> str:
+    """Sentence BLEU with uniform weights over orders 1..order, as SQL over an overlap struct.
 
-
-def bleu_column(o: Column, order: int) -> Column:
-    """Sentence BLEU with uniform weights over orders 1..order, from an overlap struct."""
-    brevity = F.when(o["pred_len"] > o["ref_len"], F.lit(1.0)).otherwise(
-        F.exp(1 - o["ref_len"] / o["pred_len"])
+    The one form of the formula: score columns and the SQL function are both read from it.
+    """
+    o = overlap
+    logs = " + ".join(
+        f"ln(CASE WHEN {o}.m{n} > 0 THEN CAST({o}.m{n} AS DOUBLE) ELSE {BLEU_EPSILON}D END / greatest(1, {o}.pred_len - {n - 1})) / {order}"
+        for n in range(1, order + 1)
     )
-    logs = [F.ln(_precision(o, n)) / order for n in range(1, order + 1)]
-    total = logs[0]
-    for term in logs[1:]:
-        total = total + term
-    return F.when(o["m1"] > 0, brevity * F.exp(total)).otherwise(F.lit(0.0))
+    brevity = f"CASE WHEN {o}.pred_len > {o}.ref_len THEN 1D ELSE exp(1 - {o}.ref_len / {o}.pred_len) END"
+    return f"CASE WHEN {o}.m1 > 0 THEN {brevity} * exp({logs}) ELSE 0D END"
+
+
+def rouge_l_text(overlap: str) -> str:
+    """F1 of the longest common subsequence, as SQL over an overlap struct."""
+    both = f"({overlap}.pred_len + {overlap}.ref_len)"
+    return f"CASE WHEN {overlap}.lcs > 0 THEN 2 * {overlap}.lcs / {both} ELSE 0D END"
 
 
 def _share(part: Column, whole: Column) -> Column:
@@ -114,7 +115,7 @@ def score_pairs(
     scored = pairs.withColumn("_overlap", overlap(parts))
     out: list[Column] = [F.col(c) for c in kept]
     for n in bleu_orders:
-        out.append((bleu_column(F.col("_overlap.bleu"), n) * bleu_scale).alias(f"bleu_{n}"))
+        out.append((F.expr(bleu_text("_overlap.bleu", n)) * bleu_scale).alias(f"bleu_{n}"))
     for n in rouge_orders:
         out.append(rouge_n_columns(F.col("_overlap.rouge"), n)[2].alias(f"rouge_{n}"))
     if lcs:
@@ -148,32 +149,19 @@ def word_stems(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def register_sql_functions(spark: SparkSession) -> None:
     """Make ``bleu(prediction, reference)`` and ``rouge_l(prediction, reference)`` callable in SQL.
 
-    BLEU-4 counts whitespace words, ROUGE-L is the F1 over unstemmed ROUGE words.
+    BLEU-4 counts whitespace words, ROUGE-L is the F1 over unstemmed ROUGE words. Texts are
+    prepared in the JVM as for the score columns, and a pair is counted once.
     """
-    plain, other = tokenizer_named("whitespace").splitter, tokenizer_named("alnum").splitter
-
-    def texts(a: pa.Array) -> pa.Array:
-        return pc.utf8_lower(pc.fill_null(a, ""))
-
-    def column(counts: pa.StructArray, name: str) -> np.ndarray:
-        return counts.field(name).to_numpy(zero_copy_only=False).astype(np.float64)
-
-    @F.arrow_udf("double")
-    def bleu(pred: pa.Array, ref: pa.Array) -> pa.Array:
-        c = overlap_counts(texts(pred), texts(ref), Count(plain, 4))
-        p_len, r_len = column(c, "pred_len"), column(c, "ref_len")
-        logs = sum(
-            np.log(np.where(column(c, f"m{n}") > 0, column(c, f"m{n}"), BLEU_EPSILON) / np.maximum(1, p_len - n + 1))
-            for n in range(1, 5)
+    for name, tokenizer, shape, formula in (
+        ("bleu", "whitespace", (4, False), bleu_text("o", 4)),
+        ("rouge_l", "alnum", (0, True), rouge_l_text("o")),
+    ):
+        count = Count(tokenizer_named(tokenizer).splitter, *shape)
+        fields = ", ".join(f"{f}: BIGINT" for f in count.fields)
+        counted = F.arrow_udf(lambda p, r, count=count: overlap_counts(p, r, count), f"STRUCT<{fields}>")
+        spark.udf.register(f"_{name}_overlap", counted)
+        texts = "lower(coalesce(prediction, '')), lower(coalesce(reference, ''))"
+        spark.sql(
+            f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(prediction STRING, reference STRING) RETURNS DOUBLE "
+            f"RETURN transform(array(_{name}_overlap({texts})), o -> {formula})[0]"
         )
-        brevity = np.where(p_len > r_len, 1.0, np.exp(1 - r_len / np.maximum(p_len, 1)))
-        return pa.array(np.where(column(c, "m1") > 0, brevity * np.exp(logs / 4), 0.0))
-
-    @F.arrow_udf("double")
-    def rouge_l(pred: pa.Array, ref: pa.Array) -> pa.Array:
-        c = overlap_counts(texts(pred), texts(ref), Count(other, 0, lcs=True))
-        both = column(c, "pred_len") + column(c, "ref_len")
-        return pa.array(2 * column(c, "lcs") / np.maximum(both, 1))
-
-    spark.udf.register("bleu", bleu)
-    spark.udf.register("rouge_l", rouge_l)

@@ -7,10 +7,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gradeloom.functions.overlap import split_tokens
-from gradeloom.functions.text import tokenize, tokenizer_named, words
+from gradeloom.functions.text import Splitter, Tokenizer, tokenize, tokenizer_named, words
 from gradeloom.operators.prefix import global_rank
+from gradeloom.session import written
 
 # Special ids, padding and label conventions of the tokenizer.
 UNK, BOS, EOS = 0, 1, 2
@@ -22,6 +24,8 @@ PAD_MULTIPLE = 8
 VOCABULARY_LIMIT = 32000
 #: Most bytes of a vocabulary that is sent to the workers.
 VOCABULARY_BYTES = 256 << 20
+#: Text bytes of a block that is encoded with its own part of a larger vocabulary.
+BLOCK_BYTES = 16 << 20
 
 
 def build_vocabulary(df: DataFrame, text: str = "text", size: int = VOCABULARY_LIMIT, tokenizer: str = "whitespace") -> DataFrame:
@@ -39,15 +43,66 @@ def build_vocabulary(df: DataFrame, text: str = "text", size: int = VOCABULARY_L
     return counted.orderBy(*order).limit(size).select("token", "n", numbered.cast("int").alias("token_id"))
 
 
-def _local_vocabulary(vocabulary: DataFrame, max_bytes: int) -> tuple[pa.Array, np.ndarray]:
-    """Tokens and ids of a vocabulary, measured before it is fetched."""
-    entries = vocabulary.where("token IS NOT NULL").groupBy("token").agg(F.min("token_id").cast("int").alias("token_id"))
-    size = entries.agg(F.coalesce(F.sum(F.octet_length("token") + 8), F.lit(0))).first()[0]
-    if size > max_bytes:
-        raise ValueError(f"the vocabulary takes {size} bytes, more than the {max_bytes} that workers may hold")
-    fetched = entries.toArrow()
-    ids = fetched.column("token_id").to_numpy()
-    return fetched.column("token").combine_chunks().cast(pa.large_string()), np.append(ids, UNK).astype(np.int32)
+def _entries(vocabulary: DataFrame) -> DataFrame:
+    """One id per token, the smallest."""
+    return vocabulary.where("token IS NOT NULL").groupBy("token").agg(F.min("token_id").cast("int").alias("token_id"))
+
+
+class _LookUp:
+    """Ids of prepared texts by a list of tokens."""
+
+    def __init__(self, splitter: Splitter, names: pa.Array, ids: np.ndarray):
+        self.splitter, self.names, self.ids = splitter, names, np.append(ids, UNK).astype(np.int32)
+
+    def __call__(self, texts: pa.Array) -> pa.Array:
+        tokens, lengths = split_tokens(texts, self.splitter)
+        encoded = tokens.dictionary_encode()
+        known = pc.fill_null(pc.index_in(encoded.dictionary, value_set=self.names), len(self.names))
+        per_token = self.ids[known.to_numpy(zero_copy_only=False)]
+        # every text starts with the start id
+        starts = np.concatenate([[0], np.cumsum(lengths)])
+        codes = encoded.indices.to_numpy(zero_copy_only=False)
+        values = np.insert(per_token[codes], starts[:-1], BOS)
+        offsets = pa.array((starts + np.arange(len(starts))).astype(np.int32))
+        return pa.ListArray.from_arrays(offsets, pa.array(values, pa.int32()))
+
+
+def _names(table: pa.Table) -> pa.Array:
+    return table.column("token").combine_chunks().cast(pa.large_string())
+
+
+def _encode_shipped(df: DataFrame, entries: DataFrame, text: str, rule: Tokenizer) -> DataFrame:
+    """The vocabulary goes to every worker; nothing is shuffled."""
+    splitter, fetched = rule.splitter, entries.toArrow()
+    shipped = df.sparkSession.sparkContext.broadcast((_names(fetched), fetched.column("token_id").to_numpy()))
+
+    def look_up(texts: pa.Array) -> pa.Array:
+        return _LookUp(splitter, *shipped.value)(texts)
+
+    return df.withColumn("input_ids", F.arrow_udf(look_up, "array<int>")(rule.prepare(F.col(text))))
+
+
+def _encode_joined(df: DataFrame, entries: DataFrame, text: str, tokenizer: str, block_bytes: int) -> DataFrame:
+    """The distinct tokens of a block of texts fetch their ids in one join, for vocabularies of any size.
+
+    Rows are written once, numbered and dealt to blocks of about ``block_bytes`` of text. A
+    frequent token asks once per block.
+    """
+    rule = tokenizer_named(tokenizer)
+    numbered = written(df.withColumns({"_text": rule.prepare(F.col(text)), "_row": F.monotonically_increasing_id()}), "encode-rows")
+    total = numbered.agg(F.sum(F.octet_length("_text").cast("long"))).first()[0] or 0
+    blocks = max(1, -(-total // block_bytes))
+    dealt = numbered.withColumn("_block", F.pmod(F.xxhash64("_row"), F.lit(blocks)))
+    asked = dealt.select("_block", F.explode(F.array_distinct(tokenize(text, tokenizer))).alias("token")).distinct()
+    found = asked.join(entries, "token").select(F.col("_block").alias("_at"), "token", "token_id")
+    splitter, columns = rule.splitter, df.columns
+
+    def look_up(rows: pa.Table, known: pa.Table) -> pa.Table:
+        ids = _LookUp(splitter, _names(known), known.column("token_id").to_numpy())(rows.column("_text").combine_chunks())
+        return rows.select(columns).append_column("input_ids", ids)
+
+    schema = T.StructType([*df.schema.fields, T.StructField("input_ids", T.ArrayType(T.IntegerType()))])
+    return dealt.groupBy("_block").cogroup(found.groupBy("_at")).applyInArrow(look_up, schema)
 
 
 def encode(
@@ -57,33 +112,22 @@ def encode(
     max_length: int | None = None,
     tokenizer: str = "whitespace",
     max_vocabulary_bytes: int = VOCABULARY_BYTES,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """Add ``input_ids``, ``attention_mask`` and ``labels``.
 
     A start id is put in front, no end id; unknown tokens get the unknown id, tokens
     listed twice their smaller one; ``max_length`` cuts the ids when given; labels
-    repeat the ids. The vocabulary goes to every worker and is looked up per Arrow
-    batch, whatever its number of entries; one of more than ``max_vocabulary_bytes``
-    (some ten million tokens) is refused with an error. Nothing is shuffled.
+    repeat the ids. A vocabulary of up to ``max_vocabulary_bytes`` (some ten million
+    tokens) goes to every worker and is looked up per Arrow batch; a larger one is joined
+    per block of texts, with the same result.
     """
-    rule = tokenizer_named(tokenizer)
-    splitter = rule.splitter
-    shipped = df.sparkSession.sparkContext.broadcast(_local_vocabulary(vocabulary, max_vocabulary_bytes))
-
-    def look_up(texts: pa.Array) -> pa.Array:
-        names, ids = shipped.value
-        tokens, lengths = split_tokens(texts, splitter)
-        encoded = tokens.dictionary_encode()
-        known = pc.fill_null(pc.index_in(encoded.dictionary, value_set=names), len(names))
-        per_token = ids[known.to_numpy(zero_copy_only=False)]
-        # every text starts with the start id
-        starts = np.concatenate([[0], np.cumsum(lengths)])
-        codes = encoded.indices.to_numpy(zero_copy_only=False)
-        values = np.insert(per_token[codes], starts[:-1], BOS)
-        offsets = pa.array((starts + np.arange(len(starts))).astype(np.int32))
-        return pa.ListArray.from_arrays(offsets, pa.array(values, pa.int32()))
-
-    encoded = df.withColumn("input_ids", F.arrow_udf(look_up, "array<int>")(rule.prepare(F.col(text))))
+    entries = _entries(vocabulary)
+    size = entries.agg(F.coalesce(F.sum(F.octet_length("token") + 8), F.lit(0))).first()[0]
+    if size <= max_vocabulary_bytes:
+        encoded = _encode_shipped(df, entries, text, tokenizer_named(tokenizer))
+    else:
+        encoded = _encode_joined(df, entries, text, tokenizer, block_bytes)
     if max_length is not None:
         encoded = encoded.withColumn("input_ids", F.slice("input_ids", 1, max_length))
     return encoded.withColumns(

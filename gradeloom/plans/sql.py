@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from gradeloom.functions.templates import SYSTEM_LINE
-from gradeloom.functions.text import TREEBANK_RULES, WHITESPACE_RUN
+from gradeloom.functions.text import WHITESPACE_RUN
 from gradeloom.plans.tables import MODELS
 from gradeloom.schemas import CRITERIA
 
@@ -224,17 +224,38 @@ LCS_F = f1(f"({LCS_P})", f"({LCS_R})")
 
 
 def treebank_tokens(text: str) -> str:
-    """The word-splitting rules without look-ahead, for texts without apostrophe clitics."""
+    """Word tokens of a lower-cased text, as the published description has them, mark by mark.
+
+    Written out for texts of letters, digits and the marks below; a word that opens with an
+    apostrophe keeps it only before a clitic, which needs no look-ahead when each of the
+    possible first letters is told apart.
+    """
+    steps = (
+        (r"([«“‘„]|`+)", r" \1 "),
+        (r'^"', r" `` "),
+        (r"""([ (\[{<])("|'')""", r"\1 `` "),
+        # an apostrophe before a single letter that is no clitic of one letter: m, t, s, d, n
+        (r"'([a-ce-lo-ru-z0-9_])\b", r"' \1"),
+        (r"""([^.])(\.)([\])}>"'»”’ ]*)(\s|$)""", r"\1 \2 \3 \4"),
+        (r"([:,])([^0-9]|$)", r" \1 \2"),
+        (r"(\.\.+|--|[;@#$%&?!*\[\](){}<>])", r" \1 "),
+        (r"([^'])' ", r"\1 ' "),
+        (r"$", " "),
+        (r"([»”’]|'')", r" \1 "),
+        (r'"', r" '' "),
+        (r"([^' ])('ll|'re|'ve|n't|'s|'m|'d|') ", r"\1 \2 "),
+        (r"\b(can)(not)\b", r" \1 \2 "),
+        (r"\b(gim|lem)(me)\b", r" \1 \2 "),
+        (r"\b(gon|wan)(na)\b", r" \1 \2 "),
+        (r"\b(got)(ta)\b", r" \1 \2 "),
+        (r"\b(d)('ye)\b", r" \1 \2 "),
+        (r"\b(more)('n)\b", r" \1 \2 "),
+        (r" ('t)(is|was)\b", r" \1 \2 "),
+    )
     out = f"lower({text})"
-    for pattern, replacement, _ in TREEBANK_RULES:
-        if "(?!" in pattern:
-            continue
-        if "(?=" in pattern:
-            pattern = pattern.replace(r"(?=\s|\z)", r"(\s|\z)")
-            replacement += "$4"
-        quoted = pattern.replace("'", "''")
-        filled = replacement.replace("'", "''").replace("$", "\\")
-        out = f"regexp_replace({out}, '{quoted}', '{filled}', 'g')"
+    for pattern, replacement in steps:
+        quoted = [x.replace("'", "''") for x in (pattern, replacement)]
+        out = f"regexp_replace({out}, '{quoted[0]}', '{quoted[1]}', 'g')"
     return f"list_filter(regexp_split_to_array({out}, '{WHITESPACE_RUN}'), lambda x: x <> '')"
 
 
