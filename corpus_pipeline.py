@@ -42,7 +42,8 @@ def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     ids = rows.select(ROW, "doc_id").join(groups, ROW)
     first = ids.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", ROW)).alias("first"))
     chosen = written(first.select(F.col("first")[ROW].alias(ROW)), "pipeline-first")
-    return rows.join(chosen, ROW, "left_semi").select(docs.columns)
+    # keys grow with the rows, so they are never broadcast; a partition's keys fit in memory, its texts need no sort
+    return rows.join(chosen.hint("shuffle_hash"), ROW, "left_semi").select(docs.columns)
 
 
 def private_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
