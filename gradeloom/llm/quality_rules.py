@@ -51,7 +51,7 @@ DOCUMENT_BANDS = (
     Band(16384, 0.35, 0.66),
     Band(None, 0.30, 0.62),
 )
-#: For every full chunk.
+#: For every chunk of a text that has one.
 CHUNK_BAND = Band(None, 0.38, 0.70)
 
 
@@ -100,11 +100,17 @@ _LEADING = bytes(b for b in range(256) if b & 0xC0 != 0x80)
 
 
 def text_ratios(raw: bytes, squeeze, chunk: int = CHUNK_BYTES) -> tuple[float, float, float]:
-    """Ratio of the whole text, and the lowest and highest of its full chunks (the whole's, if it has none)."""
+    """Ratio of the whole text, and the lowest and highest of its chunks (the whole's, if it is shorter than one).
+
+    The last chunk ends with the text, and overlaps the one before where the length is no multiple.
+    """
     if not raw:
         return 1.0, 1.0, 1.0
     whole = len(squeeze(raw)) / len(raw)
-    full = [len(squeeze(raw[i : i + chunk])) / chunk for i in range(0, len(raw) - chunk + 1, chunk)]
+    begins = list(range(0, len(raw) - chunk + 1, chunk))
+    if begins and len(raw) % chunk:
+        begins.append(len(raw) - chunk)
+    full = [len(squeeze(raw[i : i + chunk])) / chunk for i in begins]
     return whole, min(full, default=whole), max(full, default=whole)
 
 
