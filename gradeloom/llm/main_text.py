@@ -21,13 +21,13 @@ from pyspark.sql import DataFrame
 
 from gradeloom.llm.common import slices
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|title|noscript|template|iframe|textarea|select|svg|object|math)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<[!?][^>]*>?"
-    r"|<(?P<close>/?)(?P<name>[A-Za-z][A-Za-z0-9:-]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>",
-    re.S | re.I,
-)
+_NAME = re.compile(r"/?([A-Za-z][A-Za-z0-9:-]*)")
+_STOP = re.compile("[\"'>]")
+#: Elements whose content is no markup, each with the pattern of its end.
+_RAW = {
+    name: re.compile(rf"</{name}\s*>", re.I)
+    for name in "script style title noscript template iframe textarea select svg object math".split()
+}
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|aria-label|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 
 #: Elements that run on inside a line of text; all others part words.
@@ -79,64 +79,166 @@ def _kind(name: str, attrs: str) -> str:
     return kind
 
 
+def _markup(page: str) -> Iterator[tuple[int, int, str, bool, str]]:
+    """``(start, end, name, closes, attributes)`` of everything that is no text; comments and the like have no name.
+
+    One scan forward: whether a tag ends depends on where its quotes open, so an opening that
+    led nowhere is remembered, and so is the next place where anything can end.
+    """
+    at, n, last_end = 0, len(page), page.rfind(">")
+    dead: set[int] = set()  # quotes that open and never lead to the end of a tag
+    stop_from = stop = -1
+    while (i := page.find("<", at)) >= 0:
+        if page.startswith("<!--", i):
+            end = page.find("-->", i + 4)
+            at = n if end < 0 else end + 3
+            yield i, at, "", False, ""
+            continue
+        if page[i + 1 : i + 2] in ("!", "?"):
+            end = page.find(">", i) if last_end > i else -1
+            at = n if end < 0 else end + 1
+            yield i, at, "", False, ""
+            continue
+        m = _NAME.match(page, i + 1)
+        at = i + 1
+        if not m or last_end < i:
+            continue
+        closes, name = page[i + 1] == "/", m[1].lower()
+        if not closes and name in _RAW:
+            end = _RAW[name].search(page, page.find(">", i) + 1)
+            at = end.end() if end else n
+            yield i, at, name, False, ""
+            continue
+        place, opened = m.end(), []
+        while True:
+            if not stop_from <= place <= stop:
+                found = _STOP.search(page, place)
+                stop_from, stop = place, found.start() if found else n
+            if stop == n or stop in dead:
+                dead.update(opened)
+                break
+            if page[stop] == ">":
+                at = stop + 1
+                yield i, at, name, closes, page[m.end() : stop]
+                break
+            opened.append(stop)
+            close = page.find(page[stop], stop + 1)
+            if close < 0:
+                dead.update(opened)
+                break
+            place = close + 1
+
+
+#: Share of a page's words that a wrapper named like a side matter holds when it is none.
+MOST_WORDS = 0.8
+#: What no wrapper of the article is named after.
+_NEVER_MAIN = frozenset(("comments", "menu"))
+
+
 def read_page(page: str) -> list[tuple[str, str, int]]:
     """The page as ``(feature, text, apart)``: a text with its surroundings, or a tag with an empty text.
 
     ``apart`` numbers the outermost element set apart around a text (0: none). Texts have
-    their character references decoded; ``" "`` stands for what parts words.
+    their character references decoded; ``" "`` stands for what parts words. An element that
+    its class sets apart, and that holds most of the page's words, is the page's main
+    element under a name of its own, and is not set apart.
     """
+    pieces, wide = _read(page, frozenset())
+    return _read(page, wide)[0] if wide else pieces
+
+
+def _read(page: str, whole: frozenset[int]) -> tuple[list[tuple[str, str, int]], frozenset[int]]:
+    """The pieces with the elements in ``whole`` (by their place) not set apart, and those that should be in it."""
     out: list[tuple[str, str, int]] = []
-    stack: list[tuple[str, str]] = []
+    stack: list[tuple[str, str, int, int]] = []  # name, kind, words before it, place where its class sets it apart (or -1)
+    marked: list[int] = []  # places of the stack that have a kind
+    opened: Counter[str] = Counter()
+    passing: Counter[str] = Counter()  # of the marked, by what ends them early
+    held: list[tuple[int, int]] = []  # words and place of elements set apart by their class
     number, inside, links, block = 0, 0, 0, "div"
-    at = 0
-    apart: list[str] = []
+    at = words = 0
 
     def text(raw: str) -> None:
-        where = apart[0] if apart else "link" if links else block
+        nonlocal words
+        where = stack[marked[0]][1] if marked else "link" if links else block
+        words += len(raw.split())
         out.append((f"in {where}", html.unescape(raw), inside))
 
-    for m in _TOKEN.finditer(page):
-        if m.start() > at:
-            text(page[at : m.start()])
-        at = m.end()
-        name = (m["name"] or "").lower()
+    def ends_early(name: str, kind: str) -> str:
+        """What ends with the page's main element: a head that was left open, a form around the page, a wrapper's mark."""
+        return "head" if kind == "head" else "form" if name == "form" else "side" if name == "div" and kind == "sidebar" else ""
+
+    def release(sorts: tuple[str, ...]) -> None:
+        k = len(marked) - 1
+        while any(passing[sort] for sort in sorts):
+            name, kind, before, _ = stack[marked[k]]
+            if (sort := ends_early(name, kind)) in sorts:
+                passing[sort] -= 1
+                if sort == "head":
+                    opened[name] -= 1
+                stack[marked[k]] = ("" if sort == "head" else name, "", before, -1)
+                del marked[k]
+            k -= 1
+
+    def leave(k: int) -> None:
+        for name, kind, before, place in stack[k:]:
+            opened[name] -= 1
+            if kind:
+                passing[ends_early(name, kind)] -= 1
+            if kind and place >= 0:
+                held.append((words - before, place))
+        del stack[k:]
+        while marked and marked[-1] >= k:
+            marked.pop()
+
+    for start, end, name, closes, attrs in _markup(page):
+        if start > at:
+            text(page[at:start])
+        at = end
         if not name:
-            if m["raw"]:
-                out.append((f"<{m['raw'].lower()}", " ", inside))
+            continue
+        if name in _RAW and not closes:
+            out.append((f"<{name}", " ", inside))
             continue
         if name in VOID:
             if name not in INLINE:
                 out.append((f"<{name}", " ", inside))
             continue
         if name not in INLINE:
-            block = name if name in ("p", "h1", "h2", "h3", "h4", "li", "td", "blockquote", "pre", "dd") and not m["close"] else "div"
+            block = name if name in ("p", "h1", "h2", "h3", "h4", "li", "td", "blockquote", "pre", "dd") and not closes else "div"
             out.append((f"<{name}", " ", inside))
         if name == "a":
-            links = 0 if m["close"] else 1
-        if m["close"]:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    del stack[k:]
-                    break
+            links = 0 if closes else 1
+        was = bool(marked)
+        if closes:
+            if opened[name] > 0:
+                k = len(stack) - 1
+                while stack[k][0] != name:
+                    k -= 1
+                leave(k)
         else:
             if name in ("p", "li", "td", "tr", "dd", "dt", "option") and stack and stack[-1][0] == name:
-                stack.pop()  # its end tag may be left out
-            kind = _kind(name, m["attrs"])
-            if kind == "header" and name == "header" and any(n in ("article", "main") for n, _ in stack):
+                leave(len(stack) - 1)  # its end tag may be left out
+            kind = _kind(name, attrs)
+            if kind == "header" and name == "header" and (opened["article"] > 0 or opened["main"] > 0):
                 kind = ""  # an article's own heading
+            by_class = kind and name not in APART and kind not in _NEVER_MAIN
+            if by_class and start in whole:
+                kind = ""
             if name in ("body", "article", "main"):
-                stack[:] = [s for s in stack if s[1] != "head"]
-                if name != "body":  # a form around the page ends here; so does a wrapper's mark at the page's main element
-                    stack[:] = [(n, "" if n == "form" or name == "main" and n == "div" and k == "sidebar" else k) for n, k in stack]
-            stack.append((name, kind))
-        was = bool(apart)
-        apart = [k for _, k in stack if k]
-        if apart and not was:
+                release(("head", "form", "side")[: 1 + ("body", "article", "main").index(name)])
+            if kind:
+                marked.append(len(stack))
+                passing[ends_early(name, kind)] += 1
+            stack.append((name, kind, words, start if by_class else -1))
+            opened[name] += 1
+        if marked and not was:
             number += 1
-        inside = number if apart else 0
+        inside = number if marked else 0
     if at < len(page):
         text(page[at:])
-    return out
+    leave(0)
+    return out, frozenset(place for n, place in held if n > MOST_WORDS * words)
 
 
 class Scorer:

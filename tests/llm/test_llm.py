@@ -6,6 +6,7 @@ import base64
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -14,6 +15,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 import xxhash
+import zstandard
 from hypothesis import example, given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -603,3 +605,47 @@ def test_bpe_common_words_are_short(spark, reference_encoding):
         ids = np.array(reference_encoding.encode_ordinary(texts[r["doc_id"]]), "<u4")
         assert (r["n_tokens"], r["ids_sha256"]) == (len(ids), hashlib.sha256(ids.tobytes()).hexdigest())
         assert r["decoded_sha256"] == hashlib.sha256(texts[r["doc_id"]].encode()).hexdigest()
+
+
+def test_wrappers_named_like_side_matter_are_kept_when_they_hold_the_page():
+    scorer = main_text.trained_scorer()
+    article = "Long article words of prose that go on for a while. " * 20
+    whole = " ".join(article.split())
+    for page in (
+        f'<main><section class="search">{article}</section></main>',
+        f'<div id="more">{article}</div>',
+        f'<div class="body side"><p>{article}</p></div>',
+        f'<div class="side"><div class="related"><p>{article}</p></div></div>',
+    ):
+        assert main_text.main_text(page, scorer) == whole
+    side = "<div class='related'><p>other pages of interest</p></div>"
+    assert main_text.main_text(f"<article><p>{article}</p></article>{side}", scorer) == whole
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<script x " * 100_000, "<a 'x' " * 140_000, "<a 'x' " * 140_000 + "'>", "<a " * 300_000 + "'>", "<div>" * 200_000,
+        "<div>" * 100_000 + "</b>" * 100_000, "<div class=side><main>" * 40_000, '<a "' * 250_000, "<" * 1_000_000, "<main>" * 150_000,
+    ],
+)
+def test_odd_markup_takes_linear_time(page):
+    scorer = main_text.trained_scorer()
+    begun = time.perf_counter()
+    assert isinstance(main_text.main_text(page, scorer), str)
+    assert time.perf_counter() - begun < 20  # a second or two; squares of these lengths take hours
+
+
+def test_last_chunk_ends_with_the_text():
+    squeeze = zstandard.ZstdCompressor(level=quality_rules.ZSTD_LEVEL).compress
+    rng = random.Random(1)
+    prose = " ".join("".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 9))) for _ in range(1500)).encode()
+    noise = bytes(rng.randrange(256) for _ in range(2047))
+    for raw in (prose[:4096] + noise, prose[:2048], prose[:2049], prose[:5000], b"short", b""):
+        size = quality_rules.CHUNK_BYTES
+        pieces = [raw[i : i + size] for i in range(0, len(raw) - size + 1, size)]
+        if pieces:
+            pieces.append(raw[-size:])
+        ratios = [len(squeeze(p)) / len(p) for p in pieces] or [len(squeeze(raw)) / len(raw) if raw else 1.0]
+        assert quality_rules.text_ratios(raw, squeeze)[1:] == (min(ratios), max(ratios))
+    assert quality_rules.text_ratios(prose[:4096] + noise, squeeze)[2] > quality_rules.CHUNK_BAND.high
