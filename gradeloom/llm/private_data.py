@@ -1,9 +1,11 @@
 """Personal data: exact base patterns, and a semi-Markov conditional random field that adds spans.
 
 The base patterns always stay. Around what they leave, a text is searched for islands: runs
-of short atoms (digit runs, letter runs, single marks, spaces) in which a digit or an at sign,
-or one written out, stands. On an island, every run of at most ``MAX_ATOMS`` atoms is a candidate segment for
-every kind. Features look at the whole candidate (how many digits, how grouped, which marks,
+of atoms (digit runs, letter runs, single marks, spaces) in which a digit or an at sign,
+or one written out, stands. What stands before an at sign, the sign, each host name after it and
+each dot written out between two of them are one atom each, however long, so no address is cut.
+On an island, every run of at most ``MAX_ATOMS`` atoms and ``MAX_CHARS`` code points, the bounds of
+an entity, is a candidate segment for every kind. Features look at the whole candidate (how many digits, how grouped, which marks,
 whether a checksum holds), not at single atoms. Dynamic programming over end positions,
 bounded by the length of an entity, chooses boundaries and kinds together; base spans are
 held fixed in it.
@@ -31,8 +33,8 @@ from gradeloom.llm.common import slices
 
 KINDS = ("email", "ip", "card", "phone")
 MAX_ATOMS = 19
-#: Letters that may stand between the parts of one entity ("at", "dot").
-JOINERS = frozenset(("at", "dot", "AT", "DOT"))
+#: Longer than any address can be: 64 code points, a sign and 255 more, with room for signs written out.
+MAX_CHARS = 512
 
 # One pass each, without retries. Possessive and look-behind forms only spare repeated work on long runs.
 _EMAIL_REST = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -41,9 +43,18 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGITS = re.compile(r"[^0-9]+")
+_HOST = r"[A-Za-z0-9]++(?:-++[A-Za-z0-9]++)*+(?:\.[A-Za-z0-9]++(?:-++[A-Za-z0-9]++)*+)*+"
+#: A dot written out between two host names.
+_DOT = r"(?: ?[(\[{](?:dot|DOT|\.)[)\]}] ?| (?:dot|DOT) | \. )"
 #: An at sign written out: in brackets, or bare before a dot or a dot written out.
-_AT_WORD = re.compile(r"[(\[{]at[)\]}]| at (?=[A-Za-z0-9-]+(?:\.| ?[(\[{]dot[)\]}] ?| dot | \. )[A-Za-z])")
+_AT_WORD = re.compile(rf"[(\[{{](?:at|AT)[)\]}}]| (?:at|AT) (?=[A-Za-z0-9-]++(?:\.|{_DOT})[A-Za-z])")
 _ANY = re.compile(rf"[0-9@]|{_AT_WORD.pattern}")
+#: An at sign in any form, with the space around it.
+_AT = re.compile(r" ?(?:@|[(\[{](?:at|AT)[)\]}]) ?| (?:at|AT) ")
+_HOST_NAME = re.compile(_HOST)
+_NEXT_HOST = re.compile(f"({_DOT})({_HOST})")
+#: All host names after an at sign.
+_HOSTS = re.compile(f" ?{_HOST}(?:{_DOT}{_HOST})*+")
 
 Span = tuple[int, int, str]
 
@@ -95,16 +106,37 @@ _ATOM = re.compile(r"[0-9]+|[A-Za-z]+|\s+|.", re.S)
 _MARKS = frozenset("@.-_+()[]{}/ \t")
 
 
+#: What an entity may consist of between two spaces.
+_SOLID = _LOCAL | _MARKS - set(" \t")
+_SOLID_RUN = re.compile(r"[A-Za-z0-9._%+@()\[\]{}/-]*+")
+
+
 def islands(text: str, reach: int = 48) -> list[tuple[int, int]]:
-    """Stretches worth a search: a few dozen characters around every digit run and at sign, also one written out."""
+    """Stretches worth a search, in order and apart from each other.
+
+    They reach a few dozen characters around every digit run and at sign, also one written
+    out, and from there to the end of what stands without a space, and of the host names
+    after an at sign. Every character is looked at a bounded number of times.
+    """
     out: list[list[int]] = []
-    at = 0
+    at = hosts = 0
     while m := _ANY.search(text, at):
-        begin, end = max(0, m.start() - reach), m.end()
-        while end < len(text) and "0" <= text[end] <= "9":
-            end += 1
-        at, end = end, min(len(text), end + reach)
-        if out and begin <= out[-1][1]:
+        at = m.end()
+        while at < len(text) and "0" <= text[at] <= "9":
+            at += 1
+        end = min(len(text), at + reach)
+        if not m.group().isdigit() and at >= hosts and (names := _HOSTS.match(text, at)):
+            hosts = names.end()
+            end = max(end, hosts)
+        floor = out[-1][1] if out else 0
+        if end <= floor:
+            continue
+        if text[end - 1] in _SOLID:
+            end = _SOLID_RUN.match(text, end).end()
+        begin = max(floor, m.start() - reach)
+        while floor < begin < len(text) and text[begin] in _SOLID and text[begin - 1] in _SOLID:
+            begin -= 1
+        if out and begin <= floor:
             out[-1][1] = end
         else:
             out.append([begin, end])
@@ -112,12 +144,44 @@ def islands(text: str, reach: int = 48) -> list[tuple[int, int]]:
 
 
 def atoms(text: str, begin: int, end: int) -> list[tuple[int, int]]:
-    return [m.span() for m in _ATOM.finditer(text, begin, end)]
-
+    """``text[begin:end]`` in pieces without a gap; an address has one for each of its parts."""
+    out: list[tuple[int, int]] = []
+    at = begin
+
+    def plain(stop: int) -> None:
+        out.extend(m.span() for m in _ATOM.finditer(text, at, stop))
+
+    for m in _AT.finditer(text, begin, end):
+        sign, after = m.span()
+        if sign < at:  # among the host names of the sign before
+            continue
+        last = sign
+        while last > at and text[last - 1] in "._%+-":
+            last -= 1
+        first = last
+        while first > at and text[first - 1] in _LOCAL:
+            first -= 1
+        while first < last and text[first] in "._%+-":
+            first += 1
+        plain(first)
+        if first < last:
+            out.append((first, last))
+        at = last
+        plain(sign)
+        out.append((sign, after))
+        at = after
+        if names := _HOST_NAME.match(text, at, end):
+            out.append(names.span())
+            at = names.end()
+            while names := _NEXT_HOST.match(text, at, end):
+                out += [names.span(1), names.span(2)]
+                at = names.end()
+    plain(end)
+    return out
 
 
 def has_at(span: str) -> bool:
-    return "@" in span or " at " in span or any(f"{a}at{b}" in span for a, b in ("()", "[]", "{}"))
+    return _AT.search(span) is not None
 
 
 def segment_features(text: str, begin: int, end: int) -> tuple[str, ...] | None:
@@ -126,9 +190,9 @@ def segment_features(text: str, begin: int, end: int) -> tuple[str, ...] | None:
     digits = [c for c in span if "0" <= c <= "9"]
     n = len(digits)
     at = has_at(span)
-    if not at and n < 4:
-        return None
     letters = sum(c.isalpha() for c in span)
+    if not at and (letters or not 4 <= n <= 20):  # letters stand in addresses only
+        return None
     groups = re.findall(r"[0-9]+", span)
     sizes = "-".join(str(min(len(g), 20)) for g in groups[:6])
     gaps = "".join(sorted(set(re.sub(r"[0-9A-Za-z]", "", span))))[:8]
@@ -138,7 +202,7 @@ def segment_features(text: str, begin: int, end: int) -> tuple[str, ...] | None:
     )
     out = [
         f"n{min(n, 20)}" if not at else "at",
-        f"g{sizes}" if not at else f"ga{'d' if re.search(r'[.]|dot', span) else ''}",
+        f"g{sizes}" if not at else f"ga{'d' if re.search(r'[.]|dot|DOT', span) else ''}",
         f"m{gaps}" if not at else "ma",
         f"e{edge}",
         f"l{min(letters, 3)}{'a' if at else ''}",
@@ -152,10 +216,10 @@ def segment_features(text: str, begin: int, end: int) -> tuple[str, ...] | None:
         if 9 <= n <= 15:
             out.append("phonelong")
     if at:
-        local, _, rest = re.sub(r"\s*[(\[{]?\bat\b[)\]}]?\s*|\s*@\s*", "@", span).partition("@")
-        rest = re.sub(r"\s*[(\[{]?\bdot\b[)\]}]?\s*", ".", rest)
+        sign = _AT.search(span)
+        local, rest = span[: sign.start()], re.sub(_DOT, ".", span[sign.end() :])
         out.append("mail" if re.fullmatch(r"[A-Za-z0-9._%+-]+", local) and re.fullmatch(r"[A-Za-z0-9-]+(\.[A-Za-z]{2,})+", rest) else "nomail")
-        out.append(f"w{len(re.findall(r'[ ]', span)) > 6}")
+        out.append("more" if _NEXT_HOST.match(text, end) else "done")
     return tuple(out)
 
 
@@ -175,25 +239,29 @@ class Field:
                 total = total - 0.5  # a shape never seen in training is less likely to be an entity
         return total
 
-    def candidates(self, text: str, cells: list[tuple[int, int]]) -> list[tuple[int, int, tuple[str, ...]]]:
+    def candidates(self, text: str, cells: list[tuple[int, int]]) -> Iterator[tuple[int, int, tuple[str, ...]]]:
         """``(first, end, features)`` in atoms, for every segment that may be an entity."""
-        out = []
-        for i, (begin, first_end) in enumerate(cells):
+        sign, signs = len(cells) + MAX_ATOMS, []  # for every atom, the next that is an at sign
+        for begin, end in reversed(cells):
+            if text[begin] in " @([{" and _AT.fullmatch(text, begin, end):
+                sign = len(cells) - 1 - len(signs)
+            signs.append(sign)
+        for i, (begin, _) in enumerate(cells):
             head = text[begin]
             if not (head.isalnum() or head in "+("):
                 continue
-            if head.isalpha() and not has_at(text[begin : begin + 64]):
-                continue
+            addressed = signs[-1 - i] < i + MAX_ATOMS
             for j in range(i + 1, min(len(cells), i + MAX_ATOMS) + 1):
                 b, e = cells[j - 1]
+                if e - begin > MAX_CHARS:
+                    break
                 last = text[b]
-                if not (last.isascii() and last.isalnum() or last in _MARKS):
+                if not (last.isascii() and last.isalnum() or last in _MARKS) or last.isalpha() and not addressed:
                     break
                 if not last.isalnum():
                     continue
                 if features := segment_features(text, begin, e):
-                    out.append((i, j, features))
-        return out
+                    yield i, j, features
 
     def decode(self, text: str, begin: int, end: int, fixed: list[Span]) -> list[Span]:
         """The best segmentation of one island; fixed spans are kept whole and free of others."""
@@ -234,7 +302,7 @@ class Field:
         cases = []
         for text, gold in examples:
             cells = atoms(text, 0, len(text))
-            segments = self.candidates(text, cells)
+            segments = list(self.candidates(text, cells))
             truth = {(s, e): KINDS.index(k) for s, e, k in gold}
             rows = [[index.setdefault(f, len(index)) for f in fs] for _, _, fs in segments]
             label = [truth.get((cells[i][0], cells[j - 1][1]), -1) for i, j, _ in segments]
@@ -292,12 +360,15 @@ def labelled_snippets(n: int = 500, seed: int = 5) -> list[tuple[str, list[Span]
     def mail() -> str:
         at = rng.choice(["@", " @ ", " at ", " (at) ", "(at)", "[at]", " [at] "])
         dot = rng.choice([".", ".", " dot ", " (dot) ", "[dot]"]) if at != "@" else "."
-        local = rng.choice([word(), word() + "." + word(), word() + digits(2)])
-        return local + at + word() + dot + rng.choice(["com", "org", "net", "de", "fr"])
+        local = rng.choice([word(), word() + "." + word(), word() + digits(2), "-".join(word() for _ in range(rng.randint(2, 9)))])
+        host = rng.choice([word(), word(), word() + "-" + word(), word() + dot + word()])
+        if rng.random() < 0.1:
+            at, dot = at.upper(), dot.upper()
+        return local + at + host + dot + rng.choice(["com", "org", "net", "de", "fr"])
 
     def address() -> str:
         join = rng.choice([".", ".", "[.]", " . "])
-        return join.join(str(rng.randint(1, 255)) for _ in range(4))
+        return join.join(str(rng.randint(0, rng.choice([9, 99, 255]))) for _ in range(4))
 
     def card() -> str:
         number, gap = _luhn_number(rng, 16), rng.choice(["", " ", "-", ".", "/"])

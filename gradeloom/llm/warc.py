@@ -4,15 +4,19 @@ Writing: each task rolls files of gzip members, one member a record, with the me
 length in an extra field of its header ("sl", skip lengths). Files become visible at the
 commit only, so a lost or repeated task leaves no record twice.
 
-Reading: a partition is one file. Filters on the record type and on named headers are
+Reading: a partition is one file: every ``.warc`` and ``.warc.gz`` below the path, or the file that
+the path names. Files are plain, gzip members of a record each, or gzip of any other layout. Filters on the record type and on named headers are
 taken over from Spark. A record's headers are parsed first, from the beginning of its
-member; if the record is not wanted, the rest of the member is neither read nor decoded.
+member; if the record is not wanted, the rest of the member is neither read nor decoded. Of
+plain files the rest is passed over by seeking; of gzip without lengths it is inflated, not kept.
 """
 
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
+import io
 import struct
 import uuid
 import zlib
@@ -112,19 +116,43 @@ def parse_headers(head: bytes) -> dict[str, str]:
     return out
 
 
+def read_sequence(source, wanted: Callable[[dict[str, str]], bool]) -> Iterator[tuple[dict[str, str], bytes]]:
+    """``(headers, block)`` of the wanted records that stand one after another in a file of bytes."""
+    while line := source.readline():
+        if not line.strip():
+            continue  # between two records
+        if not line.startswith(b"WARC/"):
+            raise ValueError("no record begins where one should")
+        head = [line]
+        while (line := source.readline()).strip():
+            head.append(line)
+        headers = parse_headers(b"\r\n".join(x.rstrip(b"\r\n") for x in head))
+        size = int(headers["content-length"])
+        if not wanted(headers):
+            source.seek(size, io.SEEK_CUR)
+            continue
+        block = source.read(size)
+        if len(block) < size:
+            raise ValueError("a record ends before its length")
+        yield headers, block
+
+
 def read_members(stream, wanted: Callable[[dict[str, str]], bool]) -> Iterator[tuple[dict[str, str], bytes]]:
     """``(headers, block)`` of the wanted records of one file of gzip members.
 
-    Unwanted members with a known length are passed over by seeking. Members without
-    one are inflated to find their end, but nothing of them is kept.
+    Members that tell their length hold one record each; unwanted ones are passed over by
+    seeking. From the first member without a length on, the file is read as one sequence of
+    records, wherever its members begin and end; nothing of an unwanted record is kept.
     """
     at, size = 0, stream.size()
     while at < size:
         stream.seek(at)
         raw = stream.read(HEAD_BYTES)
-        length = 0
-        if raw[:4] == b"\x1f\x8b\x08\x04" and raw[12:14] == b"sl":
-            length = struct.unpack_from("<I", raw, 16)[0]
+        if raw[:4] != b"\x1f\x8b\x08\x04" or raw[12:14] != b"sl":
+            stream.seek(at)
+            yield from read_sequence(gzip.GzipFile(fileobj=stream), wanted)
+            return
+        length = struct.unpack_from("<I", raw, 16)[0]
         inflate = zlib.decompressobj(31)
         data = inflate.decompress(raw)
         fed = len(raw)
@@ -147,11 +175,14 @@ def read_members(stream, wanted: Callable[[dict[str, str]], bool]) -> Iterator[t
                 raise ValueError("a record ends before its length")
             block = data[len(head) + 4 :]
             yield headers, block[: int(headers.get("content-length", len(block)))]
-        elif not length:
-            while not inflate.eof and (chunk := stream.read(1 << 16)):
-                fed += len(chunk)
-                inflate.decompress(chunk)
-        at += length or fed - len(inflate.unused_data)
+        at += length
+
+
+def read_records(stream, wanted: Callable[[dict[str, str]], bool]) -> Iterator[tuple[dict[str, str], bytes]]:
+    """``(headers, block)`` of the wanted records of one file, plain or gzip."""
+    packed = stream.read(2) == b"\x1f\x8b"
+    stream.seek(0)
+    return read_members(stream, wanted) if packed else read_sequence(io.BufferedReader(stream), wanted)
 
 
 # ---- the data source
@@ -201,8 +232,12 @@ class WarcReader(DataSourceReader):
 
     def partitions(self) -> list[Archive]:
         fs, root = file_system(self.path)
-        infos = fs.get_file_info(pafs.FileSelector(root, allow_not_found=True))
-        return [Archive(i.path, i.size) for i in infos if i.is_file and i.path.endswith(".warc.gz")] or [Archive("", 0)]
+        infos = [fs.get_file_info(root)]
+        if infos[0].type != pafs.FileType.File:
+            found = fs.get_file_info(pafs.FileSelector(root, allow_not_found=True, recursive=True))
+            hidden = lambda path: any(part[:1] in "._" for part in path[len(root) :].strip("/").split("/"))
+            infos = [i for i in found if i.is_file and i.path.endswith((".warc", ".warc.gz")) and not hidden(i.path)]
+        return [Archive(i.path, i.size) for i in infos] or [Archive("", 0)]
 
     def read(self, partition: Archive) -> Iterator[pa.RecordBatch]:
         if not partition.path:
@@ -210,7 +245,7 @@ class WarcReader(DataSourceReader):
         fs, _ = file_system(self.path)
         rows, held = [], 0
         with fs.open_input_file(partition.path) as stream:
-            for headers, block in read_members(stream, self.wanted):
+            for headers, block in read_records(stream, self.wanted):
                 body = block.partition(b"\r\n\r\n")[2]
                 row = {c: _bare(headers.get(h.lower())) for c, h in HEADERS.items()}
                 if self.payload != "none" and row["record_type"] == "response":
@@ -236,10 +271,11 @@ class WarcWriter(DataSourceArrowWriter):
     def __init__(self, options: dict):
         self.path = options["path"]
         self.roll = int(options.get("roll_bytes", ROLL_BYTES))
+        self.pending = f"_pending-{uuid.uuid4().hex}"  # of this write alone; its tasks share it
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         fs, root = file_system(self.path)
-        fs.create_dir(f"{root}/_pending", recursive=True)
+        fs.create_dir(f"{root}/{self.pending}", recursive=True)
         files, out, size = [], None, 0
         try:
             for batch in iterator:
@@ -247,7 +283,7 @@ class WarcWriter(DataSourceArrowWriter):
                     for row in batch.slice(begin, BATCH_ROWS).to_pylist():
                         if out is None:
                             files.append(f"{uuid.uuid4().hex}.warc.gz")
-                            out, size = fs.open_output_stream(f"{root}/_pending/{files[-1]}", compression=None), 0
+                            out, size = fs.open_output_stream(f"{root}/{self.pending}/{files[-1]}", compression=None), 0
                         member = gzip_member(record_bytes(row))
                         out.write(member)
                         size += len(member)
@@ -263,16 +299,15 @@ class WarcWriter(DataSourceArrowWriter):
         fs, root = file_system(self.path)
         for message in messages:
             for name in message.files if message else ():
-                fs.move(f"{root}/_pending/{name}", f"{root}/{name}")
+                fs.move(f"{root}/{self.pending}/{name}", f"{root}/{name}")
         self._clear(fs, root)
 
     def abort(self, messages: list[Written | None]) -> None:
         self._clear(*file_system(self.path))
 
-    @staticmethod
-    def _clear(fs: pafs.FileSystem, root: str) -> None:
-        if fs.get_file_info(f"{root}/_pending").type == pafs.FileType.Directory:
-            fs.delete_dir(f"{root}/_pending")
+    def _clear(self, fs: pafs.FileSystem, root: str) -> None:
+        if fs.get_file_info(f"{root}/{self.pending}").type == pafs.FileType.Directory:
+            fs.delete_dir(f"{root}/{self.pending}")
 
 
 class WarcSource(DataSource):

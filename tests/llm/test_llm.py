@@ -240,6 +240,45 @@ def test_members_of_others_can_be_read(tmp_path):
         assert len(got) == n and all(b.endswith(b"hello") for _, b in got)
 
 
+def test_archives_of_any_layout_are_read(spark, tmp_path):
+    import gzip
+
+    def record(n, kind="response"):
+        return warc.record_bytes({"record_id": f"urn:page:{n}", "record_type": kind, "target_uri": "u", "date": None, "refers_to": None, "payload": b"hello" * n})
+
+    root = tmp_path / "a"
+    (root / "deep" / "er").mkdir(parents=True)
+    (root / "_pending-of-another-write").mkdir()
+    (root / "plain.warc").write_bytes(record(1) + record(2, "revisit") + record(3000))
+    (root / "deep" / "one.warc.gz").write_bytes(gzip.compress(record(4) + record(5, "revisit") + record(6)))
+    (root / "deep" / "er" / "mixed.warc.gz").write_bytes(warc.gzip_member(record(7)) + gzip.compress(record(8)) + warc.gzip_member(record(9)))
+    (root / "empty.warc").write_bytes(b"")
+    (root / "notes.txt").write_text("no archive")
+    (root / "_pending-of-another-write" / "x.warc").write_bytes(record(10))
+    (tmp_path / "named").write_bytes(record(11).replace(b"WARC/1.1\r\n", b"WARC/1.0\r\n"))
+    number = lambda rows: sorted(int(r["record_id"].split(":")[-1]) for r in rows)
+    df = warc.read_warc(spark, str(root))
+    rows = df.collect()
+    assert number(rows) == [1, 2, 4, 5, 6, 7, 8, 9, 3000]
+    assert all(r["payload"] == (b"hello" * int(r["record_id"].split(":")[-1]) if r["record_type"] == "response" else None) for r in rows)
+    assert number(df.where("record_type = 'response'").collect()) == [1, 4, 6, 7, 8, 9, 3000]
+    assert number(warc.read_warc(spark, str(tmp_path / "named")).collect()) == [11]
+    assert number(warc.read_warc(spark, str(root / "plain.warc")).collect()) == [1, 2, 3000]
+    assert warc.read_warc(spark, str(tmp_path / "missing")).count() == 0
+    warc.write_warc(warc.page_records(spark.createDataFrame([(12, "u", "x")], "page_id long, url string, html string")), str(root))
+    assert (root / "_pending-of-another-write" / "x.warc").exists() and 12 in number(warc.read_warc(spark, str(root)).collect())
+    (root / "broken.warc").write_bytes(record(9)[:-20])
+    with pytest.raises(Exception, match="ends before its length"):
+        warc.read_warc(spark, str(root / "broken.warc")).collect()
+
+
+def test_archive_ignores_clashing_columns(spark, tmp_path):
+    rows = [(1, "u", "a", "k", 7, b"p", "d"), (2, "v", "a", "k", 7, b"p", "d")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, record_type string, owner int, payload binary, digest string")
+    got = {r["page_id"]: (r["record_type"], r["refers_to"], r["payload_bytes"]) for r in warc.archive_pages(pages, str(tmp_path / "a")).collect()}
+    assert got == {1: ("response", None, 1), 2: ("revisit", 1, 1)}
+
+
 # ---- personal data
 
 PATTERNS = (
@@ -595,6 +634,41 @@ def test_written_out_addresses_are_found():
         assert private_data.all_spans(clean, field)[1] == []
 
 
+def test_spans_are_not_cut():
+    field = private_data.trained_field()
+    for span, kind in (
+        ("john.smith-the-third-of-the-long-names-department (at) example dot org", "email"),
+        ("a" + "-b" * 200 + " [at] host.org", "email"),
+        ("a (at) b-c-d-e-f-g-h-i-j-k-l-m-n-o-p-q-r (dot) com", "email"),
+        ("john at mail dot example dot co dot uk", "email"),
+        ("JOHN (AT) EXAMPLE (DOT) COM", "email"),
+        ("10[.]0[.]0[.]7", "ip"),
+        ("192[.]168[.]1[.]1", "ip"),
+    ):
+        text = f"Please write to {span}, and we answer soon."
+        base, spans = private_data.all_spans(text, field)
+        assert base == [] and [(text[s:e], k) for s, e, k in spans] == [(span, kind)]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["a", "b-c", "12", "@", " ", " at ", "(at)", " (at) ", ".", " dot ", "[dot]", "\n", "é", "_", "+", "x" * 70, " " * 60]), max_size=40).map("".join))
+def test_islands_and_atoms_leave_no_gap(text):
+    found = private_data.islands(text)
+    assert all(0 <= b < e <= len(text) for b, e in found) and all(x[1] < y[0] for x, y in zip(found, found[1:]))
+    assert all(any(b <= m.start() and m.end() <= e for b, e in found) for m in private_data._ANY.finditer(text))
+    for begin, end in found:
+        cells = private_data.atoms(text, begin, end)
+        assert [b for b, _ in cells] + [end] == [begin] + [e for _, e in cells] and all(b < e for b, e in cells)
+
+
+@pytest.mark.parametrize("text", ["a-" * 300_000 + "b (at) x.org", " at dot" * 100_000, "1a" * 100_000, "@" * 200_000, "7" * 500_000, "a" * 500_000 + "@b", " " * 500_000 + "1", "(at)" * 60_000])
+def test_odd_text_takes_linear_time(text):
+    field = private_data.trained_field()
+    begun = time.perf_counter()
+    private_data.all_spans(text, field)
+    assert time.perf_counter() - begun < 20  # a few seconds at most; squares of these lengths take hours
+
+
 def test_bpe_common_words_are_short(spark, reference_encoding):
     texts = ["=" * 700 + " a", "=" * 700 + " a", "\u65e5\u672c" * 40, "\u65e5\u672c" * 40, "a" * 64 + " " + "b" * 65] * 2
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
