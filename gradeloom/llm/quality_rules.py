@@ -41,18 +41,22 @@ class Band:
     high: float
 
 
-#: Short texts compress less, as each pays for the frame and its own first words. Set from the
-#: spread of prose in several languages at each length, with room on both sides.
+#: Short texts compress less, as each pays for the frame and its own first words. Upper limits are
+#: set wide, for noise only, as no label tells it. Lower limits are those of :func:`learn_bands` on
+#: the documents of scale 0.1, rounded to three places; where it has too few of a length, they are wide too.
 DOCUMENT_BANDS = (
     Band(256, 0.45, 1.10),
-    Band(512, 0.45, 0.88),
-    Band(1024, 0.42, 0.80),
-    Band(4096, 0.38, 0.72),
-    Band(16384, 0.35, 0.66),
+    Band(512, 0.524, 0.88),
+    Band(1024, 0.487, 0.80),
+    Band(2048, 0.446, 0.72),
+    Band(4096, 0.433, 0.72),
+    Band(8192, 0.407, 0.66),
+    Band(16384, 0.396, 0.66),
+    Band(65536, 0.35, 0.62),
     Band(None, 0.30, 0.62),
 )
 #: For every chunk of a text that has one.
-CHUNK_BAND = Band(None, 0.38, 0.70)
+CHUNK_BAND = Band(None, 0.451, 0.70)
 
 
 def repeated_words(words: Sequence[bytes]) -> int:
@@ -150,23 +154,55 @@ def verdict(
     base_failed = (figure("n_words") < 50) | (100 * figure("n_repeat_words") > 50 * figure("n_words"))
     banded = (
         in_band(figure("ratio"), figure("n_bytes"), bands)
-        & (figure("chunk_low") >= chunk_band.low)
-        & ((figure("chunk_high") <= chunk_band.high) | (figure("n_bytes") < CHUNK_BYTES))
+        & (
+            (figure("n_bytes") < CHUNK_BYTES)
+            | (figure("chunk_low") >= chunk_band.low) & (figure("chunk_high") <= chunk_band.high)
+        )
     )
     return base_failed, ~base_failed & banded
 
 
-def judge(docs: DataFrame) -> DataFrame:
+def learn_bands(
+    docs: DataFrame,
+    labels: DataFrame,
+    bands: Sequence[Band] = DOCUMENT_BANDS,
+    chunk_band: Band = CHUNK_BAND,
+    share: float = 0.001,
+    room: float = 0.02,
+    fewest: int = 100,
+) -> tuple[tuple[Band, ...], Band]:
+    """``bands`` and ``chunk_band`` with lower limits from the documents labelled good.
+
+    A limit leaves out ``share`` of the good documents of its length that pass the base rules, less
+    ``room`` for texts unlike them; lengths with fewer than ``fewest`` of these keep their limit.
+    Labels are learned from training rows only: crc32(doc_id as text) mod 5 is not 0. All of these
+    count, in sketches; the driver gets one row per band. Rows without an id or label are ignored.
+    """
+    training = labels.where((F.col("quality") == 1) & (F.crc32(F.col("doc_id").cast("string")) % 5 != 0))
+    good = docs.select("doc_id", "text").join(training.select("doc_id").distinct(), "doc_id", "left_semi")
+    last = F.lit(len(bands) - 1)
+    for k, band in reversed(list(enumerate(bands[:-1]))):
+        last = F.when(F.col("n_bytes") <= band.max_bytes, k).otherwise(last)
+    chunked = F.when(F.col("n_bytes") >= CHUNK_BYTES, F.struct(F.lit(-1).alias("band"), F.col("chunk_low").alias("ratio")))
+    ratios = text_statistics(good).where(~verdict()[0]).select(F.explode(F.array(F.struct(last.alias("band"), "ratio"), chunked)).alias("r"))
+    lowest = F.percentile_approx("r.ratio", share, 10_000).alias("low")
+    rows = ratios.where("r is not null").groupBy("r.band").agg(F.count("*").alias("n"), lowest).collect()
+    found = {r["band"]: r["low"] - room for r in rows if r["n"] >= fewest}
+    limits = tuple(Band(b.max_bytes, found.get(k, b.low), b.high) for k, b in enumerate(bands))
+    return limits, Band(None, found.get(-1, chunk_band.low), chunk_band.high)
+
+
+def judge(docs: DataFrame, bands: Sequence[Band] = DOCUMENT_BANDS, chunk_band: Band = CHUNK_BAND) -> DataFrame:
     """The statistics of every document with ``base_failed`` and ``kept``.
 
     A null or empty text has no words and fails the base rules. Repeated rows are
     judged alike, ties at a limit count as inside, other columns are ignored.
     """
-    base_failed, kept = verdict()
+    base_failed, kept = verdict(bands=bands, chunk_band=chunk_band)
     return text_statistics(docs).withColumn("base_failed", base_failed).withColumn("kept", kept)
 
 
-def keep_good(docs: DataFrame) -> DataFrame:
+def keep_good(docs: DataFrame, bands: Sequence[Band] = DOCUMENT_BANDS, chunk_band: Band = CHUNK_BAND) -> DataFrame:
     """The rows of ``docs``, with all their columns, that :func:`judge` keeps."""
 
     def measure(texts: pd.Series) -> pd.DataFrame:
@@ -177,6 +213,9 @@ def keep_good(docs: DataFrame) -> DataFrame:
             rows.append((*text_counts(raw), len(raw), *text_ratios(raw, squeeze)))
         return pd.DataFrame(rows, columns=FIGURES)
 
+    name = "_figures"
+    while name in docs.columns:
+        name += "_"
     figures = F.pandas_udf(measure, STATS.partition(", ")[2])
-    kept = verdict(lambda c: F.col(f"_figures.{c}"))[1]
-    return docs.withColumn("_figures", figures("text")).where(kept).drop("_figures")
+    kept = verdict(lambda c: F.col(f"{name}.{c}"), bands, chunk_band)[1]
+    return docs.withColumn(name, figures("text")).where(kept).drop(name)

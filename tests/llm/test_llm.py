@@ -634,6 +634,52 @@ def test_written_out_addresses_are_found():
         assert private_data.all_spans(clean, field)[1] == []
 
 
+def plain_kept(text):
+    raw = (text or "").encode()
+    words = re.findall(rb"[^\x20\x09-\x0D]+", raw)
+    windows = list(zip(words, words[1:], words[2:]))
+    times = Counter(windows)
+    covered = {i + k for i, w in enumerate(windows) if times[w] > 1 for k in range(3)}
+    if len(words) < 50 or 100 * len(covered) > 50 * len(words):
+        return False
+    ratio = lambda x: len(zstandard.ZstdCompressor(level=3).compress(x)) / len(x)
+    band = next(b for b in quality_rules.DOCUMENT_BANDS if b.max_bytes is None or len(raw) <= b.max_bytes)
+    if not band.low <= ratio(raw) <= band.high:
+        return False
+    size = quality_rules.CHUNK_BYTES
+    chunks = [raw[i : i + size] for i in range(0, len(raw), size)]
+    chunks = [*chunks[:-1], raw[-size:]] if len(raw) >= size else []
+    return all(quality_rules.CHUNK_BAND.low <= ratio(c) <= quality_rules.CHUNK_BAND.high for c in chunks)
+
+
+def test_verdicts_match_a_plain_version(spark, odd, empty):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    for df in (docs, odd):
+        rows = df.select("doc_id", "text").collect()
+        expected = Counter((r["doc_id"], plain_kept(r["text"])) for r in rows)
+        assert Counter((r["doc_id"], r["kept"]) for r in quality_rules.judge(df).collect()) == expected
+        kept = Counter((r["doc_id"], r["text"]) for r in rows if plain_kept(r["text"]))
+        clashing = df.withColumn("_figures", df["doc_id"])
+        assert Counter((r["doc_id"], r["text"]) for r in quality_rules.keep_good(clashing).collect()) == kept
+        assert quality_rules.keep_good(clashing).columns == clashing.columns
+    assert quality_rules.keep_good(empty).count() == 0
+
+
+def test_bands_are_learned_from_good_training_rows(spark):
+    """The limits in use are those learned at scale 0.1; on held-out rows they spare the good and reject many of the bad."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    bands, chunk_band = quality_rules.learn_bands(docs, labels)
+    for learned, used in zip((*bands, chunk_band), (*quality_rules.DOCUMENT_BANDS, quality_rules.CHUNK_BAND)):
+        assert abs(learned.low - used.low) < 0.0011 and learned.high == used.high
+    rows = quality_rules.judge(docs).where("not base_failed and crc32(cast(doc_id as string)) % 5 = 0").join(labels, "doc_id")
+    tried = {r["quality"]: r["count"] for r in rows.groupBy("quality").count().collect()}
+    passed = {r["quality"]: r["count"] for r in rows.where("kept").groupBy("quality").count().collect()}
+    assert passed[1] >= 0.995 * tried[1] and passed.get(0, 0) <= 0.65 * tried[0]
+    none = docs.limit(0)
+    assert quality_rules.learn_bands(none, labels) == (quality_rules.DOCUMENT_BANDS, quality_rules.CHUNK_BAND)
+
+
 def test_spans_are_not_cut():
     field = private_data.trained_field()
     for span, kind in (
