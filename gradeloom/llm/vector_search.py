@@ -8,11 +8,14 @@ In a tree, a node keeps a vantage point and the median distance to it; a query g
 own side first. By the triangle inequality the other side cannot hold a nearer vector if
 the query is further from the boundary than from its worst neighbour so far. ``factor``
 divides that worst distance: 1 prunes only what is certain (exact search), more prunes
-earlier. Queries and shards meet in blocks of bounded size; their best lists are merged.
+earlier. A tree is built once for a lane of queries, which pass it in blocks of bounded size;
+lanes bound the work of a task. The best lists of the shards are merged.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -24,6 +27,10 @@ K = 20
 FACTOR = 1.0
 SHARD_ROWS = 8192
 QUERY_ROWS = 2048
+#: Query blocks that pass one tree in one task. Candidates are copied once for so many blocks.
+LANE_BLOCKS = 64
+#: Most tasks the shards are dealt to; a task may hold many shards, one after another.
+MOST_TASKS = 20_000
 LEAF_ROWS = 128
 #: Allowance for rounding in distances, on the side of searching more.
 SLACK = 1e-6
@@ -103,24 +110,55 @@ class Search:
             self.found[some] = np.take_along_axis(names, order, 1)
 
 
-def search_block(vectors: pa.Table, queries: pa.Table, largest: float, k: int, factor: float) -> pa.Table:
-    """The best ``k`` in one shard for one block of queries."""
-    if not vectors.num_rows or not queries.num_rows:
-        return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
+def matrix(vectors: pa.Array) -> np.ndarray:
+    return vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), -1).astype(float)
 
-    def matrix(t: pa.Table) -> np.ndarray:
-        flat = t.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False)
-        return flat.reshape(t.num_rows, -1).astype(float)
 
-    points, asked = matrix(vectors), matrix(queries)
-    ids, query_ids = vectors.column("vec_id").to_numpy(), queries.column("vec_id").to_numpy()
+def plant(ids: np.ndarray, points: np.ndarray, largest: float) -> VantageTree:
+    """The tree of one shard, over its vectors completed to length one."""
     scaled = points / largest
     rest = np.sqrt(np.maximum(1 - (scaled * scaled).sum(axis=1), 0))
-    tree = VantageTree(np.hstack([scaled, rest[:, None]]))
+    return VantageTree(np.hstack([scaled, rest[:, None]]))
+
+
+def search_shards(batches: Iterator[pa.RecordBatch], largest: float, k: int, factor: float, query_rows: int) -> Iterator[pa.RecordBatch]:
+    """The best ``k`` in each shard for each query; rows come by shard and lane, candidates before queries.
+
+    The tree is built when the first query comes; queries pass it ``query_rows`` at a time. Memory holds one
+    shard and one batch.
+    """
+    shard, gathered, planted = None, [], None
+    for batch in batches:
+        keys = np.stack([batch.column(name).to_numpy() for name in ("size", "shard", "lane", "asks")], axis=1)
+        starts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+        for begin, end in zip([0, *starts], [*starts, len(keys)]):
+            if begin == end:
+                continue
+            *key, asks = keys[begin]
+            if shard != key:
+                shard, gathered, planted = key, [], None
+            part = batch.slice(begin, end - begin)
+            ids, points = part.column("vec_id").to_numpy(), matrix(part.column("vector"))
+            if not asks:
+                gathered.append((ids, points))
+                continue
+            if not gathered and planted is None:
+                continue  # a shard without candidates
+            if planted is None:
+                every_id, every = np.concatenate([g[0] for g in gathered]), np.concatenate([g[1] for g in gathered])
+                planted, gathered = (plant(every_id, every, largest), every_id, every), []
+            for at in range(0, len(ids), query_rows):
+                yield search_block(*planted, points[at : at + query_rows], ids[at : at + query_rows], largest, k, factor)
+
+
+def search_block(
+    tree: VantageTree, ids: np.ndarray, points: np.ndarray, asked: np.ndarray, query_ids: np.ndarray, largest: float, k: int, factor: float
+) -> pa.RecordBatch:
+    """The best ``k`` in one shard for one block of queries."""
     search = Search(tree, ids, points, asked, query_ids, largest, k, factor)
     search.visit(tree.root, np.arange(len(asked)))
     kept = np.isfinite(search.scores)
-    return pa.table(
+    return pa.RecordBatch.from_pydict(
         {
             "query_id": pa.array(np.repeat(query_ids, kept.sum(axis=1))),
             "vec_id": pa.array(search.found[kept]),
@@ -164,20 +202,21 @@ def nearest(
     n, queries_n, largest = vectors.agg(
         F.count("*"), F.count(F.when(F.col("vec_id") % query_every == 0, 1)), F.max(F.sqrt(square))
     ).first()
-    shards, blocks = -(-n // shard_rows) or 1, -(-queries_n // query_rows) or 1
+    shards, lanes = -(-n // shard_rows) or 1, -(-queries_n // (query_rows * LANE_BLOCKS)) or 1
     largest = float(largest or 1.0) * (1 + 1e-12)
 
+    # candidates go to their shard once a lane, queries to every shard; in a shard and lane candidates come first
     every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
     dealt = lambda count, seed: F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(count)).cast("int")
-    candidates = vectors.select("size", dealt(shards, 1).alias("shard"), every(blocks).alias("block"), "vec_id", "vector")
+    candidates = vectors.select("size", dealt(shards, 1).alias("shard"), every(lanes).alias("lane"), F.lit(0).alias("asks"), "vec_id", "vector")
     asked = vectors.where(F.col("vec_id") % query_every == 0).select(
-        "size", every(shards).alias("shard"), dealt(blocks, 2).alias("block"), "vec_id", "vector"
+        "size", every(shards).alias("shard"), dealt(lanes, 2).alias("lane"), F.lit(1).alias("asks"), "vec_id", "vector"
     )
-    keys = ["size", "shard", "block"]
-    found = (
-        candidates.groupBy(*keys)
-        .cogroup(asked.groupBy(*keys))
-        .applyInArrow(lambda left, right: search_block(left, right, largest, k, factor), FOUND)
+    keys = ["size", "shard", "lane"]
+    # more tasks than shards, so that few shards share one by chance
+    spread = candidates.unionAll(asked).repartition(min(4 * shards * lanes, MOST_TASKS), *keys)
+    found = spread.sortWithinPartitions(*keys, "asks").mapInArrow(
+        lambda batches: search_shards(batches, largest, k, factor, query_rows), FOUND
     )
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (

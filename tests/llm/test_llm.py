@@ -185,6 +185,16 @@ def test_factor_one_is_exact(spark):
     assert np.mean([len(set(relaxed[q]) & set(v)) / len(v) for q, v in expected.items()]) > 0.5
 
 
+def test_lanes_of_queries_lose_nothing(spark, monkeypatch):
+    monkeypatch.setattr(vector_search, "LANE_BLOCKS", 2)
+    monkeypatch.setattr(vector_search, "MOST_TASKS", 5)
+    rng = np.random.default_rng(6)
+    rows = [(i, [float(np.float32(x)) for x in rng.normal(size=4 + 2 * (i % 3 == 0))]) for i in range(900)]
+    df = spark.createDataFrame([(i, v, "x", 1, 2, 3) for i, v in rows], "vec_id long, embedding array<float>, size string, shard int, lane int, asks int")
+    expected = {q: v for q, v in brute_nearest(rows, 5, 20).items() if v}
+    assert found_lists(vector_search.nearest(df, query_every=5, shard_rows=100, query_rows=16)) == expected
+
+
 def test_recall_on_the_table(spark, sf_dir):
     rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()]
     got, expected = found_lists(QUERIES["op4_nearest_neighbours"](spark, sf_dir)), brute_nearest(rows, 20, 20)
