@@ -224,6 +224,29 @@ def test_bertscore_with_many_vectors(spark):
     assert found == pytest.approx([0.0, 1.0, 1.0])
 
 
+def _shuffled_bytes(plan):
+    """Bytes that the exchanges of a finished plan were given."""
+    kind = plan.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return _shuffled_bytes(plan.executedPlan())
+    if kind.endswith("QueryStageExec"):
+        return _shuffled_bytes(plan.plan())
+    own = plan.metrics().apply("dataSize").value() if kind == "ShuffleExchangeExec" else 0
+    return own + sum(_shuffled_bytes(plan.children().apply(k)) for k in range(plan.children().size()))
+
+
+def test_a_vector_moves_once_a_block_however_many_tokens_share_it(spark):
+    words = [f"t{i}" for i in range(2000)]
+    table = spark.createDataFrame([(w, [1.0] * 500) for w in words], "token STRING, vec ARRAY<FLOAT>")
+    pairs = spark.createDataFrame([("m", i, " ".join(words), " ".join(words)) for i in range(40)], "model STRING, id BIGINT, prediction STRING, reference STRING")
+    made = matching.match_tokens(pairs, table)
+    assert [r.bertscore_f1 for r in made.collect()] == pytest.approx([1.0] * 40)
+    # 2,000 tokens of 2 KB each in one block or more
+    assert _shuffled_bytes(made._jdf.queryExecution().executedPlan()) < 10_000_000
+    scores = matching.match_tokens(pairs, table, kept=("model", "id"))
+    assert scores.columns == [c for c in made.columns if c not in ("prediction", "reference")] and scores.count() == 40
+
+
 def test_vectors_in_blocks(monkeypatch):
     import numpy as np
 
