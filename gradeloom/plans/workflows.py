@@ -65,7 +65,8 @@ def rescore(
     """
     scored = quality.score_pairs(samples, metrics, **options)
     if vectors is not None:
-        scored = matching.match_tokens(scored, vectors)
+        kept = [c for c in scored.columns if c not in ("prediction", "reference")]
+        scored = matching.match_tokens(scored, vectors, kept=kept)
     return versions.upsert_version(scored.drop("prediction", "reference"), root, ("model", "id"))
 
 
