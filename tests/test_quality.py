@@ -224,6 +224,25 @@ def test_bertscore_with_many_vectors(spark):
     assert found == pytest.approx([0.0, 1.0, 1.0])
 
 
+def test_a_large_batch_is_split_in_slices():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from gradeloom.functions.overlap import Count, overlap_counts
+    from gradeloom.functions.text import BY_WHITESPACE
+
+    texts = pa.array([" ".join(f"w{i % 997}" for i in range(k, k + 400)) for k in range(6000)])
+    count = Count(BY_WHITESPACE, 2)
+    tracemalloc.start()
+    found = overlap_counts(texts, texts, count)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found.field("m2").to_pylist() == [399] * 6000
+    # of 22 MB of text on either side
+    assert peak < 90_000_000
+
+
 def _shuffled_bytes(plan):
     """Bytes that the exchanges of a finished plan were given."""
     kind = plan.getClass().getSimpleName()
