@@ -451,11 +451,16 @@ def saved_eval_set(spark, sf_dir):
     return readers.read_eval_set(spark, path)
 
 
+# Text bytes of one of the files of an evaluation set.
+EVAL_FILE_BYTES = 32 << 20
+
+
 def _eval_files(spark, sf_dir):
-    """Evaluation rows without an id, as JSON lines over several files, in the order of their ids."""
+    """Evaluation rows without an id, as JSON lines over as many files as their size asks for, in the order of their ids."""
     path = shared_folder(spark, "eval-set")
     rows = templates.evaluation_rows(tables.instructions(spark, sf_dir))
-    ordered = rows.repartitionByRange(4, "id").sortWithinPartitions("id")
+    total = tables.table(spark, sf_dir, "documents").agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    ordered = rows.repartitionByRange(max(4, -(-total // EVAL_FILE_BYTES)), "id").sortWithinPartitions("id")
     writers.save_eval_set(ordered.select(*[c for c in rows.columns if c != "id"]), path)
     return path
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from gradeloom.functions import templates, text
 from gradeloom.operators import profile, splits, tokens
 from gradeloom.operators.prefix import global_rank, rank_within, running
+from gradeloom.sources import readers
 
 INSTRUCT = "id BIGINT, instruction STRING, context STRING, response STRING, category STRING"
 
@@ -189,3 +190,17 @@ def test_padding(spark):
         longest = max(x.num_tokens for x in rows if x.batch_id == r.batch_id)
         assert r.padded_length == -(-longest // 8) * 8 == len(r.input_ids) == len(r.labels) == len(r.attention_mask)
         assert sum(r.attention_mask) == r.num_tokens and r.labels.count(-100) == r.padded_length - r.num_tokens
+
+
+def test_evaluation_files_grow_in_number_with_the_texts(spark, sf_dir, monkeypatch):
+    from gradeloom.plans import preparing
+
+    few = spark.read.text(preparing._eval_files(spark, sf_dir))
+    monkeypatch.setattr(preparing, "EVAL_FILE_BYTES", 20_000)
+    path = preparing._eval_files(spark, sf_dir)
+    many = spark.read.text(path)
+    assert len(many.inputFiles()) > 8 >= len(few.inputFiles())
+    assert sorted(r.value for r in many.collect()) == sorted(r.value for r in few.collect())
+    assert [(r.id, r.prompt) for r in readers.read_eval_set(spark, path).orderBy("id").collect()] == [
+        (r.id, r.prompt) for r in preparing.eval_set_without_id(spark, sf_dir).orderBy("id").collect()
+    ]
