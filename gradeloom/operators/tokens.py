@@ -122,7 +122,7 @@ def encode(
     tokens) goes to every worker and is looked up per Arrow batch; a larger one is joined
     per block of texts, with the same result.
     """
-    entries = _entries(vocabulary)
+    entries = written(_entries(vocabulary), "vocabulary")  # read for its size and for its rows
     size = entries.agg(F.coalesce(F.sum(F.octet_length("token") + 8), F.lit(0))).first()[0]
     if size <= max_vocabulary_bytes:
         encoded = _encode_shipped(df, entries, text, tokenizer_named(tokenizer))

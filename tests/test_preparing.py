@@ -192,6 +192,20 @@ def test_padding(spark):
         assert sum(r.attention_mask) == r.num_tokens and r.labels.count(-100) == r.padded_length - r.num_tokens
 
 
+def test_a_vocabulary_is_counted_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def passing(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    vocabulary = spark.createDataFrame([("a", 3), ("b", 4)], "token STRING, token_id INT").mapInArrow(passing, "token STRING, token_id INT")
+    df = spark.createDataFrame([(1, "b a x")], "id BIGINT, text STRING")
+    assert tokens.encode(df, vocabulary).first().input_ids == [1, 4, 3, 0]
+    assert seen.value == 2
+
+
 def test_evaluation_files_grow_in_number_with_the_texts(spark, sf_dir, monkeypatch):
     from gradeloom.plans import preparing
 
