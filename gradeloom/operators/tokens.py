@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gradeloom.functions.overlap import split_tokens
+from gradeloom.functions.overlap import encoded_tokens, one_dictionary
 from gradeloom.functions.text import Splitter, Tokenizer, tokenize, tokenizer_named, words
 from gradeloom.operators.prefix import global_rank
 from gradeloom.session import written
@@ -55,13 +55,12 @@ class _LookUp:
         self.splitter, self.names, self.ids = splitter, names, np.append(ids, UNK).astype(np.int32)
 
     def __call__(self, texts: pa.Array) -> pa.Array:
-        tokens, lengths = split_tokens(texts, self.splitter)
-        encoded = tokens.dictionary_encode()
-        known = pc.fill_null(pc.index_in(encoded.dictionary, value_set=self.names), len(self.names))
+        encoded, lengths = encoded_tokens(texts, self.splitter)
+        codes, words = one_dictionary(encoded)
+        known = pc.fill_null(pc.index_in(words, value_set=self.names), len(self.names))
         per_token = self.ids[known.to_numpy(zero_copy_only=False)]
         # every text starts with the start id
         starts = np.concatenate([[0], np.cumsum(lengths)])
-        codes = encoded.indices.to_numpy(zero_copy_only=False)
         values = np.insert(per_token[codes], starts[:-1], BOS)
         offsets = pa.array((starts + np.arange(len(starts))).astype(np.int32))
         return pa.ListArray.from_arrays(offsets, pa.array(values, pa.int32()))

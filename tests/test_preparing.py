@@ -206,6 +206,24 @@ def test_a_vocabulary_is_counted_once(spark):
     assert seen.value == 2
 
 
+def test_a_large_batch_is_looked_up_in_slices():
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+    from gradeloom.functions.text import BY_WHITESPACE
+
+    texts = pa.array([" ".join(f"word{i % 997}" for i in range(k, k + 400)) for k in range(8000)])
+    look_up = tokens._LookUp(BY_WHITESPACE, pa.array(["word5"], pa.large_string()), np.array([7]))
+    tracemalloc.start()
+    found = look_up(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == 8000 and found[0].as_py() == [1] + [7 if i == 5 else 0 for i in range(400)]
+    # of 25 MB of text
+    assert peak < 100_000_000
+
+
 def test_evaluation_files_grow_in_number_with_the_texts(spark, sf_dir, monkeypatch):
     from gradeloom.plans import preparing
 
