@@ -224,6 +224,18 @@ def test_bertscore_with_many_vectors(spark):
     assert found == pytest.approx([0.0, 1.0, 1.0])
 
 
+def test_references_are_prepared_once(spark):
+    texts = ["I cannot go, he said.", "Gonna be 3,5 (or \"4\")...", "", None, "gimme it; lemme see."]
+    references = spark.createDataFrame(list(enumerate(texts)), "id BIGINT, response STRING")
+    predictions = references.selectExpr("'m' AS model", "id", "concat('so ', coalesce(response, 'x')) AS prediction")
+    plain = quality.score_pairs(quality.pair_predictions(predictions, references), ["bleu"], tokenizer="treebank")
+    ready = quality.score_pairs(quality.pair_predictions(predictions, references, "treebank"), ["bleu"], tokenizer="treebank")
+    assert ready.columns == plain.columns and sorted(ready.collect()) == sorted(plain.collect())
+    plan = ready._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("Join Inner", 1)
+    assert "response" not in above and below.count("gim|lem") > 0
+
+
 def test_a_large_batch_is_split_in_slices():
     import tracemalloc
 
