@@ -255,6 +255,26 @@ def test_a_large_batch_is_split_in_slices():
     assert peak < 90_000_000
 
 
+def test_what_is_held_does_not_grow_with_the_batch():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from gradeloom.functions.overlap import Count, overlap_counts
+
+    def peak(rows):
+        texts = pa.array([" ".join(f"w{(k * 400 + i) % 60013}" for i in range(400)) for k in range(rows)])
+        tracemalloc.start()
+        found = overlap_counts(texts, texts, Count(BY_WHITESPACE, 2))
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert found.field("m2").to_pylist() == [399] * rows
+        return most
+
+    # 8 and 32 MB of text on either side
+    assert peak(16000) < peak(4000) + 8_000_000
+
+
 def _shuffled_bytes(plan):
     """Bytes that the exchanges of a finished plan were given."""
     kind = plan.getClass().getSimpleName()
