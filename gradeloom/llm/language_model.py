@@ -1,8 +1,9 @@
 """Scores of whole documents by a recurrent language model that all training documents teach.
 
 Words of a block are numbered within it; how often training documents hold them is added up
-by Spark and brought back to the blocks. The most frequent words are ids of the model, all
-others are one id, and the unigram counts of the whole corpus tell these apart.
+by Spark and brought back to the blocks. The most frequent words are ids of the model. All
+others share a number of further ids by a hash, so the network learns from every word and
+predicts the id of every word; the unigram counts of the whole corpus tell words of an id apart.
 
 Training goes over all training documents in rounds. In a round every task learns from its
 own documents, starting from the same parameters; the changes are averaged by Spark, weighted
@@ -26,8 +27,9 @@ from gradeloom.llm import recurrent
 from gradeloom.llm.blocks import BLOCK_BYTES, BLOCK_ROWS, block_ids, parts
 from gradeloom.llm.common import slices, written
 
-#: Words that are ids of the model.
-MODEL_WORDS = 1022
+#: Words that are ids of the model, and ids that the others share. With the end fewer than 1 << 15.
+MODEL_WORDS = 2047
+OTHER_IDS = 1024
 ROUNDS = 4
 #: Tokens that are strung on lanes at once.
 CHUNK_TOKENS = 1 << 21
@@ -47,32 +49,38 @@ def held_out(doc_id: int | None) -> bool:
 
 @dataclass
 class Counts:
-    """Training totals: tokens and distinct tokens with the ends, documents, and of the words outside the model."""
+    """Training totals: tokens and distinct tokens with the ends, documents, and of the words outside the model by shared id."""
 
     tokens: int
     distinct: int
     docs: int
-    rest_tokens: int
-    rest_distinct: int
+    rest_tokens: np.ndarray
+    rest_distinct: np.ndarray
 
     def base(self, c: np.ndarray) -> np.ndarray:
         return np.log10((c + 0.5) / (self.tokens + 0.5 * (self.distinct + 1)))
 
-    def rest(self, c: np.ndarray) -> np.ndarray:
-        """Of a word outside the model, given that it is one; all unseen words share one place."""
-        return np.log10((c + 0.5) / (self.rest_tokens + 0.5 * (self.rest_distinct + 1)))
+    def rest(self, c: np.ndarray, shared: np.ndarray) -> np.ndarray:
+        """Of a word outside the model, given its shared id; all unseen words of an id share one place."""
+        return np.log10((c + 0.5) / (self.rest_tokens[shared] + 0.5 * (self.rest_distinct[shared] + 1)))
 
 
 @dataclass
 class Model:
-    """Ids of words, the id of all other words, and the network; id 0 ends a document."""
+    """Ids of words, the ids that all other words share, and the network; id 0 ends a document."""
 
     counts: Counts
     ids: dict[str, int]
-    other: int
+    others: np.ndarray
     shape: recurrent.Shape
     parameters: recurrent.Parameters
 
+    @property
+    def other(self) -> int:
+        """The id of all other words where they share one."""
+        (one,) = self.others.tolist()
+        return one
+
 
 def numbered(docs: DataFrame, held: Held = held_out, rows: int = BLOCK_ROWS, size: int = BLOCK_BYTES) -> DataFrame:
     """Documents as numbers of their block's words, and per block its words with their training counts."""
@@ -111,7 +119,7 @@ def numbered(docs: DataFrame, held: Held = held_out, rows: int = BLOCK_ROWS, siz
     return written(docs.select("doc_id", "text").mapInArrow(number, BLOCKS), "lm-blocks")
 
 
-def resolved(blocks: DataFrame, model_words: int, rounds: int) -> tuple[DataFrame, Model]:
+def resolved(blocks: DataFrame, model_words: int, rounds: int, other_ids: int = 1) -> tuple[DataFrame, Model]:
     """Documents as ids of a new, untrained model, with all that corpus counts say of them."""
     spark = blocks.sparkSession
     vocabulary = blocks.where(F.col("words").isNotNull())
@@ -123,27 +131,36 @@ def resolved(blocks: DataFrame, model_words: int, rounds: int) -> tuple[DataFram
     words = words or 0
     # bounded: at most model_words rows
     top = counts.where("count > 0").orderBy(F.desc("count"), "word").limit(model_words).collect()
-    inside = sum(r["count"] for r in top)
-    totals = Counts(words + docs, distinct + (docs > 0), docs, words - inside, distinct - len(top))
-
-    by_count = sorted([(-totals.rest_tokens, ""), *((-r["count"], r["word"]) for r in top)])
-    ids = {word: k for k, (_, word) in enumerate(by_count, 1)}
-    other = ids.pop("")
-    masses = np.array([docs, *(-n for n, _ in by_count)], float) + 0.5
+    # bounded: at most other_ids rows
+    shared = (F.crc32(F.col("word").cast("binary")) % other_ids).cast("int")
+    rest = np.zeros((other_ids, 2), np.int64)
+    for k, n, seen in counts.groupBy(shared).agg(F.sum("count"), F.count_if(F.col("count") > 0)).collect():
+        rest[k] = n, seen
+    for r in top:
+        rest[zlib.crc32(r["word"].encode()) % other_ids] -= (r["count"], 1)
+    totals = Counts(words + docs, distinct + (docs > 0), docs, rest[:, 0], rest[:, 1])
+
+    by_count = sorted([*((-n, "", k) for k, n in enumerate(rest[:, 0].tolist())), *((-r["count"], r["word"], -1) for r in top)])
+    ids = {word: i for i, (_, word, k) in enumerate(by_count, 1) if k < 0}
+    others = np.array([i for _, i in sorted((k, i) for i, (_, _, k) in enumerate(by_count, 1) if k >= 0)], np.int16)
+    masses = np.array([docs, *(-n for n, _, _ in by_count)], float) + 0.5
     shape = recurrent.Shape(recurrent.class_edges(masses))
-    model = Model(totals, ids, other, shape, recurrent.start(shape, masses))
+    model = Model(totals, ids, others, shape, recurrent.start(shape, masses))
 
     known = spark.createDataFrame([(w, k) for w, k in ids.items()], "word string, id int")
     found = own.drop("n").join(counts, "word").join(known, "word", "left")
-    found = found.select(F.col("block").alias("home"), "ref", "count", "id")
+    # words outside the model: their shared id from behind, from -1
+    found = found.select(F.col("block").alias("home"), "ref", "count", F.coalesce("id", -1 - shared).alias("id"))
     names = [f.split(" ")[0] for f in CODED.split(", ")]
 
     def code(own: pa.Table, back: pa.Table) -> pa.Table:
         ref = back.column("ref").to_numpy()
-        count, of = np.zeros(len(ref), np.int64), np.full(len(ref), other, np.int16)
-        count[ref] = back.column("count").to_numpy()
-        of[ref] = pc.fill_null(back.column("id"), other).to_numpy()
-        base, rest = totals.base(count), np.where(of == other, totals.rest(count), 0.0)
+        count, of = np.zeros(len(ref), np.int64), np.zeros(len(ref), np.int64)
+        count[ref], of[ref] = back.column("count").to_numpy(), back.column("id").to_numpy()
+        outside, base, rest = of < 0, totals.base(count), np.zeros(len(ref))
+        shared = -1 - of[outside]
+        rest[outside] = totals.rest(count[outside], shared)
+        of[outside] = others[shared]
         refs = own.column("refs").combine_chunks()
         flat = pc.list_flatten(refs).to_numpy()
         n = pc.list_value_length(refs).to_numpy().astype(np.int64)
@@ -208,7 +225,7 @@ def trained(coded: DataFrame, model: Model, rounds: int = ROUNDS, chunk: int = C
         if weight:
             now[place[place >= 0]] += change[place >= 0] / weight
         sent.unpersist()
-    return Model(model.counts, model.ids, model.other, shape, recurrent.unflat(now, shape))
+    return Model(model.counts, model.ids, model.others, shape, recurrent.unflat(now, shape))
 
 
 def scored(coded: DataFrame, model: Model, chunk: int = CHUNK_TOKENS) -> DataFrame:
@@ -230,12 +247,14 @@ def scored(coded: DataFrame, model: Model, chunk: int = CHUNK_TOKENS) -> DataFra
     )
 
 
-def score_documents(docs: DataFrame, model_words: int = MODEL_WORDS, rounds: int = ROUNDS, held: Held = held_out) -> DataFrame:
+def score_documents(
+    docs: DataFrame, model_words: int = MODEL_WORDS, rounds: int = ROUNDS, held: Held = held_out, other_ids: int = OTHER_IDS
+) -> DataFrame:
     """Per row of ``docs`` (``doc_id, text``) its scores, see ``RESULT``; learnt from the rows that are not held out.
 
     Null and empty texts hold the end alone. Repeated rows count and are scored each; a row
     without an id is learnt from. Without training documents all counts are 0 and the model is
     the untrained one. An empty table gives an empty result; other columns are ignored.
     """
-    coded, model = resolved(numbered(docs, held), model_words, rounds)
+    coded, model = resolved(numbered(docs, held), model_words, rounds, other_ids)
     return scored(coded, trained(coded, model, rounds))

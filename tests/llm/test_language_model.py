@@ -157,6 +157,38 @@ def test_score_is_the_network_and_the_rest(spark):
         SHAPE = kept
 
 
+def test_every_word_reaches_the_network(spark):
+    rng = random.Random(5)
+    docs = [(i, " ".join(f"w{int(rng.paretovariate(0.6)) % 400}" for _ in range(rng.randrange(40)))) for i in range(80)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    words = language_model.numbered(frame, rows=13)
+    coded, model = language_model.resolved(words, 6, 2, 8)
+    c = Counter(w for i, t in docs if not language_model.held_out(i) for w in t.split())
+    shared = lambda w: zlib.crc32(w.encode()) % 8
+    assert len({*model.ids.values(), *model.others.tolist()}) == 6 + 8 and model.shape.n_ids == 6 + 8 + 1
+    tokens, distinct = Counter(), Counter()
+    for w, n in c.items():
+        if w not in model.ids:
+            tokens[shared(w)] += n
+            distinct[shared(w)] += 1
+    rows = {r["doc_id"]: r for r in coded.collect()}
+    for i, t in docs:
+        assert list(rows[i]["codes"]) == [model.ids.get(w, model.others[shared(w)]) for w in t.split()]
+        rest = [(c[w] + 0.5) / (tokens[shared(w)] + 0.5 * (distinct[shared(w)] + 1)) for w in t.split() if w not in model.ids]
+        assert rows[i]["rest_score"] == pytest.approx(sum(map(math.log10, rest)))
+    # the order of words that are no ids of their own is learnt as well
+    follows = {f"w{k}": f"w{(7 * k + 3) % 40}" for k in range(40)}
+    made = []
+    for i in range(3000):
+        text = [f"w{rng.randrange(40)}"]
+        while len(text) < 40:
+            text.append(follows[text[-1]])
+        made.append((i, " ".join(text)))
+    made = spark.createDataFrame(made, "doc_id long, text string").repartition(2)
+    held = language_model.score_documents(made, model_words=1).where("held_out").selectExpr("sum(score) s", "sum(base_score) b").first()
+    assert held["s"] > 0.9 * held["b"]
+
+
 def test_odd_rows(spark):
     long = " ".join(f"w{i % 977}x{i % 31}" for i in range(30_000))
     docs = [(1, None), (2, ""), (3, "a"), (4, long), (5, "B b"), (5, "B b"), (None, "no id"), (7, "\n \t "), (8, "x" * 20_000), (9, "ünï 日本 👩")]
