@@ -275,6 +275,23 @@ def test_what_is_held_does_not_grow_with_the_batch():
     assert peak(16000) < peak(4000) + 8_000_000
 
 
+def test_a_reference_of_several_predictions_is_split_once(monkeypatch):
+    import pyarrow as pa
+
+    from gradeloom.functions import overlap
+
+    refs = ["a b c d", None, "", "b c a " * 50, "a b c d", "e"] * 3
+    preds = ["a b", "a", "b", "c a b " * 40, None, ""] + ["d c b a", "", None, "a b c", "a b c d", "e e"] + refs[:6]
+    split, seen = overlap.split_tokens, []
+    monkeypatch.setattr(overlap, "split_tokens", lambda texts, by: seen.extend(texts.to_pylist()) or split(texts, by))
+    got = overlap.overlap_counts(pa.array(preds), pa.array(refs), overlap.Count(BY_WHITESPACE, 2, lcs=True)).to_pylist()
+    assert len(seen) == len(preds) + 4
+    for p, r, row in zip(preds, refs, got):
+        p, r = (p or "").split(), (r or "").split()
+        assert (row["pred_len"], row["ref_len"], row["lcs"]) == (len(p), len(r), brute.lcs(p, r))
+        assert [row["m1"], row["m2"]] == [(brute.grams(p, n) & brute.grams(r, n)).total() for n in (1, 2)]
+
+
 def _shuffled_bytes(plan):
     """Bytes that the exchanges of a finished plan were given."""
     kind = plan.getClass().getSimpleName()
