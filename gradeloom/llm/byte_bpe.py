@@ -8,27 +8,36 @@ replaces that pair throughout; it ends when no pair is in the map.
 
 The rank map is a literal: an array of buckets by checksum, each a string of entries
 ``mark, left, right, merged``. Words are counted over the whole corpus; the most frequent
-distinct ones are encoded once and become a second literal of the same form, with a
-documented number of entries. It only saves work: other words are folded where they stand,
-with the same result. Nothing but word counts is shuffled.
+distinct ones are encoded once by that expression and sent to the tasks, with a documented
+number of entries. Spark splits all texts; a task takes the distinct words of a piece of its
+texts, looks up the common ones, and folds the bytes of the others all at once, by the same
+merges over arrays of ids. Nothing but word counts is shuffled.
 """
 
 from __future__ import annotations
 
 import base64
 import zlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from gradeloom.llm.blocks import ranges
 from gradeloom.llm.common import written
 
 #: Distinct words that are encoded ahead of the corpus.
 COMMON_WORDS = 1 << 18
 #: Most bytes of such a word; longer ones are folded where they stand.
 COMMON_BYTES = 64
+#: Words of a piece of texts; a longer text is a piece of its own.
+PIECE_WORDS = 1 << 21
 PAIR_BUCKETS = 1 << 14
 #: Noncharacters that part the entries of a bucket.
 MARK, MIDDLE, CUT = "\uffff", "\ufffe", "\ufdd0"
@@ -36,6 +45,8 @@ MARK, MIDDLE, CUT = "\uffff", "\ufffe", "\ufdd0"
 MOST_RANKS = 0xD7FF
 #: Stands for rank 0, as translate() takes the zero character for a deletion.
 ZERO = "\ud7ff"
+#: Above all ranks: a pair that is no token.
+NONE = 1 << 30
 
 
 @lru_cache(maxsize=2)
@@ -73,20 +84,151 @@ def bucket_of(key: Column, buckets: int) -> Column:
     return (F.crc32(key.cast("binary")) % buckets + 1).cast("int")
 
 
-@lru_cache(maxsize=2)
-def _pair_text(path: str) -> tuple[str, ...]:
-    """Entries of every pair of tokens whose bytes together are a token, by bucket."""
-    ranks = load_ranks(path)
-    buckets = [""] * PAIR_BUCKETS
+def _pairs(ranks: dict[bytes, int]) -> Iterator[tuple[int, int, int]]:
+    """Every pair of tokens whose bytes together are a token, and that token."""
     for token, rank in ranks.items():
         for cut in range(1, len(token)):
             left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
             if left is not None and right is not None:
-                pair = token_char(left) + token_char(right)
-                buckets[zlib.crc32(pair.encode()) % PAIR_BUCKETS] += MARK + pair + token_char(rank)
+                yield left, right, rank
+
+
+@lru_cache(maxsize=2)
+def _pair_text(path: str) -> tuple[str, ...]:
+    """Entries of every pair of tokens whose bytes together are a token, by bucket."""
+    buckets = [""] * PAIR_BUCKETS
+    for left, right, rank in _pairs(load_ranks(path)):
+        pair = token_char(left) + token_char(right)
+        buckets[zlib.crc32(pair.encode()) % PAIR_BUCKETS] += MARK + pair + token_char(rank)
     return tuple(3 * MARK + b for b in buckets)
 
 
+@dataclass
+class Ranks:
+    """The rank map as arrays: the rank of each byte, pairs of ranks in order with what they merge into, bytes by rank."""
+
+    bytes: np.ndarray
+    pairs: np.ndarray
+    merged: np.ndarray
+    pieces: pa.Array
+
+    @classmethod
+    def of(cls, ranks: dict[bytes, int]) -> Ranks:
+        # the last entry is above all pairs
+        rows = sorted((left << 32 | right, rank) for left, right, rank in _pairs(ranks)) + [(1 << 62, NONE)]
+        pieces = [b""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            pieces[rank] = token
+        pairs, merged = (np.array(column, np.int64) for column in zip(*rows))
+        return cls(np.array([ranks[bytes([b])] for b in range(256)]), pairs, merged, pa.array(pieces, pa.binary()))
+
+    def merge(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """What pairs of tokens merge into; ``NONE`` where they do not."""
+        pair = left << 32 | right
+        at = np.searchsorted(self.pairs, pair)
+        return np.where(self.pairs[at] == pair, self.merged[at], NONE)
+
+    def fold(self, data: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens of words, one after the other, and how many each has; ``data`` are the words' bytes.
+
+        Each step merges the pair of smallest rank of every word, wherever it stands in the word; words
+        without a pair are put aside. ``ranks`` holds what a token and the next one merge into.
+        """
+        tokens, word = self.bytes[data], np.repeat(np.arange(len(sizes)), sizes)
+
+        def ranked(at: np.ndarray) -> np.ndarray:
+            found = np.full(len(at), NONE, np.int64)
+            inside = np.flatnonzero(at + 1 < len(word))
+            inside = inside[word[at[inside]] == word[at[inside] + 1]]
+            found[inside] = self.merge(tokens[at[inside]], tokens[at[inside] + 1])
+            return found
+
+        ranks = ranked(np.arange(len(word)))
+        done = []
+        while len(word):
+            begins = np.flatnonzero(np.diff(word, prepend=-1))
+            each = np.diff(begins, append=len(word))
+            best = np.repeat(np.minimum.reduceat(ranks, begins), each)
+            ended = best == NONE
+            if ended.any():
+                done.append((word[ended], tokens[ended]))
+                word, tokens, ranks, best = (v[~ended] for v in (word, tokens, ranks, best))
+            at = np.flatnonzero(ranks == best)
+            # of pairs that share a token, from the left every other one
+            n = np.arange(len(at))
+            run = np.maximum.accumulate(np.where(np.diff(at, prepend=-2) != 1, n, 0))
+            at = at[(n - run) % 2 == 0]
+            tokens[at] = ranks[at]
+            keep = np.ones(len(word), bool)
+            keep[at + 1] = False
+            word, tokens, ranks = word[keep], tokens[keep], ranks[keep]
+            at -= np.arange(len(at))
+            changed = np.concatenate([at, at[at > 0] - 1])
+            ranks[changed] = ranked(changed)
+        if not done:
+            return np.zeros(0, np.int64), np.zeros(len(sizes), np.int64)
+        word, tokens = (np.concatenate(v) for v in zip(*done))
+        return tokens[np.argsort(word, kind="stable")], np.bincount(word, minlength=len(sizes))
+
+
+@dataclass
+class Coder:
+    """The tokens of words: those of common words are known, other words are folded."""
+
+    ranks: Ranks
+    words: pa.Array
+    tokens: np.ndarray
+    sizes: np.ndarray
+
+    @classmethod
+    def of(cls, ranks: Ranks, entries: list[str]) -> Coder:
+        words, coded = zip(*(entry.split(MIDDLE) for entry in entries)) if entries else ((), ())
+        sizes = np.array([len(tokens) for tokens in coded], np.int64)
+        tokens = np.frombuffer("".join(coded).encode("utf-32-le"), "<u4").astype(np.int64)
+        tokens[tokens == ord(ZERO)] = 0
+        return cls(ranks, pa.array(words, pa.string()), tokens, sizes)
+
+    def encode(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens of all words, one after the other, and how many each has."""
+        coded = words.dictionary_encode()
+        distinct, refs = coded.dictionary, coded.indices.to_numpy()
+        at = pc.fill_null(pc.index_in(distinct, value_set=self.words), -1).to_numpy()
+        others = pc.filter(distinct, pa.array(at < 0)).cast(pa.binary())
+        bytes_of = b"".join(others.to_pylist())
+        folded, n = self.ranks.fold(np.frombuffer(bytes_of, np.uint8), pc.binary_length(others).to_numpy().astype(np.int64))
+        sizes = np.concatenate([self.sizes, n])
+        starts = np.cumsum(sizes) - sizes
+        place = at.astype(np.int64)
+        place[at < 0] = len(self.sizes) + np.arange(len(n))
+        place = place[refs]
+        begin = starts[place]
+        return np.concatenate([self.tokens, folded])[ranges(begin, begin + sizes[place])], sizes[place]
+
+    def texts(self, doc_ids: pa.Array, words: pa.ListArray) -> pa.RecordBatch:
+        """Rows of ``doc_id, ids, decoded``."""
+        ids, n = self.encode(words.flatten())
+        edges = np.concatenate([[0], np.cumsum(n)])[np.concatenate([[0], np.cumsum(pc.list_value_length(words).to_numpy())])]
+        made = self.ranks.pieces.take(pa.array(ids))
+        _, offsets, data = made.buffers()
+        ends = np.frombuffer(offsets, np.int32, len(ids) + 1)[edges]
+
+        def binary(at: np.ndarray, values: pa.Buffer | None) -> pa.Array:
+            return pa.Array.from_buffers(pa.binary(), len(doc_ids), [None, pa.py_buffer(at.astype(np.int32).tobytes()), values or pa.py_buffer(b"")])
+
+        columns = [doc_ids, binary(4 * edges, pa.py_buffer(ids.astype("<u4").tobytes())), binary(ends, data)]
+        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "decoded"])
+
+
+def pieces(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
+    """The rows in runs of at most ``most`` words, or of one row."""
+    sums = np.concatenate([[0], np.cumsum(pc.list_value_length(batch.column("words")).to_numpy())])
+    begin = 0
+    while begin < batch.num_rows:
+        end = max(begin + 1, int(np.searchsorted(sums, sums[begin] + most, "right")) - 1)
+        yield batch.slice(begin, end - begin)
+        begin = end
+
+
 class ByteBpe:
     """Expressions of one vocabulary."""
 
@@ -96,10 +238,6 @@ class ByteBpe:
         self.pairs = literal_array(list(_pair_text(rank_path)))
         self.latin = "".join(map(chr, range(256)))
         self.bytes = "".join(token_char(self.ranks[bytes([b])]) for b in range(256))
-        pieces = [""] * (ord(ZERO) + 1)
-        for token, rank in self.ranks.items():
-            pieces[ord(token_char(rank))] = token.decode("latin-1")
-        self.pieces = literal_array(pieces)
 
     def words(self, text: Column) -> Column:
         return F.regexp_extract_all(text, F.lit(self.pattern), F.lit(0))
@@ -178,16 +316,8 @@ class ByteBpe:
 
         return bound(start, fold)
 
-    def decode_word(self, tokens: Column) -> Column:
-        """The bytes of token characters, as a string of one character a byte."""
-        return F.array_join(F.transform(F.split(tokens, ""), lambda t: F.element_at(self.pieces, F.ascii(t) + 1)), "")
-
-    def both(self, word: Column) -> Column:
-        """Tokens and decoded bytes of a word in one string, parted by a mark."""
-        return bound(self.encode_word(word), lambda t: F.concat(t, F.lit(MIDDLE), self.decode_word(t)))
-
     def common_words(self, docs: DataFrame, most: int) -> list[str]:
-        """Buckets of the ``most`` frequent distinct words of the whole corpus, each with its encoding."""
+        """The ``most`` frequent distinct words of the whole corpus, each with its tokens."""
         counted = (
             docs.select(F.explode(self.words(F.coalesce("text", F.lit("")))).alias("word"))
             .groupBy("word")
@@ -198,54 +328,23 @@ class ByteBpe:
         chosen = counted.orderBy(F.desc("times"), "word").limit(most).select("word")
         plain = ~(F.contains("word", F.lit(MARK)) | F.contains("word", F.lit(MIDDLE)) | F.contains("word", F.lit(CUT)))
         spread = written(chosen.where(plain), "bpe-words").repartition(docs.sparkSession.sparkContext.defaultParallelism, "word")
-        coded = spread.select("word", self.both(F.col("word")).alias("coded"))
-        buckets = [""] * max(64, 1 << max(0, most.bit_length() - 3))
+        coded = spread.select("word", self.encode_word(F.col("word")).alias("tokens"))
         # bounded: at most ``most`` rows of words of at most COMMON_BYTES bytes
-        for word, made in coded.toLocalIterator(prefetchPartitions=True):
-            buckets[zlib.crc32(word.encode()) % len(buckets)] += f"{MARK}{word}{MIDDLE}{made}"
-        return [b + MARK for b in buckets]
-
-    def encoded(self, docs: DataFrame, most: int = COMMON_WORDS) -> DataFrame:
-        """``doc_id``, the text's tokens as characters, and its decoded bytes."""
-        buckets = self.common_words(docs, most)
-        table, n = literal_array(buckets), len(buckets)
-        text = F.coalesce("text", F.lit(""))
-        odd = F.contains("text", F.lit(MARK)) | F.contains("text", F.lit(MIDDLE)) | F.contains("text", F.lit(CUT))
-
-        def known(word: Column, bucket: Column) -> Column:
-            """A word's encoding in the literal; null if it is not there."""
-            at = F.nullif(F.position(F.concat(F.lit(MARK), word, F.lit(MIDDLE)), bucket), F.lit(0))
-            # a word of n bytes has at most n tokens and n decoded characters, and one mark between them
-            return F.substring_index(F.substring(bucket, at + F.char_length(word) + 2, F.lit(2 * COMMON_BYTES + 2)), MARK, 1)
-
-        looked = docs.select("doc_id", F.coalesce(odd, F.lit(False)).alias("odd"), self.words(text).alias("words")).select(
-            "doc_id", "odd", "words", F.transform("words", lambda w: F.element_at(table, bucket_of(w, n))).alias("buckets")
-        )
-        coded = looked.select(
-            "doc_id",
-            F.zip_with(
-                "words", "buckets", lambda w, b: F.coalesce(F.when(~F.col("odd"), known(w, b)), self.both(w))
-            ).alias("coded"),
-        )
-        return coded.select(
-            "doc_id",
-            F.array_join(F.transform("coded", lambda c: F.substring_index(c, MIDDLE, 1)), "").alias("tokens"),
-            F.encode(
-                F.array_join(F.transform("coded", lambda c: F.substring_index(c, MIDDLE, -1)), ""), "ISO-8859-1"
-            ).alias("decoded"),
-        )
-
+        return [f"{word}{MIDDLE}{tokens}" for word, tokens in coded.toLocalIterator(prefetchPartitions=True)]
 
-def ids_of(tokens: Column) -> Column:
-    """Token ids of a string of token characters."""
-    return F.transform(F.split(tokens, ""), lambda t: F.when(t == ZERO, 0).otherwise(F.ascii(t)))
+    def encoded(self, docs: DataFrame, most: int = COMMON_WORDS, piece: int = PIECE_WORDS) -> DataFrame:
+        """``doc_id``, the text's ids as little-endian unsigned 32-bit numbers, and its decoded bytes."""
+        # bounded: the rank map and the common words
+        sent = docs.sparkSession.sparkContext.broadcast(Coder.of(Ranks.of(self.ranks), self.common_words(docs, most)))
 
+        def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for part in pieces(batch, piece):
+                    yield sent.value.texts(part.column("doc_id"), part.column("words"))
 
-def ids_bytes(tokens: Column) -> Column:
-    """The ids as little-endian unsigned 32-bit numbers: big-endian ones of the tokens from behind, reversed."""
-    plain = F.replace(tokens, F.lit(ZERO), F.lit("\0"))
-    backwards = F.decode(F.encode(F.reverse(plain), "UTF-32"), "ISO-8859-1")
-    return F.encode(F.reverse(backwards), "ISO-8859-1")
+        binary = [T.StructField(name, T.BinaryType()) for name in ("ids", "decoded")]
+        words = docs.select("doc_id", self.words(F.coalesce("text", F.lit(""))).alias("words"))
+        return words.mapInArrow(encode, T.StructType([docs.schema["doc_id"], *binary]))
 
 
 def encode_and_decode(docs: DataFrame, rank_path: str, pattern: str, most: int = COMMON_WORDS) -> DataFrame:
@@ -257,7 +356,7 @@ def encode_and_decode(docs: DataFrame, rank_path: str, pattern: str, most: int =
     coded = ByteBpe(rank_path, pattern).encoded(docs, most)
     return coded.select(
         "doc_id",
-        F.char_length("tokens").cast("long").alias("n_tokens"),
-        F.sha2(ids_bytes(F.col("tokens")), 256).alias("ids_sha256"),
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )

@@ -146,6 +146,28 @@ def test_bpe_matches_the_library(spark, docs, odd, reference_encoding):
     assert got == expected
 
 
+def test_bpe_folds_all_words_of_a_piece_at_once(reference_encoding):
+    ranks = byte_bpe.load_ranks(public_tokenizers.path(RANKS))
+    arrays, tokens, rng = byte_bpe.Ranks.of(ranks), list(ranks), random.Random(6)
+    words = ["", "a", "aaaa" * 50, "\u65e5\u672c" * 20, "x" * 20_001, "abab" * 33, ""]
+    words += ["".join(rng.choice(tokens).decode("utf8", "ignore") for _ in range(rng.randrange(6))) for _ in range(3000)]
+    data = [w.encode() for w in words]
+    begun = time.perf_counter()
+    ids, n = arrays.fold(np.frombuffer(b"".join(data), np.uint8), np.array([len(d) for d in data]))
+    assert time.perf_counter() - begun < 5  # 0.1 s; a fold of one word after another by expressions takes longer
+    whole = tiktoken.Encoding("whole", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
+    assert [i.tolist() for i in np.split(ids, np.cumsum(n)[:-1])] == [whole.encode_ordinary(w) if w else [] for w in words]
+
+
+def test_bpe_is_the_same_in_pieces_of_any_size(spark, odd, reference_encoding):
+    """Few words to a piece, so a text is longer than a piece; odd rows with their clashing columns."""
+    coder = byte_bpe.ByteBpe(public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+    for piece in (1, 50, 1 << 21):
+        rows = coder.encoded(odd, 20, piece).collect()
+        got = Counter((r["doc_id"], bytes(r["ids"]), bytes(r["decoded"])) for r in rows)
+        assert got == Counter((i, np.array(reference_encoding.encode_ordinary(t or ""), "<u4").tobytes(), (t or "").encode()) for i, t in ODD)
+
+
 def test_bpe_empty_table(empty):
     assert byte_bpe.encode_and_decode(empty, public_tokenizers.path(RANKS), public_tokenizers.PATTERN).count() == 0
 
