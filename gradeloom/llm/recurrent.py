@@ -27,6 +27,7 @@ RATE = 0.1
 SQUARES = 1e-3
 #: Factor on mean gradients; beyond 1 they are cut.
 GAIN = 30
+HALF = np.float32(0.5)
 
 Parameters = dict[str, np.ndarray]
 
@@ -123,32 +124,37 @@ def windows(docs: list[np.ndarray], lanes: int = LANES, size: int = WINDOW) -> I
 
 
 def _forward(p: Parameters, w: Window, h: np.ndarray) -> tuple[np.ndarray, ...]:
-    """States after each step (steps, hidden, lanes), and what a gradient needs."""
+    """States after each step (steps, hidden, lanes), and what a gradient needs.
+
+    Of a long document few lanes are left, and what a step takes is calls, not numbers: the loop holds
+    only what needs the state before.
+    """
     steps, lanes = w.x.shape
     size = len(h)
-    gates = np.take(p["inputs"], w.x, axis=1).swapaxes(0, 1)  # steps, 3 * hidden, lanes
+    # the logistic function as a hyperbolic tangent of halves
+    half = np.repeat(np.float32([0.5, 1]), [2 * size, size])[:, None]
+    gates = np.take(p["inputs"] * half, w.x, axis=1).swapaxes(0, 1)  # steps, 3 * hidden, lanes
+    state = p["state"] * half
     keep = (w.x != END).astype(np.float32)
-    states, befores, inner = (np.empty((steps, size, lanes), np.float32) for _ in range(3))
-    state = p["state"]
-    for t in range(steps):
-        g = gates[t]
-        h = np.multiply(h, keep[t], out=befores[t])
-        a = state @ h
-        rz = g[: 2 * size]
-        rz += a[: 2 * size]
-        # the logistic function as a hyperbolic tangent
-        rz *= 0.5
+    whole = keep.all(axis=1).tolist()
+    states, sums = np.empty((steps, size, lanes), np.float32), np.empty((steps, 3 * size, lanes), np.float32)
+    views = (gates[:, : 2 * size], gates[:, :size], gates[:, size : 2 * size], gates[:, 2 * size :])
+    each = zip(whole, keep, *views, sums, sums[:, : 2 * size], sums[:, 2 * size :], states)
+    for unbroken, kept, rz, r, z, new, a, a_rz, a_new, after in each:
+        if not unbroken:
+            h = h * kept
+        np.matmul(state, h, out=a)
+        rz += a_rz
         np.tanh(rz, out=rz)
-        rz *= 0.5
-        rz += 0.5
-        inner[t] = a[2 * size :]
-        new = g[2 * size :]
-        new += rz[:size] * inner[t]
+        rz *= HALF
+        rz += HALF
+        new += r * a_new
         np.tanh(new, out=new)
-        h = np.subtract(h, new, out=states[t])
-        h *= rz[size:]
-        h += new
-    return states, befores, inner, gates  # gates hold r, z and the new state now
+        np.subtract(h, new, out=after)
+        after *= z
+        after += new
+        h = after
+    return states, sums[:, 2 * size :], gates  # gates hold r, z and the new state now
 
 
 def _columns(values: np.ndarray) -> np.ndarray:
@@ -222,39 +228,46 @@ def gradients(p: Parameters, shape: Shape, w: Window, h: np.ndarray) -> tuple[np
     """Log probabilities, the last state, gradients of minus their sum, and the ids whose inputs have one."""
     size = shape.hidden
     steps, lanes = w.x.shape
-    states, befores, inner, gates = _forward(p, w, h)
+    states, inner, gates = _forward(p, w, h)
     valid = np.flatnonzero(w.valid)
     own = _columns(states)
     found, d_valid, grads = Scorer(p, shape)(np.take(own, valid, axis=1), w.y.ravel()[valid], gradient=True)
     d_own = np.zeros_like(own)
     d_own[:, valid] = d_valid
-    d_states = d_own.reshape(size, steps, lanes)
-    d_gates, d_sums = np.empty((3 * size, steps, lanes), np.float32), np.empty((3 * size, steps, lanes), np.float32)
     keep = (w.x != END).astype(np.float32)
+    whole = keep.all(axis=1).tolist()
+    befores = np.concatenate([h[None], states[:-1]])
+    befores *= keep[:, None]
+    r, z, new = gates[:, :size], gates[:, size : 2 * size], gates[:, 2 * size :]
+    d_news, d_sums = np.empty((steps, size, lanes), np.float32), np.empty((steps, 3 * size, lanes), np.float32)
+    d_states = d_own.reshape(size, steps, lanes).swapaxes(0, 1)
+    parts = (d_sums, d_sums[:, :size], d_sums[:, size : 2 * size], d_sums[:, 2 * size :])
+    each = (keep, d_states, 1 - z, 1 - new * new, inner, r, 1 - r, z, befores - new, d_news, *parts)
+    backwards = zip(reversed(whole), *(v[::-1] for v in each))
     carried = np.zeros((size, lanes), np.float32)
     back = np.ascontiguousarray(p["state"].T)
-    s = np.empty((3 * size, lanes), np.float32)
-    for t in range(steps - 1, -1, -1):
-        dh = d_states[:, t] + carried
-        r, z, new = gates[t, :size], gates[t, size : 2 * size], gates[t, 2 * size :]
-        d_new = dh * (1 - z)
-        d_new *= 1 - new * new
-        s[:size] = d_new * inner[t] * r * (1 - r)
-        dh *= z
-        s[size : 2 * size] = dh * (befores[t] - new) * (1 - z)
-        d_gates[: 2 * size, t] = s[: 2 * size]
-        d_gates[2 * size :, t] = d_new
-        np.multiply(d_new, r, out=s[2 * size :])
-        d_sums[:, t] = s
-        dh += back @ s
-        dh *= keep[t]
+    for unbroken, kept, d_state, not_z, slope, inside, r_t, not_r, z_t, moved, d_new, d_all, d_r, d_z, d_inner in backwards:
+        dh = d_state + carried
+        np.multiply(dh, not_z, out=d_new)
+        d_new *= slope
+        np.multiply(d_new, inside, out=d_r)
+        d_r *= r_t
+        d_r *= not_r
+        dh *= z_t
+        np.multiply(dh, moved, out=d_z)
+        d_z *= not_z
+        np.multiply(d_new, r_t, out=d_inner)
+        dh += back @ d_all
+        if not unbroken:
+            dh *= kept
         carried = dh
-    grads["state"] = d_sums.reshape(3 * size, -1) @ _columns(befores).T
+    grads["state"] = _columns(d_sums) @ _columns(befores).T
+    d_gates = np.concatenate([_columns(d_sums[:, : 2 * size]), _columns(d_news)])
     x = w.x.ravel()
     order = np.argsort(x.astype(np.int16), kind="stable")
     sorted_x = x[order]
     begins = np.flatnonzero(np.diff(sorted_x, prepend=-1))
-    grads["inputs"] = np.add.reduceat(np.take(d_gates.reshape(3 * size, -1), order, axis=1), begins, axis=1)
+    grads["inputs"] = np.add.reduceat(np.take(d_gates, order, axis=1), begins, axis=1)
     return found, states[-1], grads, sorted_x[begins]
 
 
