@@ -16,14 +16,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
-    """``df`` written once as Parquet below the shared folder and read again.
+def written(df: DataFrame, purpose: str, **options: str) -> DataFrame:
+    """``df`` written once as Parquet below the shared folder, with ``options`` of the writer, and read again.
 
     Cuts the lineage at files that every executor can reach, so a lost executor
     costs no recomputation of what stands before.
     """
     path = shared_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -31,11 +31,14 @@ from gradeloom.llm.common import slices, written
 MODEL_WORDS = 2047
 OTHER_IDS = 1024
 ROUNDS = 4
+#: Words of a block that are given back at once.
+WORD_ROWS = 1 << 16
 #: Tokens that are strung on lanes at once.
 CHUNK_TOKENS = 1 << 21
 FOLDS, HELD_FOLD = 5, 1
 
-BLOCKS = "block long, doc_id long, held_out boolean, refs array<int>, words array<string>, counts array<long>"
+#: A row is a document (``refs``: numbers of its words, 32 bits each) or a word of the block (``ref``: its number).
+BLOCKS = "block long, doc_id long, held_out boolean, refs binary, ref int, word string, n long"
 CODED = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, rest_score double, turn int, codes array<short>"
 RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
@@ -82,53 +85,79 @@ class Model:
         return one
 
 
+def split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All words of texts, one after the other, and how many each has."""
+    # on bytes: A-Z only, and exactly the six ASCII spaces
+    bare = pc.ascii_trim_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.string()), "")))
+    lists = pc.ascii_split_whitespace(bare)
+    words, n = lists.flatten(), pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    blank = pc.equal(pc.binary_length(bare), 0).to_numpy(zero_copy_only=False)
+    if blank.any():  # split into one empty string
+        n[blank] = 0
+        words = words.filter(pc.greater(pc.binary_length(words), 0))
+    return words, n
+
+
+def _packed(values: np.ndarray, n: np.ndarray) -> pa.Array:
+    """Runs of ``n`` integers as binary values: Spark carries them as they are, not one by one."""
+    edges = pa.array(values.itemsize * np.concatenate([[0], np.cumsum(n)]), pa.int32())
+    return pa.Array.from_buffers(pa.binary(), len(n), [None, edges.buffers()[1], pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _runs(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """Integers of lists or of packed values, and where each run begins, with the end of the last."""
+    if not pa.types.is_binary(column.type):
+        return column.values.to_numpy(), column.offsets.to_numpy()
+    _, offsets, data = column.buffers()
+    edges = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1]
+    flat = np.frombuffer(data, np.uint8)[: edges[-1]] if data else np.empty(0, np.uint8)
+    return flat.view(kind), edges // flat.view(kind).itemsize
+
+
 def numbered(docs: DataFrame, held: Held = held_out, rows: int = BLOCK_ROWS, size: int = BLOCK_BYTES) -> DataFrame:
-    """Documents as numbers of their block's words, and per block its words with their training counts."""
+    """Documents as numbers of their block's words, and the words of every block with their training counts."""
     names = [f.split(" ")[0] for f in BLOCKS.split(", ")]
+    types = [pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.int32(), pa.string(), pa.int64()]
+
+    def rows_of(block: int, rows: int, **columns: pa.Array) -> pa.RecordBatch:
+        columns["block"] = pa.array(np.full(rows, block, np.int64))
+        return pa.RecordBatch.from_arrays([columns.get(c, pa.nulls(rows, t)) for c, t in zip(names, types)], names=names)
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = block_ids()
         ids, found, lengths = [], [], []
         for piece, last in parts(batches, rows, size):
             for part in slices(iter([piece])):
+                words, n = split(part.column("text"))
                 ids.append(part.column("doc_id").cast(pa.int64()))
-                for text in part.column("text").cast(pa.binary()).to_pylist():
-                    words = (text or b"").lower().split()  # on bytes: A-Z only, and exactly the six ASCII spaces
-                    found.append(pa.array(words, pa.binary()))
-                    lengths.append(len(words))
+                found.append(words)
+                lengths.append(n)
             if not last:
                 continue
-            coded = pa.chunked_array(found, pa.binary()).combine_chunks().dictionary_encode()
-            refs, n = coded.indices.to_numpy(), np.array(lengths)
-            doc_ids = pa.concat_arrays(ids)
+            coded = pa.concat_arrays(found).dictionary_encode()
+            n, doc_ids = np.concatenate(lengths), pa.concat_arrays(ids)
             out = np.array([held(i) for i in doc_ids.to_pylist()], bool)
-            counts = np.bincount(refs[~np.repeat(out, n)], minlength=len(coded.dictionary))
-            block, edges = next(numbers), np.concatenate([[0], np.cumsum(n)])
-            one = pa.array([0, len(counts)], pa.int32())
-            vocabulary = [pa.ListArray.from_arrays(one, coded.dictionary.cast(pa.string())), pa.ListArray.from_arrays(one, pa.array(counts, pa.int64()))]
-            empty = [pa.nulls(1, pa.int64()), pa.nulls(1, pa.bool_()), pa.nulls(1, pa.list_(pa.int32()))]
-            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), *empty, *vocabulary], names=names)
-            lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), coded.indices.cast(pa.int32()))
-            own = pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(n), block, np.int64)), doc_ids, pa.array(out), lists, pa.nulls(len(n), pa.list_(pa.string())), pa.nulls(len(n), pa.list_(pa.int64()))],
-                names=names,
-            )
+            counts = np.bincount(coded.indices.to_numpy()[~np.repeat(out, n)], minlength=len(coded.dictionary))
+            block = next(numbers)
+            words = coded.dictionary.cast(pa.binary()).cast(pa.string())  # checks the UTF-8
+            ref = pa.array(np.arange(len(words), dtype=np.int32))
+            yield from slices(iter([rows_of(block, len(words), ref=ref, word=words, n=pa.array(counts, pa.int64()))]), WORD_ROWS)
+            own = rows_of(block, len(n), doc_id=doc_ids, held_out=pa.array(out), refs=_packed(coded.indices.to_numpy(), n))
             yield from slices(iter([own]))
             ids, found, lengths = [], [], []
 
-    return written(docs.select("doc_id", "text").mapInArrow(number, BLOCKS), "lm-blocks")
+    return written(docs.select("doc_id", "text").mapInArrow(number, BLOCKS), "lm-blocks", compression="zstd")
 
 
-def resolved(blocks: DataFrame, model_words: int, rounds: int, other_ids: int = 1) -> tuple[DataFrame, Model]:
-    """Documents as ids of a new, untrained model, with all that corpus counts say of them."""
+def resolved(blocks: DataFrame, model_words: int, rounds: int, other_ids: int = 1, packed: bool = False) -> tuple[DataFrame, Model]:
+    """Documents as ids of a new, untrained model, with all that corpus counts say of them.
+
+    ``packed``: the ids of a document as bytes, 16 bits each, and not as an array.
+    """
     spark = blocks.sparkSession
-    vocabulary = blocks.where(F.col("words").isNotNull())
-    own = vocabulary.select("block", F.posexplode(F.arrays_zip("words", "counts")).alias("ref", "own"))
-    own = own.select("block", "ref", F.col("own.words").alias("word"), F.col("own.counts").alias("n"))
+    own = blocks.where(F.col("word").isNotNull()).select("block", "ref", "word", "n")
     counts = written(own.groupBy("word").agg(F.sum("n").alias("count")), "lm-counts")
-    docs = blocks.where(F.col("words").isNull()).where(~F.col("held_out")).count()
-    words, distinct = counts.agg(F.sum("count"), F.count_if(F.col("count") > 0)).first()
-    words = words or 0
+    docs = blocks.where(~F.col("held_out")).count()
     # bounded: at most model_words rows
     top = counts.where("count > 0").orderBy(F.desc("count"), "word").limit(model_words).collect()
     # bounded: at most other_ids rows
@@ -136,6 +165,7 @@ def resolved(blocks: DataFrame, model_words: int, rounds: int, other_ids: int =
     rest = np.zeros((other_ids, 2), np.int64)
     for k, n, seen in counts.groupBy(shared).agg(F.sum("count"), F.count_if(F.col("count") > 0)).collect():
         rest[k] = n, seen
+    words, distinct = rest.sum(axis=0).tolist()
     for r in top:
         rest[zlib.crc32(r["word"].encode()) % other_ids] -= (r["count"], 1)
     totals = Counts(words + docs, distinct + (docs > 0), docs, rest[:, 0], rest[:, 1])
@@ -147,11 +177,13 @@ def resolved(blocks: DataFrame, model_words: int, rounds: int, other_ids: int =
     shape = recurrent.Shape(recurrent.class_edges(masses))
     model = Model(totals, ids, others, shape, recurrent.start(shape, masses))
 
-    known = spark.createDataFrame([(w, k) for w, k in ids.items()], "word string, id int")
-    found = own.drop("n").join(counts, "word").join(known, "word", "left")
+    known = spark.createDataFrame(pa.table({"word": pa.array(ids.keys(), pa.string()), "id": pa.array(ids.values(), pa.int32())}))
+    # no sort of the words: of a partition only its distinct ones are held, and no word is more than one of them
+    found = own.drop("n").join(counts.hint("shuffle_hash"), "word").join(F.broadcast(known), "word", "left")
     # words outside the model: their shared id from behind, from -1
     found = found.select(F.col("block").alias("home"), "ref", "count", F.coalesce("id", -1 - shared).alias("id"))
-    names = [f.split(" ")[0] for f in CODED.split(", ")]
+    schema = CODED.replace("array<short>", "binary") if packed else CODED
+    names = [f.split(" ")[0] for f in schema.split(", ")]
 
     def code(own: pa.Table, back: pa.Table) -> pa.Table:
         ref = back.column("ref").to_numpy()
@@ -161,12 +193,11 @@ def resolved(blocks: DataFrame, model_words: int, rounds: int, other_ids: int =
         shared = -1 - of[outside]
         rest[outside] = totals.rest(count[outside], shared)
         of[outside] = others[shared]
-        refs = own.column("refs").combine_chunks()
-        flat = pc.list_flatten(refs).to_numpy()
-        n = pc.list_value_length(refs).to_numpy().astype(np.int64)
+        flat, edges = _runs(pa.concat_arrays(own.column("refs").chunks), np.int32)
+        flat, n = flat[edges[0] :], np.diff(edges).astype(np.int64)
         doc = np.repeat(np.arange(len(n)), n)
         sums = lambda v: np.bincount(doc, v[flat], len(n)).astype(float)
-        offsets = pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32())
+        ids = of.astype(np.int16)[flat]
         columns = [
             own.column("doc_id"),
             own.column("held_out"),
@@ -175,20 +206,19 @@ def resolved(blocks: DataFrame, model_words: int, rounds: int, other_ids: int =
             pa.array(sums(base) + float(totals.base(np.array(docs)))),
             pa.array(sums(rest)),
             pa.array((np.arange(len(n)) % rounds).astype(np.int32)),
-            pa.ListArray.from_arrays(offsets, pa.array(of[flat], pa.int16())),
+            _packed(ids, n) if packed else pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), pa.array(ids)),
         ]
         return pa.table(columns, names=names)
 
-    rows = blocks.where(F.col("words").isNull()).drop("words", "counts")
-    return written(rows.groupBy("block").cogroup(found.groupBy("home")).applyInArrow(code, CODED), "lm-coded"), model
+    rows = blocks.where(F.col("refs").isNotNull()).select("block", "doc_id", "held_out", "refs")
+    return written(rows.groupBy("block").cogroup(found.groupBy("home")).applyInArrow(code, schema), "lm-coded", compression="zstd"), model
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], tokens: int) -> Iterator[tuple[list[pa.RecordBatch], list[np.ndarray]]]:
     """Rows and their ids, together about ``tokens`` of them."""
     held, docs, n = [], [], 0
     for batch in slices(batches):
-        codes = batch.column("codes")
-        flat, edges = codes.values.to_numpy(), codes.offsets.to_numpy()
+        flat, edges = _runs(batch.column("codes"), np.int16)
         held.append(batch)
         docs += [flat[a:b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
         n += int(edges[-1] - edges[0])
@@ -256,5 +286,5 @@ def score_documents(
     without an id is learnt from. Without training documents all counts are 0 and the model is
     the untrained one. An empty table gives an empty result; other columns are ignored.
     """
-    coded, model = resolved(numbered(docs, held), model_words, rounds, other_ids)
+    coded, model = resolved(numbered(docs, held), model_words, rounds, other_ids, packed=True)
     return scored(coded, trained(coded, model, rounds))

@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from gradeloom.llm import language_model, recurrent
@@ -289,3 +290,37 @@ def test_odd_rows(spark):
     assert language_model.score_documents(frame.limit(0)).count() == 0
     alone = language_model.score_documents(frame, held=lambda i: True).collect()
     assert {r["train_tokens"] for r in alone} == {0} and all(r["base_score"] == 0 for r in alone)
+
+
+def test_words_are_those_of_the_bytes():
+    rng = random.Random(11)
+    marks = [*" \t\n\x0b\x0c\r", "a", "B", "Z", "É", "\x1c", "\x85", "\u00a0", "\u2003", "\x00", "İ"]
+    texts = ["".join(rng.choice(marks) for _ in range(rng.randrange(12))) for _ in range(3000)] + ["", None, " ", "\t\n"]
+    for begin in (0, 7):
+        words, n = language_model.split(pa.array(texts)[begin:])
+        expected = [(t or "").encode().lower().split() for t in texts[begin:]]
+        assert n.tolist() == list(map(len, expected))
+        assert words.cast(pa.binary()).to_pylist() == [w for ws in expected for w in ws]
+    assert language_model.split(pa.array([None, ""], pa.string()))[1].tolist() == [0, 0]
+
+
+def test_packed_ids_are_the_ids(spark):
+    docs = [(i, " ".join(f"w{(i * k) % 23}" for k in range(i % 9)) or None) for i in range(70)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    words = language_model.numbered(frame, rows=11)
+    made = [language_model.resolved(words, 5, 2, 3, packed) for packed in (False, True)]
+    arrays, packed = ({r["doc_id"]: r.asDict() for r in coded.collect()} for coded, _ in made)
+    ids = {i: np.frombuffer(r.pop("codes"), np.int16).tolist() for i, r in packed.items()}
+    assert ids == {i: list(r.pop("codes")) for i, r in arrays.items()} and any(ids.values())
+    drop = lambda rows: {i: {k: v for k, v in r.items() if k != "turn"} for i, r in rows.items()}
+    assert drop(packed) == drop(arrays)
+    scores = [{r["doc_id"]: r["score"] for r in language_model.scored(coded, model).collect()} for coded, model in made]
+    assert scores[0] == pytest.approx(scores[1], rel=1e-6)
+
+
+def test_documents_are_not_carried_number_by_number(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    blocks = language_model.numbered(docs)
+    assert all(t not in blocks.schema.simpleString() for t in ("array", "map"))  # the words need no explode
+    coded, _ = language_model.resolved(blocks, 100, 2, packed=True)
+    assert dict(coded.dtypes)["codes"] == "binary"
