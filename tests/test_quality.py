@@ -2,13 +2,16 @@ import math
 import os
 import random
 import re
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
+from gradeloom import session
 from gradeloom.functions.porter import rouge_stem, stem
 from gradeloom.functions.text import BY_OTHER_THAN_ALNUM, BY_WHITESPACE, WHITESPACE, tokenize
 from gradeloom.operators import matching, quality
+from gradeloom.plans import scoring
 from tests import brute
 
 GOLDEN = os.environ.get("GRADELOOM_PUBLISHED_SAMPLES", "")
@@ -324,3 +327,74 @@ def test_vectors_in_blocks(monkeypatch):
     monkeypatch.setattr(matching, "BLOCK", 5)
     assert np.allclose(matching.best_matches(a, b), whole)
     assert np.allclose(whole, (a @ b.T).max(axis=1))
+
+
+def _as_folder_of(tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_folder", lambda spark, purpose: f"{tmp_path}/{purpose}-{uuid.uuid4().hex}")
+
+
+def _bytes_in(folder):
+    return sum(p.stat().st_size for p in folder.rglob("*.parquet"))
+
+
+def test_matched_pairs_are_written_small(spark, tmp_path, monkeypatch):
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(5000)]
+    texts = [" ".join(rng.choices(words, k=2000)) for _ in range(60)]
+    rows = [(m, i, text, text) for i, text in enumerate(texts) for m in ("a", "b", "c")]
+    df = spark.createDataFrame(rows, "model STRING, id BIGINT, prediction STRING, reference STRING").coalesce(2)
+    table = spark.createDataFrame([(w, [rng.uniform(-1, 1) for _ in range(4)]) for w in words], "token STRING, vec ARRAY<FLOAT>")
+    _as_folder_of(tmp_path, monkeypatch)
+    found = matching.match_tokens(df, table, kept=("model", "id")).collect()
+    assert len(found) == 180 and [r.bertscore_f1 for r in found] == pytest.approx([1.0] * 180)
+    assert _bytes_in(tmp_path) < 0.1 * sum(len(p) + len(r) for _, _, p, r in rows)
+
+
+def test_each_block_may_be_a_group(spark, monkeypatch):
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(40)]
+    rows = [("m", i, " ".join(rng.choices(words, k=rng.randrange(9))), " ".join(rng.choices(words, k=9))) for i in range(30)]
+    df = spark.createDataFrame(rows, "model STRING, id BIGINT, prediction STRING, reference STRING")
+    table = spark.createDataFrame([(w, [rng.uniform(-1, 1) for _ in range(4)]) for w in words], "token STRING, vec ARRAY<DOUBLE>")
+    one = {r.id: r for r in matching.match_tokens(df, table).collect()}
+    monkeypatch.setattr(matching, "GROUP_VECTOR_BYTES", 0)
+    monkeypatch.setattr(matching, "PACKED_TOKENS", 7)
+    found = matching.match_tokens(df, table, block_bytes=100).collect()
+    assert len(found) == len(one) == 30
+    for r in found:
+        assert r[:4] == one[r.id][:4] and list(r[4:]) == pytest.approx(list(one[r.id][4:]), abs=1e-9)
+
+
+def test_shuffles_of_what_is_written_are_removed(spark, tmp_path, monkeypatch):
+    _as_folder_of(tmp_path, monkeypatch)
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        blocks = manager.getAllBlocks()
+        return {name for name in (blocks.apply(k).name() for k in range(blocks.size())) if name.startswith("shuffle_")}
+
+    names = ("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "spark.sql.execution.arrow.maxBytesPerBatch")
+    before, settings = shuffled(), [spark.conf.get(name) for name in names]
+    assert session.written(spark.range(1000).repartition(3, "id"), "rows").count() == 1000
+    spark.range(1000).repartition(3, "id").write.parquet(f"{tmp_path}/plain")
+    kept = shuffled() - before
+    assert len({name.split("_")[1] for name in kept}) <= 2  # of the plain write and the count, none of the written rows
+    assert [spark.conf.get(name) for name in names] == settings
+
+
+def test_pairs_of_a_large_table_shuffle_a_text_once(spark, tmp_path):
+    rng = random.Random(4)
+    rows = [(i, "en", " ".join(str(rng.random()) for _ in range(300))) for i in range(200)]
+    spark.createDataFrame(rows, "doc_id BIGINT, lang STRING, text STRING").repartition(32).write.parquet(f"{tmp_path}/documents.parquet")
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        moved, found = [], []
+        for by_id in (False, True):
+            made = scoring.pairs(spark, str(tmp_path), by_id=by_id)
+            found.append(sorted(map(tuple, made.collect())))
+            moved.append(_shuffled_bytes(made._jdf.queryExecution().executedPlan()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert found[0] == found[1] and len(found[0]) == 600
+    assert moved[1] < 0.5 * moved[0]
