@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from gradeloom.operators.compare import upsert_metrics
+from gradeloom.session import sparing
 
 SUFFIX = ".json"
 DIGITS = 20
@@ -80,7 +81,8 @@ def publish(df: DataFrame, root: str, after: int | None = None) -> int:
     folder = _Folder(df.sparkSession, root)
     version = (after or 0) + 1
     data = f"data/{version:0{DIGITS}}-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(f"{root.rstrip('/')}/{data}")
+    with sparing(df.sparkSession):
+        df.write.mode("errorifexists").parquet(f"{root.rstrip('/')}/{data}")
     folder.add(version, {"version": version, "data": data, "schema": df.schema.jsonValue()})
     return version
 

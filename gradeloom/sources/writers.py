@@ -10,9 +10,12 @@ from gradeloom import schemas
 from gradeloom.functions.text import preview
 from gradeloom.operators.ratings import annotation_sheet
 from gradeloom.operators.splits import head
+from gradeloom.session import sparing
 
 # Rows and characters of the stored previews.
 PREVIEW_ROWS, PREVIEW_CHARS = 10, 200
+# Samples repeat a reference with every model; a fast compression finds that.
+SMALL_FILES = {"compression": "gzip", "zlib.compress.level": "THREE"}
 
 
 def save_splits(splits: DataFrame, root: str, json_root: str | None = None) -> None:
@@ -99,15 +102,17 @@ def evaluation_record(card: DataFrame) -> DataFrame:
     )
 
 
-def save_records(records: DataFrame, path: str, one_per_file: bool = False) -> None:
+def save_records(records: DataFrame, path: str, one_per_file: bool = False, **options: str) -> None:
     """Result records as JSON under a path that does not exist yet.
 
-    ``one_per_file`` gives each record its own file, as result readers expect.
+    ``one_per_file`` gives each record its own file, as result readers expect;
+    ``options`` are the writer's, for example its compression.
     """
-    writer = records.write.mode("errorifexists")
+    writer = records.write.mode("errorifexists").options(**options)
     if one_per_file:
         writer = writer.option("maxRecordsPerFile", 1)
-    writer.json(path)
+    with sparing(records.sparkSession):
+        writer.json(path)
 
 
 def save_comparison(table: DataFrame, path: str) -> None:

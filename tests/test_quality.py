@@ -12,6 +12,7 @@ from gradeloom.functions.porter import rouge_stem, stem
 from gradeloom.functions.text import BY_OTHER_THAN_ALNUM, BY_WHITESPACE, WHITESPACE, tokenize
 from gradeloom.operators import matching, quality
 from gradeloom.plans import scoring
+from gradeloom.sources import writers
 from tests import brute
 
 GOLDEN = os.environ.get("GRADELOOM_PUBLISHED_SAMPLES", "")
@@ -398,3 +399,14 @@ def test_pairs_of_a_large_table_shuffle_a_text_once(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
     assert found[0] == found[1] and len(found[0]) == 600
     assert moved[1] < 0.5 * moved[0]
+
+
+def test_samples_are_stored_compressed(spark, tmp_path):
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(500)]
+    texts = [" ".join(rng.choices(words, k=400)) for _ in range(20)]
+    df = spark.createDataFrame([(m, i, text, text) for i, text in enumerate(texts) for m in ("a", "b")], "model STRING, id BIGINT, prediction STRING, reference STRING").coalesce(1)
+    writers.save_records(df, f"{tmp_path}/samples", **writers.SMALL_FILES)
+    stored = spark.read.schema(df.schema).json(f"{tmp_path}/samples")
+    assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, df.collect()))
+    assert sum(p.stat().st_size for p in (tmp_path / "samples").glob("part-*.gz")) < 0.2 * sum(4 * len(t) for t in texts)
